@@ -79,12 +79,18 @@ def read_published(spark: SparkSession, manifest_path: str) -> DataFrame:
     return spark.read.parquet(paths[0])
 
 
+def append_states(records: DataFrame, path: str) -> None:
+    """Append state records (columns of the ledger) as they come, one file per task."""
+    names = [c.split()[0] for c in LEDGER_SCHEMA.split(", ")]
+    records.select(*names).write.mode("append").parquet(path)
+
+
 def append_state(spark: SparkSession, path: str, idx: str, state: str, num_shards: int,
                  type_name: str, work_dir: str) -> None:
     """One build-state record; the index name is the index name in every state."""
     now = datetime.now(timezone.utc)
-    spark.createDataFrame([(idx, state, num_shards, type_name, work_dir, now)], LEDGER_SCHEMA) \
-        .coalesce(1).write.mode("append").parquet(path)
+    record = spark.createDataFrame([(idx, state, num_shards, type_name, work_dir, now)], LEDGER_SCHEMA)
+    append_states(record.coalesce(1), path)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
