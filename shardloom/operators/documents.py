@@ -1,12 +1,14 @@
 """Rows to sparse flat documents, in one pass without a shuffle.
 
-A document starts as an array of (name, value) entries in schema order: one entry per
-plain column, one per map entry.  Denied names and empty values never enter it, and a
-later entry replaces an earlier one of the same name when the array becomes a map.
+A document has a static part, one possible field per plain column, and a dynamic part, the
+flattened map columns as one map.  Denied names and empty values never enter either.  Of
+two fields with one name the later in column order stays; which plain columns a map can
+meet at all is known from its name, so most documents need no such check.
 """
 from __future__ import annotations
 
 from collections.abc import Collection, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -15,112 +17,176 @@ from shardloom.functions.values import cast_failed, render_value
 from shardloom.spec import Rules
 
 _VALUE_TYPE = {"variant": "variant", "terms": "array<string>", "text": "string"}
+_DYNAMIC = "_dynamic"
 
 
-def _kept(name: str, rules: Rules, only: Collection[str] | None) -> bool:
-    return name not in rules.deny and (only is None or name in only)
+def _is_map(f: T.StructField) -> bool:
+    return isinstance(f.dataType, T.MapType)
 
 
-def _plain_entry(f: T.StructField, rules: Rules, render: str) -> Column:
-    value = render_value(F.col(f.name), f.dataType, f.name, rules, render)
-    return F.when(value.isNotNull(), F.struct(F.lit(f.name).alias("name"), value.alias("value")))
+def _wanted(f: T.StructField, rules: Rules, only: Collection[str] | None) -> bool:
+    """Whether a column can give any field of the document."""
+    if _is_map(f):
+        return only is None or any(could_name(f.name, n) for n in only if n not in rules.deny)
+    return f.name not in rules.deny and (only is None or f.name in only)
+
+
+def _reachable(f: T.StructField, names: Collection[str]) -> list[str]:
+    return sorted(n for n in names if could_name(f.name, n))
+
+
+def _value(f: T.StructField, rules: Rules, render: str) -> Column:
+    return render_value(F.col(f.name), f.dataType, f.name, rules, render)
 
 
 def _named_entries(f: T.StructField, rules: Rules, only: Collection[str] | None) -> Column:
-    """Map entries under their document names, without the denied ones."""
-    named = F.transform(F.map_entries(F.col(f.name)), lambda e: F.struct(
-        map_field_name(f.name, e["key"]).alias("name"), e["value"].alias("value")))
-    if rules.deny:
-        denied = sorted(rules.deny)
-        named = F.filter(named, lambda e: ~e["name"].isin(*denied))
-    if only is not None:
-        wanted = sorted(only)
-        named = F.filter(named, lambda e: e["name"].isin(*wanted)) if wanted \
-            else F.filter(named, lambda e: F.lit(False))
+    """Map entries under their document names, without denied and unwanted ones."""
+    def wanted(name: Column) -> Column:
+        if only is not None:
+            return name.isin(*[n for n in _reachable(f, only) if n not in rules.deny])
+        return ~name.isin(*_reachable(f, rules.deny))
+
+    entries = F.map_entries(F.col(f.name))
+    if only is not None:  # few are wanted: look at the name before anything else
+        entries = F.filter(entries, lambda e: wanted(map_field_name(f.name, e["key"])))
+    named = F.transform(entries, lambda e: F.struct(
+        map_field_name(f.name, e["key"]).alias("key"), e["value"].alias("value")))
+    if only is None and _reachable(f, rules.deny):
+        named = F.filter(named, lambda e: wanted(e["key"]))
     return named
 
 
-def _map_entries(f: T.StructField, rules: Rules, render: str,
-                 only: Collection[str] | None) -> Column:
-    def one(e: Column) -> Column:
-        value = render_value(e["value"], f.dataType.valueType, e["name"], rules, render)
-        return F.struct(e["name"].alias("name"), value.alias("value"))
-
-    shown = F.transform(_named_entries(f, rules, only), one)
-    return F.filter(shown, lambda e: e["value"].isNotNull())
-
-
-def document_entries(schema: T.StructType, rules: Rules, render: str,
-                     only: Collection[str] | None = None) -> Column:
-    """Entries of a row's document; ``only`` keeps just those fields (and their columns)."""
-    entry_type = f"array<struct<name:string,value:{_VALUE_TYPE[render]}>>"
-    none = F.array().cast(entry_type)
-    parts: list[Column] = []
-    plain: list[Column] = []
-
-    def flush():
-        if plain:
-            parts.append(F.array_compact(F.array(*plain)))
-            plain.clear()
-
-    for f in schema.fields:
-        if isinstance(f.dataType, T.MapType):
-            if only is None or any(could_name(f.name, n) for n in only):
-                flush()
-                parts.append(F.coalesce(_map_entries(f, rules, render, only), none))
-        elif _kept(f.name, rules, only):
-            plain.append(_plain_entry(f, rules, render))
-    flush()
-    if not parts:
-        return none
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
+def _map_entries(f: T.StructField, rules: Rules, render: str, only: Collection[str] | None,
+                 winners: Sequence[tuple[str, Column]]) -> Column:
+    """Rendered entries of one map column; ``winners`` are later plain fields it yields to."""
+    mine = replace(rules, overrides={n: rules.overrides[n] for n in _reachable(f, rules.overrides)
+                                     if only is None or n in only})
+    kind = f.dataType.valueType
+    simple = not mine.overrides and not _reachable(f, rules.deny) and only is None
+    if simple:
+        shown = F.transform(F.map_entries(F.col(f.name)), lambda e: F.struct(
+            map_field_name(f.name, e["key"]).alias("key"),
+            render_value(e["value"], kind, F.lit(""), mine, render).alias("value")))
+    else:
+        shown = F.transform(_named_entries(f, rules, only), lambda e: F.struct(
+            e["key"].alias("key"), render_value(e["value"], kind, e["key"], mine, render).alias("value")))
 
+    def stays(e: Column) -> Column:
+        keep = e["value"].isNotNull()
+        for name, value in winners:
+            keep = keep & ~((e["key"] == name) & value.isNotNull())
+        return keep
 
-def document_map(schema: T.StructType, rules: Rules, render: str,
-                 only: Collection[str] | None = None) -> Column:
-    """The document as a map; needs ``spark.sql.mapKeyDedupPolicy=LAST_WIN``."""
-    return F.map_from_entries(document_entries(schema, rules, render, only))
+    return F.filter(shown, stays)
+
+
+def dynamic_part(schema: T.StructType, rules: Rules, render: str,
+                 only: Collection[str] | None = None) -> Column | None:
+    """The flattened map columns as ``map<field, value>``; None without such columns.
+
+    Needs ``spark.sql.mapKeyDedupPolicy=LAST_WIN``: of two entries the later one stays.
+    """
+    none = F.array().cast(f"array<struct<key:string,value:{_VALUE_TYPE[render]}>>")
+    fields = [f for f in schema.fields if _wanted(f, rules, only)]
+    parts = []
+    for i, f in enumerate(fields):
+        if _is_map(f):
+            winners = [(p.name, _value(p, rules, render)) for p in fields[i + 1:]
+                       if not _is_map(p) and could_name(f.name, p.name)]
+            parts.append(F.coalesce(_map_entries(f, rules, render, only, winners), none))
+    if not parts:
+        return None
+    return F.map_from_entries(parts[0] if len(parts) == 1 else F.concat(*parts))
+
+
+def static_part(schema: T.StructType, rules: Rules, render: str, dynamic: Column | None,
+                only: Collection[str] | None = None) -> list[tuple[str, Column]]:
+    """(field, value) of the plain columns; null where absent or replaced by a map entry."""
+    fields = [f for f in schema.fields if _wanted(f, rules, only)]
+    values = []
+    for f in fields:
+        if _is_map(f):
+            continue
+        value = _value(f, rules, render)
+        # an earlier map yields to this value, so a key that is still there came later
+        if dynamic is not None and any(_is_map(m) and could_name(m.name, f.name) for m in fields):
+            value = F.when(~F.map_contains_key(dynamic, f.name), value)
+        values.append((f.name, value))
+    return values
 
 
 def field_text(schema: T.StructType, rules: Rules, field: str) -> Column:
     """Text of one document field, read from just the columns that can produce it."""
-    maps = [f for f in schema.fields
-            if isinstance(f.dataType, T.MapType) and could_name(f.name, field)]
-    plain = [f for f in schema.fields
-             if not isinstance(f.dataType, T.MapType) and f.name == field]
     if field in rules.deny:
         return F.lit(None).cast("string")
-    if not maps and len(plain) == 1:
-        return render_value(F.col(field), plain[0].dataType, field, rules, "text")
-    entries = document_entries(schema, rules, "text", only=(field,))
-    return F.try_element_at(entries, F.lit(-1))["value"]
+    dynamic = dynamic_part(schema, rules, "text", only=(field,))
+    plain = [_value(f, rules, "text") for f in schema.fields if not _is_map(f) and f.name == field]
+    found = ([] if dynamic is None else [F.try_element_at(dynamic, F.lit(field))]) + plain
+    return F.coalesce(*found) if found else F.lit(None).cast("string")
 
 
 def source_columns(schema: T.StructType, rules: Rules, also: Sequence[str] = ()) -> list[str]:
     """Columns a build has to read: all but the denied plain ones."""
-    return [f.name for f in schema.fields
-            if isinstance(f.dataType, T.MapType) or f.name not in rules.deny or f.name in also]
+    return [f.name for f in schema.fields if _is_map(f) or f.name not in rules.deny or f.name in also]
 
 
 def with_doc_id(df: DataFrame, rules: Rules) -> DataFrame:
     """Source rows plus their ``doc_id``; null where the id field is absent."""
-    if "doc_id" in df.columns:
-        raise ValueError("the source has a column called doc_id; rename it before the build")
+    if {"doc_id", _DYNAMIC} & set(df.columns):
+        raise ValueError(f"the source has a column called doc_id or {_DYNAMIC}; rename it before the build")
     text = F.lit(None).cast("string") if rules.id_field is None \
         else field_text(df.schema, rules, rules.id_field)
     return df.withColumn("doc_id", text)
 
 
+def _with_dynamic(rows: DataFrame, schema: T.StructType, rules: Rules, render: str,
+                  only: Collection[str] | None = None) -> tuple[DataFrame, Column | None]:
+    """Rows with the dynamic part as a column of its own, so it is computed once."""
+    dynamic = dynamic_part(schema, rules, render, only)
+    if dynamic is None:
+        return rows, None
+    return rows.withColumn(_DYNAMIC, dynamic), F.col(_DYNAMIC)
+
+
+def _json_body(text: Column) -> Column:
+    """What is between the braces; null for an empty object, so that joining skips it."""
+    return F.when(text != "{}", F.substring(text, F.lit(2), F.length(text) - 2))
+
+
 def render_documents(rows: DataFrame, schema: T.StructType, rules: Rules,
                      keep: Sequence[str] = ()) -> DataFrame:
     """Rows with a ``doc_id`` to (doc_id, *keep, doc, doc_json).
 
     Meant to run after placement: shuffles then move source rows, not built documents.
-    ``doc_json`` comes from the variant, whose fields are in name order: same row, same bytes.
+    ``doc_json`` lists the static part and then the dynamic part, each in name order: same
+    row, same bytes.  ``doc`` is the same document as a variant; a reader that needs only
+    one of the two pays only for that one.
     """
-    doc = F.to_variant_object(document_map(schema, rules, "variant"))
-    docs = rows.select("doc_id", *keep, doc.alias("doc"))
-    return docs.select("doc_id", *keep, "doc", F.to_json("doc").alias("doc_json"))
+    flat, dynamic = _with_dynamic(rows, schema, rules, "variant")
+    fields = sorted(static_part(schema, rules, "variant", dynamic), key=lambda nv: nv[0])
+    doc = F.to_variant_object(F.map_from_entries(_all_entries(fields, dynamic)))
+    texts = {}
+    if fields:
+        texts["_static_json"] = F.to_json(F.struct(*[v.alias(n) for n, v in fields]))
+    if dynamic is not None:
+        texts["_dynamic_json"] = F.to_json(F.to_variant_object(dynamic))
+    # the texts are columns of their own first, so that each is made once
+    parts = flat.select("doc_id", *keep, doc.alias("doc"), *[c.alias(n) for n, c in texts.items()])
+    if list(texts) == ["_static_json"]:
+        doc_json = F.col("_static_json")
+    else:
+        bodies = [_json_body(F.col(n)) for n in texts]
+        doc_json = F.concat(F.lit("{"), F.concat_ws(",", *bodies), F.lit("}"))
+    return parts.select("doc_id", *keep, "doc", doc_json.alias("doc_json"))
+
+
+def _all_entries(fields: Sequence[tuple[str, Column]], dynamic: Column | None) -> Column:
+    none = F.array().cast("array<struct<key:string,value:variant>>")
+    parts = [F.when(v.isNotNull(), F.array(F.struct(F.lit(n).alias("key"), v.alias("value"))))
+             .otherwise(none) for n, v in fields]
+    if dynamic is not None:
+        parts.append(F.map_entries(dynamic))
+    return F.concat(*parts) if parts else none
 
 
 def build_documents(df: DataFrame, rules: Rules, keep: Sequence[str] = ()) -> DataFrame:
@@ -128,12 +194,27 @@ def build_documents(df: DataFrame, rules: Rules, keep: Sequence[str] = ()) -> Da
     return render_documents(with_doc_id(df, rules), df.schema, rules, keep)
 
 
+def render_fields(rows: DataFrame, schema: T.StructType, rules: Rules,
+                  only: Collection[str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Rows with a ``doc_id`` to (doc_id, *keep, field, terms); terms are null where absent."""
+    flat, dynamic = _with_dynamic(rows, schema, rules, "terms", only)
+    entries = [F.struct(F.lit(n).alias("key"), v.alias("value"))
+               for n, v in static_part(schema, rules, "terms", dynamic, only)]
+    parts = [F.array(*entries)] if entries else []
+    if dynamic is not None:
+        parts.append(F.map_entries(dynamic))
+    if not parts:
+        parts = [F.array().cast("array<struct<key:string,value:array<string>>>")]
+    both = parts[0] if len(parts) == 1 else F.concat(*parts)
+    return flat.select("doc_id", *keep, F.inline(both).alias("field", "terms"))
+
+
 def render_terms(rows: DataFrame, schema: T.StructType, rules: Rules,
                  only: Collection[str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """Rows with a ``doc_id`` to the long form (doc_id, *keep, field, pos, term)."""
-    terms = document_map(schema, rules, "terms", only)
-    fields = rows.select("doc_id", *keep, F.explode(terms).alias("field", "terms"))
-    return fields.select("doc_id", *keep, "field", F.posexplode("terms").alias("pos", "term"))
+    # exploding drops the absent fields
+    return render_fields(rows, schema, rules, only, keep).select(
+        "doc_id", *keep, "field", F.posexplode("terms").alias("pos", "term"))
 
 
 def document_terms(df: DataFrame, rules: Rules, only: Collection[str] | None = None,
@@ -144,27 +225,30 @@ def document_terms(df: DataFrame, rules: Rules, only: Collection[str] | None = N
 
 def cast_failures(df: DataFrame, rules: Rules) -> Column:
     """Names of the fields of a row whose override could not convert the value."""
-    def failed(c: Column, dtype: T.DataType, name: Column, targets: dict[str, str]) -> Column:
+    def failed(c: Column, dtype: T.DataType, name: Column, names: Collection[str]) -> Column:
         hit = F.lit(False)
         for target in ("long", "integer", "double"):
-            fields = sorted(k for k, v in targets.items() if v == target)
+            fields = sorted(n for n in names if rules.overrides[n] == target)
             if fields:
                 hit = hit | (name.isin(*fields) & cast_failed(c, dtype, target))
         return hit
 
-    def failed_entries(f: T.StructField) -> Column:
+    none = F.array().cast("array<string>")
+
+    def failed_entries(f: T.StructField, names: Collection[str]) -> Column:
         bad = F.filter(_named_entries(f, rules, None), lambda e: failed(
-            e["value"], f.dataType.valueType, e["name"], dict(rules.overrides)))
-        return F.coalesce(F.transform(bad, lambda e: e["name"]), F.array().cast("array<string>"))
+            e["value"], f.dataType.valueType, e["key"], names))
+        return F.coalesce(F.transform(bad, lambda e: e["key"]), none)
 
-    names = F.array().cast("array<string>")
+    found = [none]
     for f in df.schema.fields:
-        if isinstance(f.dataType, T.MapType):
-            names = F.concat(names, failed_entries(f))
-        elif _kept(f.name, rules, None) and f.name in rules.overrides:
-            hit = failed(F.col(f.name), f.dataType, F.lit(f.name), dict(rules.overrides))
-            names = F.concat(names, F.array_compact(F.array(F.when(hit, F.lit(f.name)))))
-    return names
+        if _is_map(f):
+            if names := _reachable(f, rules.overrides):
+                found.append(failed_entries(f, names))
+        elif f.name in rules.overrides and f.name not in rules.deny:
+            hit = failed(F.col(f.name), f.dataType, F.lit(f.name), [f.name])
+            found.append(F.when(hit, F.array(F.lit(f.name))).otherwise(none))
+    return F.concat(*found)
 
 
 def generated_ids(docs: DataFrame, keep: Sequence[str] = (), block: int = 4096) -> DataFrame:

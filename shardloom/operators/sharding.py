@@ -36,7 +36,8 @@ def with_segment(sharded: DataFrame, segments: int | DataFrame,
     if num_shards is None or num_shards > MAX_SHARDS:
         raise ValueError(f"a segment plan needs num_shards, at most {MAX_SHARDS}")
     plan = F.broadcast(segments.select("shard", "segments"))  # at most num_shards rows
-    return sharded.join(plan, "shard").withColumn(
+    # every shard is in the plan; a left join just spares a null test that would hash twice
+    return sharded.join(plan, "shard", "left").withColumn(
         "segment", segment_of(F.col("doc_id"), F.col("segments"))).drop("segments")
 
 

@@ -2,6 +2,7 @@
 
 Layout below ``<work_dir>/<index_name>``::
 
+    fields/                       discovered field facts
     mapping/                      mapping JSON
     docs/generation=<g>/shard=/segment=/    documents
     postings/generation=<g>/      exact-term posting blocks
@@ -10,6 +11,7 @@ Layout below ``<work_dir>/<index_name>``::
 """
 from __future__ import annotations
 
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -17,12 +19,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from shardloom.functions.hashing import segment_of
 from shardloom.operators.discovery import discover_fields
 from shardloom.operators.documents import (
-    cast_failures, generated_ids, render_documents, render_terms, source_columns, with_doc_id,
+    cast_failures, generated_ids, render_documents, source_columns, with_doc_id,
 )
 from shardloom.operators.mapping import (
     explicit_fields, indexed_field_names, infer_mapping, mapping_json,
 )
-from shardloom.operators.postings import doc_ordinals, postings
+from shardloom.operators.postings import postings
 from shardloom.operators.segments import segment_manifest
 from shardloom.operators.sharding import (
     colocate, dedupe_first, dedupe_rejects, with_shard,
@@ -35,9 +37,6 @@ from shardloom.sources.side_tables import deny_list, load_rules, type_overrides
 from shardloom.sources.tables import json_fields, scan
 from shardloom.spec import BuildSpec, Rules
 
-REJECT_SCHEMA = "doc_id string, reason string, fields array<string>, refused bigint"
-
-
 @dataclass(frozen=True)
 class BuildResult:
     index: str
@@ -64,37 +63,50 @@ def build_rules(spec: BuildSpec, fields: DataFrame, deny: DataFrame | None = Non
         None if overrides is None else type_overrides(overrides, dt), fields, spec.max_fields)
 
 
-def shard_sizes(ids: DataFrame, spec: BuildSpec) -> tuple[list[int], int]:
-    """Segments per shard and the number of rows without an id, from one pass over the ids.
+@dataclass(frozen=True)
+class Sizes:
+    """What one pass over the ids tells: segments per shard, rows with and without an id."""
+
+    segments: tuple[int, ...]
+    named: int
+    nameless: int
+
+
+def shard_sizes(ids: DataFrame, spec: BuildSpec) -> Sizes:
+    """Size the segments from (shard, doc_id), a pass over the id columns alone.
 
     At most one row per shard comes back.  Distinct ids are estimated: repeated rows of a
     hot id must not inflate a shard, and the estimate only sizes segments.
     """
     rows = ids.groupBy("shard").agg(
-        F.approx_count_distinct("doc_id").alias("docs"),
-        F.count_if(F.col("doc_id").isNull()).alias("missing")).collect()
+        F.approx_count_distinct("doc_id").alias("docs"), F.count("doc_id").alias("named"),
+        F.count_if(F.col("doc_id").isNull()).alias("nameless")).collect()
     docs = {r["shard"]: r["docs"] for r in rows}
-    missing = sum(r["missing"] for r in rows)
+    named, nameless = sum(r["named"] for r in rows), sum(r["nameless"] for r in rows)
     if spec.partition_multiples:
-        return [spec.partition_multiples] * spec.num_shards, missing
-    # rows without an id are spread over all shards by their content
-    extra = -(-missing // spec.num_shards)
-    return [max(1, -(-(docs.get(s, 0) + extra) // spec.segment_docs))
-            for s in range(spec.num_shards)], missing
+        counts = [spec.partition_multiples] * spec.num_shards
+    else:
+        # rows without an id are spread over all shards by their content
+        extra = -(-nameless // spec.num_shards)
+        counts = [max(1, -(-(docs.get(s, 0) + extra) // spec.segment_docs))
+                  for s in range(spec.num_shards)]
+    return Sizes(tuple(counts), named, nameless)
+
 
+def _sharded(rows: DataFrame, spec: BuildSpec) -> DataFrame:
+    return with_shard(rows, spec.num_shards, F.col(spec.routing) if spec.routing else None)
 
-def _segment(df: DataFrame, counts: list[int]) -> DataFrame:
+
+def _segment(df: DataFrame, counts: Sequence[int]) -> DataFrame:
     """Segment from a per-shard count that is known by now: a literal lookup, no join."""
     per_shard = F.element_at(F.array(*map(F.lit, counts)), F.col("shard") + 1)
     return df.withColumn("segment", segment_of(F.col("doc_id"), per_shard))
 
 
-def placed_rows(rows: DataFrame, spec: BuildSpec, counts: list[int]) -> DataFrame:
+def placed_rows(rows: DataFrame, spec: BuildSpec, counts: Sequence[int]) -> DataFrame:
     """Rows with an id, first of each id, together per segment."""
-    with_id = rows.where(F.col("doc_id").isNotNull())
-    routing = F.col(spec.routing) if spec.routing else None
-    placed = _segment(with_shard(with_id, spec.num_shards, routing), counts)
-    if spec.dedupe:
+    placed = _segment(_sharded(rows.where(F.col("doc_id").isNotNull()), spec), counts)
+    if spec.dedupe and spec.id_field:
         placed = dedupe_first(placed, spec.order_by, spec.dedupe)
     return colocate(placed, counts, spec.num_shards)
 
@@ -113,7 +125,9 @@ def build_index(spark: SparkSession, spec: BuildSpec, deny: DataFrame | None = N
 
     state("deleted")  # whatever an earlier build of this index recorded no longer counts
     source = source_rows(spark, spec)
-    fields = discover_fields(source)
+    # one discovery pass over the map columns; everything after it reads this small table
+    discover_fields(source).coalesce(1).write.mode("overwrite").parquet(f"{root}/fields")
+    fields = spark.read.parquet(f"{root}/fields")
     rules = build_rules(spec, fields, deny, overrides)
     mapping = infer_mapping(
         fields, None if overrides is None else type_overrides(overrides, spec.snapshot_date),
@@ -128,31 +142,29 @@ def build_index(spark: SparkSession, spec: BuildSpec, deny: DataFrame | None = N
     schema: T.StructType = source.schema
     rows = with_doc_id(source, rules)
     rejected = []
-    if spec.on_error == "reject":
+    if spec.on_error == "reject" and rules.overrides:
         rows = rows.withColumn("_bad", cast_failures(source, rules))
         rejected.append(rows.where("size(_bad) > 0").select(
             "doc_id", F.lit("cast").alias("reason"), F.col("_bad").alias("fields"),
             F.lit(1).cast("bigint").alias("refused")))
         rows = rows.where("size(_bad) = 0").drop("_bad")
-    routing = F.col(spec.routing) if spec.routing else None
-    counts, missing = shard_sizes(
-        with_shard(rows, spec.num_shards, routing).select(
-            F.coalesce("shard", F.lit(0)).alias("shard"), "doc_id"), spec)
+    sizes = shard_sizes(_sharded(rows, spec).select("shard", "doc_id"), spec)
 
-    placed = placed_rows(rows, spec, counts)
-    keep = ["shard", "segment", "slot"]
     manifest_path = f"{root}/manifest"
     generation = next_generation(spark, manifest_path)
     docs_path = f"{root}/docs/generation={generation}"
-    if missing:
-        docs = _with_generated(rows, placed, schema, rules, spec, counts)
+    placed = placed_rows(rows, spec, sizes.segments)
+    if sizes.nameless:
+        docs = _with_generated(rows, placed, schema, rules, spec, sizes.segments)
     else:
-        docs = render_documents(placed, schema, rules, keep)
+        docs = render_documents(placed, schema, rules, ["shard", "segment", "slot"])
     write_sharded(docs, docs_path)
 
-    if spec.dedupe and spec.keep_rejects and spec.id_field:
-        sharded = _segment(with_shard(rows.where("doc_id is not null"), spec.num_shards, routing),
-                           counts)
+    bundles = stored_bundles(spark, docs_path)
+    stored = bundles.agg(F.sum("docs").alias("n")).first()["n"] or 0
+    refused = sizes.named + sizes.nameless - stored
+    if spec.dedupe and spec.keep_rejects and refused:
+        sharded = _segment(_sharded(rows.where(F.col("doc_id").isNotNull()), spec), sizes.segments)
         rejected.append(dedupe_rejects(sharded, spec.order_by, spec.dedupe).select(
             "doc_id", F.lit("repeated id").alias("reason"),
             F.lit(None).cast("array<string>").alias("fields"), "refused"))
@@ -168,54 +180,56 @@ def build_index(spark: SparkSession, spec: BuildSpec, deny: DataFrame | None = N
     if with_postings:
         postings_path = f"{root}/postings/generation={generation}"
         indexed = indexed_field_names(mapping, spec.max_fields)
-        _write_postings(spark, placed, schema, rules, spec, indexed, docs_path, postings_path,
-                        bool(missing), counts)
+        terms = stored_terms(spark, docs_path, indexed)
+        blocks = postings(terms, spec.postings_block, spec.max_term_bytes)
+        colocate(blocks, sizes.segments, spec.num_shards) \
+            .sortWithinPartitions("shard", "segment", "field", "term", "block") \
+            .drop("slot").write.mode("overwrite").partitionBy("shard", "segment").parquet(postings_path)
 
-    stored = spark.read.parquet(docs_path).groupBy("shard", "segment").agg(
-        F.count(F.lit(1)).alias("docs"))
-    bundles = stored.select("shard", "segment", "docs", F.lit(0).cast("bigint").alias("deleted"))
     commit_manifest(segment_manifest(bundles, generation)
                     .withColumn("path", F.lit(docs_path)), manifest_path)
     state("completed")
     return BuildResult(spec.index_name, generation, docs_path, postings_path, rejects_path,
-                       mapping_path, manifest_path, tuple(counts))
+                       mapping_path, manifest_path, sizes.segments)
 
 
 def _with_generated(rows: DataFrame, placed: DataFrame, schema: T.StructType, rules: Rules,
-                    spec: BuildSpec, counts: list[int]) -> DataFrame:
+                    spec: BuildSpec, counts: Sequence[int]) -> DataFrame:
     """Documents with and without an id of their own, together per segment."""
     named = render_documents(placed, schema, rules, ["shard", "segment"])
     kept = [spec.routing] if spec.routing else []
     nameless = render_documents(rows.where(F.col("doc_id").isNull()), schema, rules, kept)
-    routing = F.col(spec.routing) if spec.routing else None
-    new = _segment(with_shard(generated_ids(nameless, kept), spec.num_shards, routing), counts)
+    new = _segment(_sharded(generated_ids(nameless, kept), spec), counts)
     both = named.unionByName(new.select(*named.columns))
     return colocate(both, counts, spec.num_shards)
 
 
-def _write_postings(spark: SparkSession, placed: DataFrame, schema: T.StructType, rules: Rules,
-                    spec: BuildSpec, indexed: frozenset[str], docs_path: str, path: str,
-                    generated: bool, counts: list[int]) -> None:
-    if generated:
-        # generated ids exist only for stored documents: take the terms from those
-        stored = colocate(spark.read.parquet(docs_path), counts, spec.num_shards)
-        numbered = doc_ordinals(stored)
-        terms = _stored_terms(numbered, indexed)
-    else:
-        numbered = doc_ordinals(placed)
-        terms = render_terms(numbered, schema, rules, indexed,
-                             ["shard", "segment", "slot", "ord"])
-    blocks = postings(terms, spec.postings_block, spec.max_term_bytes)
-    blocks.sortWithinPartitions("shard", "segment", "field", "term", "block") \
-        .write.mode("overwrite").partitionBy("shard", "segment").parquet(path)
-
-
-def _stored_terms(numbered: DataFrame, indexed: frozenset[str]) -> DataFrame:
-    keys = ["shard", "segment", "slot", "ord"]
-    fields = F.from_json("doc_json", "map<string,string>")
-    entries = numbered.select(*keys, F.explode(fields).alias("field", "text")) \
-        .where(F.col("field").isin(*sorted(indexed)))
-    as_list = F.when(F.startswith("text", F.lit("[")) & F.endswith("text", F.lit("]")),
-                     F.from_json("text", "array<string>"))
-    terms = F.coalesce(as_list, F.array("text"))
-    return entries.select(*keys, "field", F.explode(terms).alias("term"))
+def stored_bundles(spark: SparkSession, docs_path: str) -> DataFrame:
+    """(shard, segment, docs, deleted) of what was written; reads no column.
+
+    A segment is one file: two would mean that its documents met in no single task.
+    """
+    files = F.count_distinct(F.col("_metadata.file_name"))
+    found = spark.read.parquet(docs_path).groupBy("shard", "segment").agg(
+        F.count(F.lit(1)).alias("docs"), files.alias("files"))
+    docs = F.when(F.col("files") == 1, F.col("docs")).otherwise(
+        F.raise_error(F.lit("a segment was stored in more than one file")).cast("bigint"))
+    return found.select("shard", "segment", docs.alias("docs"),
+                        F.lit(0).cast("bigint").alias("deleted"))
+
+
+def stored_terms(spark: SparkSession, docs_path: str, indexed: Collection[str]) -> DataFrame:
+    """(shard, segment, ord, field, term) of stored documents.
+
+    A segment is one file in id order, so a document's ordinal is its row number in the
+    file: no window, no shuffle.  In the stored JSON a value in brackets is an array; any
+    such text was turned into one when the document was built.
+    """
+    stored = spark.read.parquet(docs_path).select(
+        "shard", "segment", F.col("_metadata.row_index").alias("ord"),
+        F.explode(F.from_json("doc_json", "map<string,string>")).alias("field", "text"))
+    wanted = stored.where(F.col("field").isin(*sorted(indexed))) if indexed \
+        else stored.where(F.lit(False))
+    is_array = F.startswith("text", F.lit("[")) & F.endswith("text", F.lit("]"))
+    terms = F.when(is_array, F.from_json("text", "array<string>")).otherwise(F.array("text"))
+    return wanted.select("shard", "segment", "ord", "field", F.explode(terms).alias("term"))

@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shardloom.operators.discovery import discover_fields
 from shardloom.operators.documents import (
-    build_documents, cast_failures, document_terms, generated_ids, with_doc_id,
+    build_documents, cast_failures, document_terms, generated_ids, render_fields, with_doc_id,
 )
 from shardloom.sources import deny_list, load_rules, type_overrides
 from shardloom.spec import Rules
@@ -133,11 +133,10 @@ def doc_array_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of whole texts as an array column."""
     rows = fx.table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("id"), F.split("text", "\n").alias("lines"))
-    from shardloom.operators.documents import document_map
     rules = Rules(id_field="id")
-    terms = document_map(rows.schema, rules, "terms")["lines"]
-    return with_doc_id(rows, rules).select("doc_id", terms.alias("t")).select(
-        "doc_id", F.size("t").alias("terms"), F.md5(F.array_join("t", "|")).alias("digest"))
+    fields = render_fields(with_doc_id(rows, rules), rows.schema, rules, only={"lines"})
+    return fields.select("doc_id", F.size("terms").alias("terms"),
+                         F.md5(F.array_join("terms", "|")).alias("digest"))
 
 
 @query("doc_array_typed", """

@@ -36,8 +36,8 @@ def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PLACE_SQL = f"""{fx.shard_sql('CAST(o_orderkey AS VARCHAR)')} AS shard,
     CAST({fx.hash_sql('CAST(o_orderkey AS VARCHAR)', 9)} % {SEGMENTS} AS INTEGER) AS segment"""
 
-_JSON_SQL = """concat('{"custkey":', o_custkey, ',"flag":"', o_orderkey % 2, '","odate":"', strftime(o_orderdate, '%Y%m%d'),
-    '","pri_key":"', o_orderkey, '","prio":"', o_orderpriority, '","status":"', o_orderstatus, '"}')"""
+_JSON_SQL = """concat('{"custkey":', o_custkey, ',"odate":"', strftime(o_orderdate, '%Y%m%d'), '","pri_key":"', o_orderkey,
+    '","prio":"', o_orderpriority, '","status":"', o_orderstatus, '","flag":"', o_orderkey % 2, '"}')"""
 
 
 @query("sink_overwrite", f"""
