@@ -31,7 +31,7 @@ from shardloom.operators.sharding import (
 )
 from shardloom.session import prepare
 from shardloom.sinks.files import (
-    append_state, commit_manifest, next_generation, write_mapping, write_sharded,
+    append_state, commit_manifest, delete_path, next_generation, write_mapping, write_sharded,
 )
 from shardloom.sources.side_tables import deny_list, load_rules, type_overrides
 from shardloom.sources.tables import json_fields, scan
@@ -123,10 +123,12 @@ def build_index(spark: SparkSession, spec: BuildSpec, deny: DataFrame | None = N
             append_state(spark, spec.ledger_path, spec.index_name, name, spec.num_shards,
                          spec.type_name, spec.work_dir)
 
+    if spec.clean_first:
+        delete_path(spark, root)
     state("deleted")  # whatever an earlier build of this index recorded no longer counts
     source = source_rows(spark, spec)
     # one discovery pass over the map columns; everything after it reads this small table
-    discover_fields(source).coalesce(1).write.mode("overwrite").parquet(f"{root}/fields")
+    discover_fields(source).write.mode("overwrite").parquet(f"{root}/fields")
     fields = spark.read.parquet(f"{root}/fields")
     rules = build_rules(spec, fields, deny, overrides)
     mapping = infer_mapping(

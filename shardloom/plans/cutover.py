@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shardloom.operators import lifecycle
 from shardloom.operators.segments import latest_generation
-from shardloom.sinks.files import read_manifest
+from shardloom.sinks.files import delete_path, read_manifest
 
 
 @dataclass(frozen=True)
@@ -45,8 +45,12 @@ def shard_reports(spark: SparkSession, idx: str, manifest_path: str) -> DataFram
 def cut_over(spark: SparkSession, idx: str, alias: str, manifest_path: str,
              aliases: DataFrame, versions: DataFrame, retention_days: int = -2,
              expected_docs: int | None = None,
-             settings: Mapping[str, str] | None = None, view: bool = True) -> CutoverResult:
-    """Move ``alias`` to version ``idx`` if it is healthy; close and expire older versions."""
+             settings: Mapping[str, str] | None = None, view: bool = True,
+             work_dir: str | None = None) -> CutoverResult:
+    """Move ``alias`` to version ``idx`` if it is healthy; close and expire older versions.
+
+    With ``work_dir`` the folder of the expired version is removed as well.
+    """
     one = spark.range(1).select(F.lit(idx).alias("idx"), F.lit(alias).alias("alias"))
     gate = lifecycle.health_gate(one.select("idx"), shard_reports(spark, idx, manifest_path))
     healthy = gate.first()["healthy"]
@@ -65,6 +69,9 @@ def cut_over(spark: SparkSession, idx: str, alias: str, manifest_path: str,
     left = lifecycle.version_expire(closed, one, retention_days)
     if view:
         publish_view(spark, alias, newest.select("path").first()["path"], settings)
+    if work_dir:
+        for row in expired.collect():  # one version at most: the name is made from ``idx``
+            delete_path(spark, f"{work_dir.rstrip('/')}/{row['idx']}")
     return CutoverResult(True, moved, left, losers, expired)
 
 

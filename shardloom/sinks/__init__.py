@@ -1,9 +1,10 @@
 from shardloom.sinks.files import (
-    append_state, append_states, bulk_lines, commit_manifest, next_generation, read_ledger, read_manifest,
+    append_state, append_states, bulk_lines, commit_manifest, delete_path,
+    next_generation, read_ledger, read_manifest,
     read_published, write_bulk, write_mapping, write_sharded,
 )
 
 __all__ = [
-    "append_state", "append_states", "bulk_lines", "commit_manifest", "next_generation", "read_ledger",
+    "append_state", "append_states", "bulk_lines", "commit_manifest", "delete_path", "next_generation", "read_ledger",
     "read_manifest", "read_published", "write_bulk", "write_mapping", "write_sharded",
 ]

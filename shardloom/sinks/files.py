@@ -28,6 +28,13 @@ def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Remove a folder through the cluster's own file system; False if there was none."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def write_sharded(docs: DataFrame, path: str, columns: tuple[str, ...] = ("doc_id", "doc_json")) -> None:
     """One Parquet file per (shard, segment), documents in id order; replaces ``path``.
 
@@ -53,7 +60,7 @@ def write_bulk(docs: DataFrame, path: str, max_records_per_file: int = 0) -> Non
 
 
 def write_mapping(mapping_json: DataFrame, path: str) -> None:
-    mapping_json.select("json").coalesce(1).write.mode("overwrite").text(path)
+    mapping_json.select("json").write.mode("overwrite").text(path)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -66,8 +73,8 @@ def next_generation(spark: SparkSession, path: str) -> int:
 
 
 def commit_manifest(manifest: DataFrame, path: str) -> None:
-    """Append a segment list; it is one row per segment, so one small file."""
-    manifest.coalesce(1).write.mode("append").parquet(path)
+    """Append a segment list, one row per segment."""
+    manifest.write.mode("append").parquet(path)
 
 
 def read_published(spark: SparkSession, manifest_path: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Table, delimited-text and JSON-column sources."""
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -15,16 +16,20 @@ def scan(spark: SparkSession, table: str, where: str | None = None,
     return df.select(*columns) if columns else df
 
 
-def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str,
-                   sep: str = "\t") -> DataFrame:
+def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = "\t",
+                   partition_columns: Sequence[str] = ("dt",)) -> DataFrame:
     """Delimited text files; ``key=value`` folders below ``path`` become partition columns.
 
-    Quoting is off, as in a plain delimited table: a field is whatever stands between
-    two separators.
+    A field is whatever stands between two separators: quotes mean nothing, an empty field
+    is an empty text, ``\\N`` is null, and so is a missing field or one of another type.
     """
-    return (spark.read.schema(schema)
-            .options(sep=sep, quote="", escape="", emptyValue="", nullValue="\\N")
-            .csv(path))
+    fields = T.StructType.fromDDL(schema).fields
+    folders = [f for f in fields if f.name in partition_columns]
+    lines = spark.read.schema(T.StructType([T.StructField("value", T.StringType()), *folders])).text(path)
+    parts = F.split("value", re.escape(sep))
+    texts = [(f, F.get(parts, F.lit(i))) for i, f in enumerate(f for f in fields if f not in folders)]
+    columns = [F.when(text != "\\N", text).try_cast(f.dataType).alias(f.name) for f, text in texts]
+    return lines.select(*columns, *[f.name for f in folders])
 
 
 def json_fields(df: DataFrame, column: str, into: str | None = None) -> DataFrame:

@@ -62,6 +62,7 @@ class BuildSpec:
     arrays: str = "compat"
     on_error: str = "fail"
     keep_rejects: bool = True
+    clean_first: bool = False       # drop the index folder, older generations too, before the build
 
     def __post_init__(self):
         if self.num_shards < 1:

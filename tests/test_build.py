@@ -83,6 +83,9 @@ def test_second_run_gives_the_same_bytes_under_a_new_generation(spark, small):
     assert (first.generation, second.generation) == (1, 2)
     a, b = (spark.read.parquet(r.docs_path) for r in (first, second))
     assert a.exceptAll(b).count() == b.exceptAll(a).count() == 0
+    cleaned = build_index(spark, BuildSpec(**{**spec.__dict__, "clean_first": True}), with_postings=False)
+    assert cleaned.generation == 1 and read_manifest(spark, cleaned.manifest_path).select("path").distinct().count() == 1
+    second = build_index(spark, spec, with_postings=False)
     assert read_published(spark, second.manifest_path).inputFiles()[0].split("generation=")[1][0] == "2"
 
 
@@ -167,8 +170,11 @@ def test_cut_over(spark, small):
     aliases = spark.sql("select * from values ('lines_20240115', 'lines'), ('other_20240114', 'other') t(idx, alias)")
     new = results["lines_20240116"]
     done = cut_over(spark, "lines_20240116", "lines_live", new.manifest_path,
-                    aliases.replace("lines", "lines_live", "alias"), versions, settings={"refresh": "1's"})
+                    aliases.replace("lines", "lines_live", "alias"), versions, settings={"refresh": "1's"},
+                    work_dir=work)
     assert done.published
+    assert read_manifest(spark, results["lines_20240114"].manifest_path).count() == 0
+    assert read_published(spark, results["lines_20240115"].manifest_path).count() > 0
     assert sorted(tuple(r) for r in done.aliases.collect()) == [
         ("lines_20240116", "lines_live"), ("other_20240114", "other")]
     assert {tuple(r) for r in done.versions.collect()} == {
