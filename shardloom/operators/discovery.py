@@ -48,14 +48,10 @@ def map_fields(df: DataFrame) -> DataFrame:
     columns = map_columns(df.schema)
     if not columns:
         return plain_fields(df).where(F.lit(False))
-    no_keys = F.array().cast("array<struct<src:int,key:string>>")
-
-    def tagged_keys(number: int, name: str):
-        return F.coalesce(F.transform(F.map_keys(F.col(name)), lambda k: F.struct(
-            F.lit(number).alias("src"), k.cast("string").alias("key"))), no_keys)
-
-    per_column = [tagged_keys(i, f.name) for i, f in enumerate(columns)]
-    keys = df.select(F.inline(F.concat(*per_column))).distinct()
+    # (column number, key array) pairs, unfolded twice: generated code all the way
+    pairs = [F.struct(F.lit(i).alias("src"), F.map_keys(F.col(f.name)).cast("array<string>").alias("keys"))
+             for i, f in enumerate(columns)]
+    keys = df.select(F.inline(F.array(*pairs))).select("src", F.explode("keys").alias("key")).distinct()
     named = F.lit(None).cast("struct<field:string,src_type:string,is_plain:boolean,src_col:string>")
     for i, f in enumerate(columns):
         row = _field_row(map_field_name(f.name, F.col("key")),
