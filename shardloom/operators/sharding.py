@@ -28,11 +28,25 @@ def segment_plan(sharded: DataFrame, target_docs: int) -> DataFrame:
         F.greatest(F.ceil(F.col("docs") / target_docs), F.lit(1)).cast("int").alias("segments"))
 
 
-def with_segment(sharded: DataFrame, segments: int | DataFrame,
+def planned_segments(sharded: DataFrame, target_docs: int, num_shards: int) -> list[int]:
+    """The segment plan as a count per shard: one small job, at most one row per shard."""
+    rows = segment_plan(sharded, target_docs).collect()
+    found = {r["shard"]: r["segments"] for r in rows}
+    return [found.get(shard, 1) for shard in range(num_shards)]
+
+
+def with_segment(sharded: DataFrame, segments: int | Sequence[int] | DataFrame,
                  num_shards: int | None = None) -> DataFrame:
-    """Segment number of every document, from a fixed count or a ``segment_plan``."""
+    """Segment number of every document.
+
+    ``segments`` is one count for all shards, a count per shard (a literal lookup), or a
+    ``segment_plan`` that is still to be computed (a join of one row per shard).
+    """
     if isinstance(segments, int):
         return sharded.withColumn("segment", segment_of(F.col("doc_id"), segments))
+    if not isinstance(segments, DataFrame):
+        per_shard = F.element_at(F.array(*map(F.lit, segments)), F.col("shard") + 1)
+        return sharded.withColumn("segment", segment_of(F.col("doc_id"), per_shard))
     if num_shards is None or num_shards > MAX_SHARDS:
         raise ValueError(f"a segment plan needs num_shards, at most {MAX_SHARDS}")
     plan = F.broadcast(segments.select("shard", "segments"))  # at most num_shards rows

@@ -16,7 +16,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from shardloom.functions.hashing import segment_of
 from shardloom.operators.discovery import discover_fields
 from shardloom.operators.documents import (
     cast_failures, generated_ids, render_documents, source_columns, with_doc_id,
@@ -27,7 +26,7 @@ from shardloom.operators.mapping import (
 from shardloom.operators.postings import postings
 from shardloom.operators.segments import segment_manifest
 from shardloom.operators.sharding import (
-    colocate, dedupe_first, dedupe_rejects, with_shard,
+    colocate, dedupe_first, dedupe_rejects, with_segment, with_shard,
 )
 from shardloom.session import prepare
 from shardloom.sinks.files import (
@@ -97,15 +96,9 @@ def _sharded(rows: DataFrame, spec: BuildSpec) -> DataFrame:
     return with_shard(rows, spec.num_shards, F.col(spec.routing) if spec.routing else None)
 
 
-def _segment(df: DataFrame, counts: Sequence[int]) -> DataFrame:
-    """Segment from a per-shard count that is known by now: a literal lookup, no join."""
-    per_shard = F.element_at(F.array(*map(F.lit, counts)), F.col("shard") + 1)
-    return df.withColumn("segment", segment_of(F.col("doc_id"), per_shard))
-
-
 def placed_rows(rows: DataFrame, spec: BuildSpec, counts: Sequence[int]) -> DataFrame:
     """Rows with an id, first of each id, together per segment."""
-    placed = _segment(_sharded(rows.where(F.col("doc_id").isNotNull()), spec), counts)
+    placed = with_segment(_sharded(rows.where(F.col("doc_id").isNotNull()), spec), counts)
     if spec.dedupe and spec.id_field:
         placed = dedupe_first(placed, spec.order_by, spec.dedupe)
     return colocate(placed, counts, spec.num_shards)
@@ -166,7 +159,7 @@ def build_index(spark: SparkSession, spec: BuildSpec, deny: DataFrame | None = N
     stored = bundles.agg(F.sum("docs").alias("n")).first()["n"] or 0
     refused = sizes.named + sizes.nameless - stored
     if spec.dedupe and spec.keep_rejects and refused:
-        sharded = _segment(_sharded(rows.where(F.col("doc_id").isNotNull()), spec), sizes.segments)
+        sharded = with_segment(_sharded(rows.where(F.col("doc_id").isNotNull()), spec), sizes.segments)
         rejected.append(dedupe_rejects(sharded, spec.order_by, spec.dedupe).select(
             "doc_id", F.lit("repeated id").alias("reason"),
             F.lit(None).cast("array<string>").alias("fields"), "refused"))
@@ -201,7 +194,7 @@ def _with_generated(rows: DataFrame, placed: DataFrame, schema: T.StructType, ru
     named = render_documents(placed, schema, rules, ["shard", "segment"])
     kept = [spec.routing] if spec.routing else []
     nameless = render_documents(rows.where(F.col("doc_id").isNull()), schema, rules, kept)
-    new = _segment(_sharded(generated_ids(nameless, kept), spec), counts)
+    new = with_segment(_sharded(generated_ids(nameless, kept), spec), counts)
     both = named.unionByName(new.select(*named.columns))
     return colocate(both, counts, spec.num_shards)
 

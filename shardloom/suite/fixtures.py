@@ -6,13 +6,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shardloom.operators.sharding import segment_plan, with_segment, with_shard
+from shardloom.operators.sharding import (
+    colocate, planned_segments, segment_plan, with_segment, with_shard,
+)
 from shardloom.spec import Rules
 
 SNAPSHOT = "20991231"
 NUM_SHARDS = 3
 TARGET_DOCS = 2_000     # documents per segment of the placement queries
-BUNDLE_DOCS = 400       # smaller, so that shards have more than ten segments
+BUNDLE_SEGMENTS = 13    # segments per shard of the bundle listings, however many documents
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -115,6 +117,13 @@ def place(docs: DataFrame, target: int = TARGET_DOCS, routing: Column | None = N
     return with_segment(sharded, segment_plan(sharded, target), num_shards)
 
 
+def together(docs: DataFrame, ids: DataFrame | None = None) -> DataFrame:
+    """Placed documents, one task per segment; ``ids`` are the documents' ids for sizing."""
+    sized = with_shard((docs if ids is None else ids).select("doc_id"), NUM_SHARDS)
+    counts = planned_segments(sized, TARGET_DOCS, NUM_SHARDS)
+    return colocate(with_segment(with_shard(docs, NUM_SHARDS), counts), counts, NUM_SHARDS)
+
+
 def placed_sql(source: str, target: int = TARGET_DOCS, routing: str = "doc_id",
                num_shards: int = NUM_SHARDS) -> str:
     """CTEs ending in ``placed``: the rows of ``source`` (has doc_id) with shard and segment."""
@@ -167,14 +176,16 @@ latest AS (SELECT idx, state FROM (SELECT idx, arg_max(state, (ts, event_id)) AS
 
 def bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(shard, segment, docs, deleted) of the placed orders."""
-    return place(order_ids(spark, sf_dir).select("doc_id", "o_orderstatus"), BUNDLE_DOCS) \
-        .groupBy("shard", "segment").agg(
-            F.count(F.lit(1)).alias("docs"), F.count_if(F.col("o_orderstatus") == "P").alias("deleted"))
+    docs = order_ids(spark, sf_dir).select("doc_id", "o_orderstatus")
+    return with_segment(with_shard(docs, NUM_SHARDS), BUNDLE_SEGMENTS).groupBy("shard", "segment").agg(
+        F.count(F.lit(1)).alias("docs"), F.count_if(F.col("o_orderstatus") == "P").alias("deleted"))
 
 
-BUNDLES_SQL = f"""{placed_sql(ORDER_IDS, BUNDLE_DOCS)},
+BUNDLES_SQL = f"""
+bundled AS (SELECT *, {shard_sql('doc_id')} AS shard,
+              CAST({hash_sql('doc_id', 9)} % {BUNDLE_SEGMENTS} AS INTEGER) AS segment FROM ({ORDER_IDS}) s),
 bundles AS (SELECT shard, segment, count(*) AS docs,
-              count(*) FILTER (o_orderstatus = 'P') AS deleted FROM placed GROUP BY ALL)"""
+              count(*) FILTER (o_orderstatus = 'P') AS deleted FROM bundled GROUP BY ALL)"""
 
 
 # ---- versions: one per user group and day ----------------------------------------------

@@ -14,7 +14,7 @@ from shardloom.operators.postings import (
 from shardloom.operators.segments import (
     latest_generation, segment_manifest, shard_merge, shard_totals,
 )
-from shardloom.operators.sharding import colocate, with_segment, with_shard
+from shardloom.operators.sharding import with_segment, with_shard
 from shardloom.session import shared_dir
 from shardloom.sinks import commit_manifest, next_generation, read_manifest, write_sharded
 from shardloom.spec import Rules
@@ -113,14 +113,11 @@ def doc_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("segment_compact", f"""
-    SELECT {fx.shard_sql('CAST(o_orderkey AS VARCHAR)')} AS shard,
-           CAST({fx.hash_sql('CAST(o_orderkey AS VARCHAR)', 9)} % 4 AS INTEGER) AS segment,
-           count(*) AS docs, CAST(1 AS BIGINT) AS files
-    FROM orders GROUP BY ALL""")
+    WITH {fx.placed_sql(fx.ORDER_IDS)}
+    SELECT shard, segment, count(*) AS docs, CAST(1 AS BIGINT) AS files FROM placed GROUP BY ALL""")
 def segment_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "compact")
-    placed = with_segment(with_shard(fx.order_ids(spark, sf_dir), fx.NUM_SHARDS), 4)
-    write_sharded(colocate(placed, 4, fx.NUM_SHARDS), path, ("doc_id", "o_orderstatus"))
+    write_sharded(fx.together(fx.order_ids(spark, sf_dir)), path, ("doc_id", "o_orderstatus"))
     per_file = spark.read.parquet(path).groupBy(
         "shard", "segment", F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
     return per_file.groupBy("shard", "segment").agg(

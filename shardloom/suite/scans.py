@@ -7,6 +7,7 @@ from shardloom.functions import bundle_path, snapshot_date
 from shardloom.operators.discovery import discover_fields
 from shardloom.operators.documents import document_terms
 from shardloom.operators.mapping import infer_mapping, mapping_json
+from shardloom.operators.sharding import colocate, with_segment, with_shard
 from shardloom.session import shared_dir
 from shardloom.sinks import write_mapping
 from shardloom.sources import (
@@ -96,9 +97,10 @@ def scan_json_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _written_bundles(spark: SparkSession, sf_dir: str) -> str:
     """Bundle folders: one text file per segment, plus an unfinished and an empty file per shard."""
     path = shared_dir(spark, "bundles")
-    placed = fx.place(fx.order_ids(spark, sf_dir).select("doc_id"), fx.BUNDLE_DOCS)
-    placed.select(F.col("doc_id").alias("value"), "shard", "segment") \
-        .repartition(fx.NUM_SHARDS, "shard", "segment") \
+    placed = with_segment(with_shard(fx.order_ids(spark, sf_dir).select("doc_id"), fx.NUM_SHARDS),
+                          fx.BUNDLE_SEGMENTS)
+    colocate(placed, fx.BUNDLE_SEGMENTS, fx.NUM_SHARDS) \
+        .select(F.col("doc_id").alias("value"), "shard", "segment") \
         .write.partitionBy("shard", "segment").text(path)
     for shard in range(fx.NUM_SHARDS):
         fx.put_file(spark, f"{path}/shard={shard}/segment=0/p0_{shard}.zip_tmp", "unfinished")
@@ -125,9 +127,9 @@ def bundle_list_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed.select(*_place_of("path")).groupBy("shard").agg(F.count(F.lit(1)).alias("files"))
 
 
-@query("bundle_largest", f"""WITH {fx.placed_sql(fx.ORDER_IDS, fx.BUNDLE_DOCS)},
+@query("bundle_largest", f"""WITH {fx.BUNDLES_SQL},
     files AS (SELECT shard, segment, CAST(sum(strlen(doc_id) + 1) AS BIGINT) AS length
-              FROM placed GROUP BY ALL)
+              FROM bundled GROUP BY ALL)
     SELECT shard, arg_max(segment, (length, CAST(segment AS VARCHAR))) AS segment,
            max(length) AS length FROM files GROUP BY shard""")
 def bundle_largest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ _LEDGER_SCHEMA = "idx string, state string, ts timestamp_ntz, event_id bigint"
 
 def _land(spark: SparkSession, sf_dir: str, folder: str, where: str) -> None:
     rows = fx.order_ids(spark, sf_dir).where(where).withColumn("shard", F.col("o_orderkey") % 3)
-    rows.select("doc_id", "o_orderstatus", "o_custkey", "shard").repartition(3, "shard") \
+    rows.select("doc_id", "o_orderstatus", "o_custkey", "shard") \
         .write.mode("append").partitionBy("shard").parquet(folder)
 
 
@@ -35,7 +35,7 @@ def intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx.put_file(spark, f"{folder}/shard=0/p7_0.parquet_tmp", "half written")
     run_to_end(stream_bundles(spark, folder, _BUNDLE_SCHEMA, checkpoint, target))
     _land(spark, sf_dir, folder, "o_orderstatus = 'P'")
-    run_to_end(stream_bundles(spark, folder, _BUNDLE_SCHEMA, checkpoint, target, 1))
+    run_to_end(stream_bundles(spark, folder, _BUNDLE_SCHEMA, checkpoint, target))
     return spark.read.parquet(target).groupBy("o_orderstatus", "shard").agg(
         F.count(F.lit(1)).alias("docs"), F.sum("o_custkey").alias("keys"))
 
@@ -47,7 +47,7 @@ def until_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, target = shared_dir(spark, "landing"), shared_dir(spark, "taken")
     for part in ("o_orderkey % 2 = 0", "o_orderkey % 2 = 1"):
         _land(spark, sf_dir, folder, part)
-    run_to_end(stream_bundles(spark, folder, _BUNDLE_SCHEMA, shared_dir(spark, "intake"), target, 2))
+    run_to_end(stream_bundles(spark, folder, _BUNDLE_SCHEMA, shared_dir(spark, "intake"), target))
     taken = spark.read.parquet(target)
     listed = spark.read.parquet(folder).select("shard", F.col("_metadata.file_name").alias("path")).distinct()
     left = lifecycle.pending(listed, taken.select(F.col("bundle").alias("path"))) \
@@ -57,20 +57,14 @@ def until_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
         "shard", "docs", F.coalesce("pending", F.lit(0)).alias("pending"))
 
 
-def _ledger_files(spark: SparkSession, sf_dir: str) -> str:
-    path = shared_dir(spark, "ledger")
-    rows = fx.ledger(spark, sf_dir)
-    for part in ("event_id % 3 = 0", "event_id % 3 <> 0"):
-        rows.where(part).write.mode("append").parquet(path)
-    return path
-
-
 @query("stream_state_latest", f"""WITH {fx.LEDGER_SQL}
     SELECT idx, arg_max(state, (ts, event_id)) AS state FROM ledger GROUP BY idx""")
 def running_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = shared_dir(spark, "states")
-    run_to_end(stream_latest_states(spark, _ledger_files(spark, sf_dir), _LEDGER_SCHEMA,
-                                    shared_dir(spark, "checkpoint"), target, ("ts", "event_id"), 1))
+    """Two runs on one checkpoint; the records arrive out of order."""
+    path, target, checkpoint = (shared_dir(spark, p) for p in ("ledger", "states", "checkpoint"))
+    for part in ("event_id % 3 = 0", "event_id % 3 <> 0"):
+        fx.ledger(spark, sf_dir).where(part).write.mode("append").parquet(path)
+        run_to_end(stream_latest_states(spark, path, _LEDGER_SCHEMA, checkpoint, target, ("ts", "event_id")))
     return latest_from_updates(spark, target)
 
 
@@ -79,11 +73,9 @@ def running_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT event_id, idx, CASE WHEN rn = 1 THEN 'build' WHEN state = 'completed' THEN 'complete' ELSE 'log' END AS action
     FROM ranked""")
 def state_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records in time order over two batches: the first of an index starts its build."""
-    path = shared_dir(spark, "ledger")
-    rows, target = fx.ledger(spark, sf_dir), shared_dir(spark, "events")
+    """Records in time order over two runs: the first of an index starts its build."""
+    path, target, checkpoint = (shared_dir(spark, p) for p in ("ledger", "events", "checkpoint"))
     for part in ("ts < timestamp_ntz'2024-01-10'", "ts >= timestamp_ntz'2024-01-10'"):
-        rows.where(part).coalesce(1).write.mode("append").parquet(path)
-    run_to_end(stream_state_events(spark, path, _LEDGER_SCHEMA, shared_dir(spark, "checkpoint"),
-                                   target, ("ts", "event_id"), 1))
+        fx.ledger(spark, sf_dir).where(part).write.mode("append").parquet(path)
+        run_to_end(stream_state_events(spark, path, _LEDGER_SCHEMA, checkpoint, target, ("ts", "event_id")))
     return spark.read.parquet(f"{target}/events").select("event_id", "idx", "action")

@@ -8,9 +8,7 @@ from shardloom.operators.documents import render_documents, with_doc_id
 from shardloom.operators.lifecycle import latest_state
 from shardloom.operators.mapping import infer_mapping, mapping_json
 from shardloom.operators.segments import segment_manifest
-from shardloom.operators.sharding import (
-    bulk_batches, colocate, dedupe_first, with_segment, with_shard,
-)
+from shardloom.operators.sharding import bulk_batches, dedupe_first
 from shardloom.session import shared_dir
 from shardloom.sinks import (
     append_states, bulk_lines, commit_manifest, next_generation, read_ledger, read_published,
@@ -21,38 +19,41 @@ from shardloom.spec import Rules
 from shardloom.suite import fixtures as fx
 from shardloom.suite.registry import query
 
-SEGMENTS = 4
 _RULES = Rules(id_field="pri_key")
 
 
 def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of the orders view together per segment: rows move, documents are built after."""
     rows = fx.src_orders(spark, sf_dir).select("pri_key", "status", "prio", "odate", "custkey", "tags")
-    placed = with_segment(with_shard(with_doc_id(rows, _RULES), fx.NUM_SHARDS), SEGMENTS)
-    return render_documents(colocate(placed, SEGMENTS, fx.NUM_SHARDS), rows.schema, _RULES,
+    return render_documents(fx.together(with_doc_id(rows, _RULES)), rows.schema, _RULES,
                             ["shard", "segment", "slot"])
 
 
-_PLACE_SQL = f"""{fx.shard_sql('CAST(o_orderkey AS VARCHAR)')} AS shard,
-    CAST({fx.hash_sql('CAST(o_orderkey AS VARCHAR)', 9)} % {SEGMENTS} AS INTEGER) AS segment"""
+_PLACED_SQL = fx.placed_sql(fx.ORDER_IDS)
 
 _JSON_SQL = """concat('{"custkey":', o_custkey, ',"odate":"', strftime(o_orderdate, '%Y%m%d'), '","pri_key":"', o_orderkey,
     '","prio":"', o_orderpriority, '","status":"', o_orderstatus, '","flag":"', o_orderkey % 2, '"}')"""
 
 
 @query("sink_overwrite", f"""
-    SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, {_PLACE_SQL} FROM orders WHERE o_orderstatus = 'F'""")
+    WITH {_PLACED_SQL} SELECT doc_id, shard, segment FROM placed WHERE o_orderstatus = 'F'""")
 def sink_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "overwrite")
-    docs = colocate(with_segment(with_shard(fx.order_ids(spark, sf_dir), fx.NUM_SHARDS), SEGMENTS),
-                    SEGMENTS, fx.NUM_SHARDS)
+    docs = fx.together(fx.order_ids(spark, sf_dir))
     write_sharded(docs.where("o_orderstatus <> 'F'"), path, ("doc_id",))
     write_sharded(docs.where("o_orderstatus = 'F'"), path, ("doc_id",))
     return spark.read.parquet(path)
 
 
+@query("documents_placed", f"""
+    WITH {_PLACED_SQL} SELECT doc_id, {_JSON_SQL} AS doc_json, shard, segment FROM placed""")
+def documents_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scan, ids, placement by one shuffle, documents: what a build stores."""
+    return _stored(spark, sf_dir).select("doc_id", "doc_json", "shard", "segment")
+
+
 @query("sink_sharded", f"""
-    SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, {_JSON_SQL} AS doc_json, {_PLACE_SQL} FROM orders""")
+    WITH {_PLACED_SQL} SELECT doc_id, {_JSON_SQL} AS doc_json, shard, segment FROM placed""")
 def sink_sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "sharded")
     write_sharded(_stored(spark, sf_dir), path)
@@ -60,12 +61,11 @@ def sink_sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("sink_commit", f"""
-    SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, {_PLACE_SQL} FROM orders WHERE o_orderstatus <> 'P'""")
+    WITH {_PLACED_SQL} SELECT doc_id, shard, segment FROM placed WHERE o_orderstatus <> 'P'""")
 def sink_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second generation whose segment list was never committed stays invisible."""
     root = shared_dir(spark, "commit")
-    docs = colocate(with_segment(with_shard(fx.order_ids(spark, sf_dir), fx.NUM_SHARDS), SEGMENTS),
-                    SEGMENTS, fx.NUM_SHARDS)
+    docs = fx.together(fx.order_ids(spark, sf_dir))
     first, second = f"{root}/docs/generation=1", f"{root}/docs/generation=2"
     write_sharded(docs.where("o_orderstatus <> 'P'"), first, ("doc_id",))
     stored = spark.read.parquet(first).groupBy("shard", "segment").agg(
@@ -89,12 +89,12 @@ def sink_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("sink_bulk_ndjson", f"""
-    SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, {_PLACE_SQL}, CAST(1 AS BIGINT) AS actions, CAST(1 AS BIGINT) AS documents
-    FROM orders""")
+    WITH {_PLACED_SQL}
+    SELECT doc_id, shard, segment, CAST(1 AS BIGINT) AS actions, CAST(1 AS BIGINT) AS documents FROM placed""")
 def sink_bulk_ndjson(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line parses, and each id has one action line and one document line."""
     path = shared_dir(spark, "bulk")
-    write_bulk(_stored(spark, sf_dir), path, max_records_per_file=1_000)
+    write_bulk(_stored(spark, sf_dir), path, max_records_per_file=100_000)
     lines = spark.read.text(path)
     action = F.get_json_object("value", "$.create._id")
     return lines.groupBy("shard", "segment", F.coalesce(action, F.get_json_object("value", "$.pri_key")).alias("doc_id")) \
@@ -123,9 +123,9 @@ def bulk_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_dedupe_sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated ids: the first row of each is stored."""
     path = shared_dir(spark, "deduped")
-    first = dedupe_first(fx.src_lines(spark, sf_dir), fx.LINE_ORDER)
-    placed = with_segment(with_shard(first, fx.NUM_SHARDS), SEGMENTS)
-    write_sharded(colocate(placed, SEGMENTS, fx.NUM_SHARDS), path, ("doc_id", "l_partkey"))
+    lines = fx.src_lines(spark, sf_dir)
+    first = dedupe_first(lines, fx.LINE_ORDER)
+    write_sharded(fx.together(first, ids=lines.select("doc_id").distinct()), path, ("doc_id", "l_partkey"))
     return spark.read.parquet(path).groupBy("shard").agg(F.count(F.lit(1)).alias("docs"))
 
 

@@ -23,4 +23,4 @@ def test_query(spark, small, con, name):
 
 def test_entry(spark):
     df = entry.entry(spark)
-    assert df.columns == ["shard", "segment", "docs"] and df.count() > 0
+    assert df.columns == ["doc_id", "doc_json", "shard", "segment"] and df.count() > 0
