@@ -4,6 +4,12 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+# fixed values: what a map column name ends with if it prefixes its fields, and what the name
+# of a file still being written ends with
+PREFIXING_SUFFIX = "_map"
+UNFINISHED_SUFFIX = "_tmp"
+
+
 def last_part(name: Column, sep: str = "_") -> Column:
     return F.substring_index(name, sep, -1)
 
@@ -15,7 +21,7 @@ def snapshot_date(index_name: Column) -> Column:
 def map_field_name(source_column: str, key: Column) -> Column:
     """Document field of one map entry: ``<column>-<key>`` for ``*_map`` columns, else the key."""
     key = key.cast("string")
-    full = F.concat(F.lit(f"{source_column}-"), key) if source_column.endswith("_map") else key
+    full = F.concat(F.lit(f"{source_column}-"), key) if source_column.endswith(PREFIXING_SUFFIX) else key
     return F.translate(F.lower(full), "&$", "--")
 
 
@@ -23,7 +29,7 @@ def could_name(source_column: str, field: str) -> bool:
     """Whether an entry of this map column can ever become ``field``."""
     if field != field.lower() or "&" in field or "$" in field:
         return False
-    if not source_column.endswith("_map"):
+    if not source_column.endswith(PREFIXING_SUFFIX):
         return True
     prefix = f"{source_column}-".lower().replace("&", "-").replace("$", "-")
     return field.startswith(prefix)
@@ -53,4 +59,4 @@ def bundle_path(root: str, shard: Column, segment: Column) -> Column:
 
 
 def is_completed_file(path: Column, length: Column) -> Column:
-    return (length > 0) & ~F.endswith(path, F.lit("_tmp"))
+    return (length > 0) & ~F.endswith(path, F.lit(UNFINISHED_SUFFIX))

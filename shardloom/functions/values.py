@@ -16,8 +16,11 @@ from pyspark.sql import Column, functions as F, types as T
 
 from shardloom.spec import Rules
 
-# Override types that convert the value; any other override only changes the mapping.
+# fixed values: override types that convert the value (any other override only changes the
+# mapping), and the texts an array and a map of entries begin with
 CONVERTING = ("long", "integer", "double", "string")
+ARRAY_TEXT = "WrappedArray("
+MAP_TEXT = "Map("
 
 _INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
 
@@ -27,7 +30,7 @@ def java_text(c: Column, dtype: T.DataType, nested: bool = False) -> Column:
     if isinstance(dtype, T.StringType):
         text = c
     elif isinstance(dtype, T.ArrayType):
-        text = F.concat(F.lit("WrappedArray("), _joined(c, dtype.elementType, ", "), F.lit(")"))
+        text = F.concat(F.lit(ARRAY_TEXT), _joined(c, dtype.elementType, ", "), F.lit(")"))
     elif isinstance(dtype, T.StructType):
         parts = [java_text(c[f.name], f.dataType, nested=True) for f in dtype.fields]
         text = F.when(c.isNotNull(), F.concat(F.lit("["), F.concat_ws(",", *parts), F.lit("]")))
@@ -35,7 +38,7 @@ def java_text(c: Column, dtype: T.DataType, nested: bool = False) -> Column:
         pairs = F.transform(F.map_entries(c), lambda e: F.concat(
             java_text(e["key"], dtype.keyType), F.lit(" -> "),
             java_text(e["value"], dtype.valueType, nested=True)))
-        text = F.concat(F.lit("Map("), F.array_join(pairs, ", "), F.lit(")"))
+        text = F.concat(F.lit(MAP_TEXT), F.array_join(pairs, ", "), F.lit(")"))
     else:
         text = c.cast("string")
     return F.coalesce(text, F.lit("null")) if nested else text
@@ -63,7 +66,7 @@ def array_terms(c: Column, dtype: T.ArrayType, mode: str) -> Column:
         return F.array_compact(c).cast("array<string>")
     text = _joined(c, dtype.elementType, ",")
     if isinstance(dtype.elementType, (T.StringType, T.ArrayType, T.StructType, T.MapType)):
-        text = F.replace(text, F.lit("WrappedArray("), F.lit(""))
+        text = F.replace(text, F.lit(ARRAY_TEXT), F.lit(""))
     return split_terms(F.translate(text, ") ", ""))
 
 

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shardloom.sources.bundles import FIELD_PROPERTIES
 from shardloom.sources.side_tables import guarded_rows
 
+# fixed values: the day format, the target type names that differ from the source type names,
+# and the endings of map columns whose fields are stored but not indexed
 DATE_FORMAT = "yyyyMMdd"
-# fixed values: target type names that differ from the source type names
 CONVERTED = {"bigint": "long", "int": "integer"}
 CONVERTED_STRICT = {"smallint": "short", "tinyint": "byte", "timestamp": "date",
                     "timestamp_ntz": "date"}
