@@ -7,6 +7,7 @@ from functools import lru_cache
 import numpy as np
 
 JSON = "byte_bpe_50k.json"
+MARKS = ".,;:!?|*$&%#"
 SPECIAL = "<|endoftext|>"  # fixed value: the vocabulary's only special token
 
 
@@ -16,11 +17,12 @@ class Encoder:
     Where every space of a text is followed by a character that is no white space, each
     space begins a match of the splitting pattern, so the text's ids are those of its
     pieces between spaces, one after the other.  The ids of a piece come from the library
-    once and are then remembered; a text without this form goes to the library whole.
+    once and are then remembered, a word apart from the marks after it; a text without this
+    form goes to the library whole.
     ``most`` bounds the memory, not the result: the cache starts anew beyond it.
     """
 
-    def __init__(self, path: str, special: bool, most: int = 700_000):
+    def __init__(self, path: str, special: bool, most: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -28,29 +30,42 @@ class Encoder:
         self.special, self.most = special, most
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes | None] = {}
+        self.tails: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _learn(self, pieces: set[str], known: dict[str, bytes | None], before: str) -> None:
+        """Remember pieces that follow ``before``.  Letters end a match where a mark
+        follows, so a word and the marks after it are encoded apart."""
+        new = list(pieces.difference(known))
+        known.update(dict.fromkeys(new))
+        new = [p for p in new if not before or p and not p[0].isspace()]
+        stems = [p.rstrip(MARKS) for p in new]
+        parted = [stem != p and stem.isalpha() for stem, p in zip(stems, new)]
+        whole = list({stem if part else p for stem, p, part in zip(stems, new, parted)}
+                       - {stem for stem in stems if known.get(stem) is not None})
+        known.update(zip(whole, self._whole([before + p for p in whole])))
+        tails = list({p[len(stem):] for stem, p, part in zip(stems, new, parted) if part} - self.tails.keys())
+        self.tails.update(zip(tails, self._whole(tails)))
+        for stem, piece, part in zip(stems, new, parted):
+            if part:
+                known[piece] = known[stem] + self.tails[piece[len(stem):]]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.later) + len(self.first) > self.most:
-            self.first, self.later = {}, {}
-        first, later = self.first, self.later
+            self.first, self.later, self.tails = {}, {}, {}
         out, parts, fresh, heads = [], [], set(), set()
         for text in texts:
             pieces = text.split(" ")
             parts.append(pieces)
             heads.add(pieces[0])
             fresh.update(pieces[1:])
-        new = sorted(heads.difference(first))
-        first.update(zip(new, self._whole(new)))
-        new = sorted(fresh.difference(later))
-        plain = [p for p in new if p and not p[0].isspace()]
-        later.update(dict.fromkeys(new))
-        later.update(zip(plain, self._whole([" " + p for p in plain])))
+        self._learn(heads, self.first, "")
+        self._learn(fresh, self.later, " ")
         for text, pieces in zip(texts, parts):
-            found = [first[pieces[0]], *map(later.__getitem__, pieces[1:])]
+            found = [self.first[pieces[0]], *map(self.later.__getitem__, pieces[1:])]
             if None in found or (self.special and SPECIAL in text):
                 out += self._whole([text])
             else:
