@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,17 +38,27 @@ def fold(doc_id: str, modulus: int):
     return F.crc32(F.col(doc_id).cast("string")) % modulus
 
 
-def groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """The groups of rows that are sorted by ``keys``, across the borders of batches."""
+def group_starts(rows: pd.DataFrame, keys: list[str]) -> np.ndarray:
+    """The first row of each group of rows that are sorted by ``keys``."""
+    new = np.zeros(len(rows), bool)
+    new[:1] = True
+    for key in keys:
+        column = rows[key].to_numpy()
+        new[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(new)
+
+
+def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Frames of sorted rows cut so that no group lies in two of them."""
     rest = None
     for batch in batches:
         if not len(batch):
             continue
         rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-        starts = (rows[keys] != rows[keys].shift()).any(axis=1).to_numpy().nonzero()[0]
-        for begin, end in zip(starts, starts[1:]):
-            yield rows.iloc[begin:end]
-        rest = rows.iloc[starts[-1]:]
+        cut = int(group_starts(rows, keys)[-1])
+        if cut:
+            yield rows.iloc[:cut]
+        rest = rows.iloc[cut:]
     if rest is not None:
         yield rest
 

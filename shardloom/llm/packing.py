@@ -28,7 +28,7 @@ from shardloom.llm.common import stored, table, texts
 from shardloom.llm.tokens import encoder, slices, tokenizer_path
 
 WINDOW, END = 2048, 1
-PART = 4096  # ranks are counted in parts of about so many pieces of one length
+PART = 512  # ranks are counted in parts of about so many pieces of one length
 COLUMNS = 20_000  # rounded columns kept in a plan; the greedy pass packs what they leave
 SHAPE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, piece long"
 

@@ -1,12 +1,16 @@
 """The registered queries of this subpackage and their SQL."""
 from __future__ import annotations
 
-from shardloom.llm import byte_bpe, exact_dedup, packing, simhash
+from shardloom.llm import byte_bpe, exact_dedup, fingerprints, packing, pages, quality, simhash, suffixes
 
 QUERIES = {
+    "op1_quality_attention": quality.quality_query,
     "op3_window_packing": packing.packing_query,
+    "op4_page_text": pages.pages_query,
     "op5_exact_dedup": exact_dedup.dedup_query,
     "op6_byte_bpe": byte_bpe.bpe_query,
+    "op7_prefix_fingerprints": fingerprints.fingerprint_query,
     "op8_simhash_groups": simhash.simhash_query,
+    "op9_repeated_passages": suffixes.repeats_query,
 }
 ORACLE = {"op5_exact_dedup": exact_dedup.DEDUP_SQL}

@@ -5,7 +5,8 @@ of them, so the twenty choices of three pieces (about 32 bits each) bring every
 some block, and a block stays small at any number of documents.  A block is compared as
 vertical bit planes: 64 fingerprints to a machine word, distances kept in carry-save
 counters, words abandoned once all 64 distances exceed the radius.  Only a spanning tree
-of a block's links is given out.  A block over ``BLOCK`` fingerprints is cut into chunks,
+of a block's links is given out; blocks of a few fingerprints are compared many at a time,
+64 pairs to a word.  A block over ``BLOCK`` fingerprints is cut into chunks,
 and each pair of chunks is a block of its own.
 
 Defined cases: a null or blank text has fingerprint zero and links like any other; equal
@@ -23,9 +24,9 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shardloom.llm.common import components, groups, stored, table, texts
+from shardloom.llm.common import components, group_starts, stored, table, texts, whole_groups
 
-RADIUS, WORDS, SEED, BLOCK = 3, 3, 42, 4096
+RADIUS, WORDS, SEED, BLOCK, LITTLE = 3, 3, 42, 4096, 12
 PIECES = (11, 11, 11, 11, 10, 10)
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -95,6 +96,21 @@ def near(prints: np.ndarray, radius: int = RADIUS) -> np.ndarray:
     return out
 
 
+def near_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the pairs differ in at most three bits, 64 pairs to a machine word."""
+    n = len(a)
+    bits = np.zeros((64, -(-n // 64) * 64), np.uint8)
+    bits[:, :n] = np.unpackbits((a ^ b).view(np.uint8).reshape(-1, 8), axis=1).T
+    planes = np.packbits(bits, axis=1).view(np.uint64)
+    low, high, over = np.zeros((3, planes.shape[1]), np.uint64)
+    for bit in planes:
+        carry = low & bit
+        low ^= bit
+        over |= high & carry
+        high ^= carry
+    return np.unpackbits((~over).view(np.uint8))[:n].astype(bool)
+
+
 def spanning(prints: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     """A spanning tree of the links among the fingerprints, as two arrays of places."""
     links = near(prints, radius)
@@ -139,13 +155,24 @@ def links(prints: DataFrame, block: int = BLOCK) -> DataFrame:
     by = ["choice", "key", "low", "high"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for group in groups(batches, by):
-            if len(group) > 1:
-                prints = group["print"].to_numpy(np.int64)
-                a, b = spanning(prints.view(np.uint64))
-                yield pd.DataFrame({"a": prints[a], "b": prints[b]})
-
-    return met.repartition(*by).sortWithinPartitions(*by).mapInPandas(run, "a long, b long")
+        for rows in whole_groups(batches, by):
+            prints = rows["print"].to_numpy(np.int64)
+            starts = group_starts(rows, by)
+            sizes = np.diff(np.append(starts, len(rows)))
+            owner = np.repeat(np.arange(len(starts)), sizes)
+            little = sizes[owner] <= LITTLE
+            for step in range(1, LITTLE):  # pairs of little blocks, many blocks at a time
+                a = np.flatnonzero(little[:-step] & (owner[:-step] == owner[step:]))
+                a = a[near_pairs(prints[a].view(np.uint64), prints[a + step].view(np.uint64))]
+                yield pd.DataFrame({"a": prints[a], "b": prints[a + step]})
+            for start, size in zip(starts[sizes > LITTLE], sizes[sizes > LITTLE]):
+                block = prints[start:start + size]
+                a, b = spanning(block.view(np.uint64))
+                yield pd.DataFrame({"a": block[a], "b": block[b]})
+
+    # as many tasks as the session says: the rows are few for the work they make
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return met.repartition(tasks, *by).sortWithinPartitions(*by).mapInPandas(run, "a long, b long")
 
 
 def near_groups(docs: DataFrame, words: int = WORDS, block: int = BLOCK) -> DataFrame:
