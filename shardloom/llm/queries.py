@@ -1,10 +1,12 @@
 """The registered queries of this subpackage and their SQL."""
 from __future__ import annotations
 
-from shardloom.llm import byte_bpe, exact_dedup, fingerprints, packing, pages, quality, simhash, suffixes
+from shardloom.llm import (byte_bpe, exact_dedup, fingerprints, language_model, licences, packing, pages,
+                           quality, simhash, suffixes)
 
 QUERIES = {
     "op1_quality_attention": quality.quality_query,
+    "op2_licence_scan": licences.licence_query,
     "op3_window_packing": packing.packing_query,
     "op4_page_text": pages.pages_query,
     "op5_exact_dedup": exact_dedup.dedup_query,
@@ -12,5 +14,6 @@ QUERIES = {
     "op7_prefix_fingerprints": fingerprints.fingerprint_query,
     "op8_simhash_groups": simhash.simhash_query,
     "op9_repeated_passages": suffixes.repeats_query,
+    "op10_log_bilinear": language_model.language_model_query,
 }
 ORACLE = {"op5_exact_dedup": exact_dedup.DEDUP_SQL}

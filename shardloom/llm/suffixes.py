@@ -32,7 +32,7 @@ from shardloom.llm.common import stored, table, whole_groups
 
 LENGTH, GRAM = 50, 16
 SPAN = LENGTH - GRAM + 1
-GROUP = 4096
+GROUP = 20_000  # suffixes with one prefix that a task compares by itself: some 15 MB of hashes
 BASE = 0x9E3779B97F4A7C15  # odd, so powers have inverses modulo 2**64
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 KEYS = ["doc_id", "print"]
@@ -156,6 +156,8 @@ MARKED = "doc_id long, print long, first int, last int, original boolean"
 
 def _runs(name: np.ndarray, print_: np.ndarray, place: np.ndarray, original: np.ndarray) -> pd.DataFrame:
     """Neighbouring marked passages of a document as runs of words."""
+    if not len(place):
+        return pd.DataFrame({c.split()[0]: [] for c in MARKED.split(", ")})
     order = np.lexsort((place, original, print_, name))
     name, print_, place, original = name[order], print_[order], place[order], original[order]
     new = np.append(True, (np.diff(name) != 0) | (np.diff(print_) != 0) | (np.diff(original.astype(int)) != 0) | (np.diff(place) > 1))
