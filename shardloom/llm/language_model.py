@@ -33,7 +33,7 @@ from shardloom.llm.common import fold, stored, table, texts
 
 FREQUENT, ENDINGS, KNOWN = 127, 64, 100_000
 SIZE, CONTEXT, NOISE, BATCH, ROUNDS, RATE, SEED = 16, 4, 48, 512, 2, 0.15, 11
-ONE_IN, SHARD = 8, 2_000_000
+ONE_IN, SHARD = 16, 2_000_000
 CACHE = 600_000  # words that a worker remembers before it starts anew
 END = b""  # no word is empty
 
@@ -54,8 +54,7 @@ def ending(word: bytes) -> int:
 
 
 def counts(docs: DataFrame) -> DataFrame:
-    """``hash, ending, word, n``: counts over the rows whose ``held_out`` is false; ``word``
-    is only there for the END and to name the frequent ones."""
+    """``hash, ending, n``: counts over the rows whose ``held_out`` is false."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: dict[bytes, int] = {}
         for batch in batches:
@@ -118,33 +117,33 @@ class Reader:
 
     def _clear(self) -> None:
         self.place: dict[bytes, int] = {}
-        self.rows: list[tuple[int, int, float, bool]] = []
-        self.arrays = None
+        self.output, self.hashes = np.zeros((2, 1024), np.int64)
+        self.count = np.zeros(1024)
+
+    def _learn(self, words: list[bytes]) -> None:
+        v, start = self.vocabulary, len(self.place)
+        self.place.update(zip(words, range(start, start + len(words))))
+        while len(self.count) < len(self.place):
+            self.output, self.hashes, self.count = (np.concatenate((x, x)) for x in (self.output, self.hashes, self.count))
+        for i, word in enumerate(words, start):
+            h = word_hash(word)
+            own = v.output.get(h)
+            self.output[i] = FREQUENT + 1 + ending(word) if own is None else own
+            self.hashes[i], self.count[i] = h, v.known.get(h, -1)
 
     def read(self, texts_: list[str]):
-        """For all tokens: output, hash, count (-1 where it is not among the known), own
-        output or not; and the number of tokens of each text."""
-        v = self.vocabulary
+        """For all tokens: output, hash, count (-1 where it is not among the known); and the
+        number of tokens of each text."""
         if len(self.place) > CACHE:
             self._clear()
-        found, sizes = [], []
-        place, rows = self.place, self.rows
+        words, sizes = [], []
         for text in texts_:
-            words = words_of(text)
-            sizes.append(len(words))
-            for word in set(words):
-                if word not in place:
-                    place[word] = len(rows)
-                    h = word_hash(word)
-                    own = v.output.get(h)
-                    rows.append((FREQUENT + 1 + ending(word) if own is None else own, h, v.known.get(h, -1), own is not None))
-                    self.arrays = None
-            found.append(np.fromiter(map(place.__getitem__, words), np.int64, len(words)))
-        if self.arrays is None:
-            output, hashes, count, own = zip(*rows) if rows else ((), (), (), ())
-            self.arrays = (np.array(output, np.int64), np.array(hashes, np.int64), np.array(count, float), np.array(own, bool))
-        at = np.concatenate(found) if found else np.zeros(0, np.int64)
-        return [a[at] for a in self.arrays], np.array(sizes, np.int64)
+            found = words_of(text)
+            sizes.append(len(found))
+            words += found
+        self._learn(list(set(words).difference(self.place)))
+        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        return (self.output[at], self.hashes[at], self.count[at]), np.array(sizes, np.int64)
 
 
 def contexts(output: np.ndarray, sizes: np.ndarray, blank: int) -> np.ndarray:
@@ -158,6 +157,12 @@ def contexts(output: np.ndarray, sizes: np.ndarray, blank: int) -> np.ndarray:
     return out
 
 
+def _sums(places: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """The sums of the rows that have the same place."""
+    cells = (places[:, None] * SIZE + np.arange(SIZE)).ravel()
+    return np.bincount(cells, rows.ravel(), size * SIZE).reshape(size, SIZE)
+
+
 class LogBilinear:
     """Embeddings of contexts ``e`` and of outputs ``q``, weights of places ``c``, biases ``b``."""
 
@@ -186,6 +191,9 @@ class LogBilinear:
         e, c = self.e.astype(np.float32), self.c.astype(np.float32)
         q, b = np.ascontiguousarray(self.q.T, np.float32), self.b.astype(np.float32)
         moved = [e * c[k] for k in range(CONTEXT)]
+        longest = sum(np.sqrt((m.astype(float) ** 2).sum(1)).max() for m in moved)
+        # no sum can overflow: no need to move the largest to zero
+        safe = longest * np.sqrt((self.q ** 2).sum(1)).max() + np.abs(self.b).max() < 60
         out = np.empty(len(outputs))
         for at in range(0, len(outputs), rows):
             some = before[at:at + rows]
@@ -194,10 +202,11 @@ class LogBilinear:
                 r = r + moved[k][some[:, k]]
             s = r @ q
             s += b
-            s -= s.max(1, keepdims=True)
+            if not safe:
+                s -= s.max(1, keepdims=True)
             chosen = s[np.arange(len(s)), outputs[at:at + rows]].astype(float)
             np.exp(s, out=s)
-            out[at:at + rows] = chosen - np.log(s.sum(1, dtype=np.float64))
+            out[at:at + rows] = chosen - np.log(s.sum(1).astype(float))
         return out
 
     def learn(self, before: np.ndarray, outputs: np.ndarray, unigram: np.ndarray, draw, squares: list[np.ndarray]) -> None:
@@ -216,18 +225,10 @@ class LogBilinear:
             g_good = 1 / (1 + np.exp(-np.clip(good, -30, 30))) - 1
             g_bad = 1 / (1 + np.exp(-np.clip(bad, -30, 30)))
             dr = g_good[:, None] * self.q[right] + g_bad @ self.q[wrong]
-            one = np.zeros((n, m))
-            one[np.arange(n), right] = g_good
-            dq = one.T @ r
-            db = one.sum(0)
-            np.add.at(dq, wrong, g_bad.T @ r)
-            np.add.at(db, wrong, g_bad.sum(0))
+            dq = _sums(np.concatenate((right, wrong)), np.concatenate((g_good[:, None] * r, g_bad.T @ r)), m)
+            db = np.bincount(right, g_good, m) + np.bincount(wrong, g_bad.sum(0), m)
             dc = (parts * dr[:, None, :]).sum(0)
-            de = np.zeros_like(self.e)
-            for k in range(CONTEXT):
-                seen = np.zeros((n, m + 1))
-                seen[np.arange(n), some[:, k]] = 1
-                de += seen.T @ (dr * self.c[k])
+            de = _sums(some.ravel(), (dr[:, None, :] * self.c).reshape(-1, SIZE), m + 1)
             for value, gradient, square in zip((self.e, self.q, self.c, self.b), (de, dq, dc, db), squares):
                 gradient = gradient / n
                 square += gradient * gradient
@@ -238,7 +239,15 @@ def vocabulary(counted: DataFrame) -> Vocabulary:
     """The bounded part of the counts: totals, the ``KNOWN`` most frequent words, and the
     sums of each ending."""
     per = counted.groupBy("ending").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
-    top = counted.orderBy(F.desc("n"), "hash").limit(KNOWN).select("hash", "n", "ending").toPandas()
+    step = F.floor(F.log2("n") * 16)  # of the counts; the steps are few whatever the counts
+    least, room = 10 ** 6, KNOWN
+    for row in sorted(counted.groupBy(step.alias("step")).agg(F.count("*").alias("v")).collect(), reverse=True):
+        room -= row["v"]
+        if room < 0:
+            break
+        least = row["step"]
+    top = counted.filter(step >= least).select("hash", "n", "ending").toPandas().sort_values(
+        ["n", "hash"], ascending=[False, True])  # at most KNOWN rows
     sums = {r["ending"]: (r["n"], r["v"]) for r in per}
     found = Vocabulary(sum(n for n, _ in sums.values()), sum(v for _, v in sums.values()),
                        list(zip(top["hash"].tolist(), top["n"].tolist())), sums)
@@ -260,7 +269,7 @@ def fit(docs: DataFrame, shared, words: int) -> LogBilinear:
             draw, reader, total = np.random.default_rng(SEED + turn), Reader(shared.value), 0
             for batch in batches:
                 for at in range(0, len(batch), 64):
-                    (output, _, _, _), sizes = reader.read(batch["text"].iloc[at:at + 64].tolist())
+                    (output, _, _), sizes = reader.read(batch["text"].iloc[at:at + 64].tolist())
                     order = draw.permutation(len(output))
                     before = contexts(output, sizes, len(shared.value.unigram))
                     own.learn(before[order], output[order], shared.value.unigram, draw, squares)
@@ -291,12 +300,12 @@ def scored(docs: DataFrame) -> DataFrame:
         for batch in batches:
             found = batch["text"].tolist()
             for at in range(0, len(found), 64):
-                (output, hashes, count, own), sizes = reader.read(found[at:at + 64])
+                (output, hashes, count), sizes = reader.read(found[at:at + 64])
                 steps = model.value.log_probabilities(contexts(output, sizes, blank), output) / math.log(10)
                 starts = np.cumsum(sizes) - sizes
                 here = count >= 0
                 logs = np.where(here, np.log10(np.maximum(count, 0) + 0.5), 0.0)
-                unnamed = ~own
+                unnamed = output > FREQUENT
                 inner = np.where(unnamed, logs - below[np.maximum(output - FREQUENT - 1, 0)], 0.0)
                 add = lambda x: np.add.reduceat(x, starts)
                 far_hash, far_n = [], []

@@ -2,7 +2,7 @@
 
 A page is read as a row of words and tags.  Words score positive and tags negative, each
 kind with a weight learnt from labelled pages: the log odds of standing inside the main
-part.  One linear scan finds the contiguous run with the largest sum.  Inside the run, parts
+part, with a word's as the unit.  One linear scan finds the contiguous run with the largest sum.  Inside the run, parts
 that are never main text (scripts, forms, navigation, notices, comments of readers ...)
 are left out, and the rest becomes blocks.
 
@@ -55,7 +55,7 @@ ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'
 PART = re.compile(r"[a-z]+")
 
 START_WEIGHTS = {"word": 1.0}
-OTHER = -3.0
+OTHER = -1.0
 
 
 class Reader:
@@ -164,12 +164,13 @@ def learn(pages: list[str]) -> dict[str, float]:
     if not inside["word"]:
         return dict(START_WEIGHTS)
     total_in, total_out = sum(inside.values()), sum(outside.values())
-    weights = {}
-    for name in sorted(inside.keys() | outside.keys()):
-        odds = math.log((inside[name] + 1) / (total_in + 1)) - math.log((outside[name] + 1) / (total_out + 1))
-        # words stay positive and tags negative whatever the sample
-        weights[name] = max(odds, 0.2) if name == "word" else min(-0.2, odds)
-    return weights
+
+    def odds(name: str) -> float:
+        return math.log((inside[name] + 1) / (total_in + 1)) - math.log((outside[name] + 1) / (total_out + 1))
+
+    names = sorted((inside.keys() | outside.keys()) - {"word"})
+    # a word is the unit; tags lie between -1, those that stand outside, and -0.2
+    return {"word": 1.0} | {n: max(-1.0, min(-0.2, odds(n) / max(odds("word"), 1.0))) for n in names}
 
 
 def region(pieces: list, weights: dict[str, float]) -> tuple[int, int]:

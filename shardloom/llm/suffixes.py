@@ -132,7 +132,7 @@ def passages(docs: DataFrame) -> DataFrame:
     suffixes = stored(sampled(docs), "suffixes")
     shared = stored(suffixes.groupBy("gram").count().filter("count > 1").select("gram"), "grams")
     found = suffixes.join(shared, "gram").groupBy(*KEYS).agg(F.collect_set("place").alias("places"))
-    rows = _keyed(docs).join(stored(found, "places"), KEYS)
+    rows = _keyed(docs).join(stored(found, "places"), KEYS).dropDuplicates(KEYS)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
