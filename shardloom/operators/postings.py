@@ -1,7 +1,7 @@
 """Exact-term index of placed documents: ordinals, posting blocks, statistics."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def doc_ordinals(placed: DataFrame) -> DataFrame:
@@ -14,20 +14,14 @@ def doc_ordinals(placed: DataFrame) -> DataFrame:
     return placed.withColumn("ord", (F.row_number().over(window) - 1).cast("bigint"))
 
 
-def index_term(term: Column, max_term_bytes: int) -> Column:
-    """Terms beyond the size limit are indexed by their digest; the text stays in the document."""
-    return F.when(F.octet_length(term) > max_term_bytes, F.md5(term)).otherwise(term)
-
-
-def postings(terms: DataFrame, block: int, max_term_bytes: int = 8_192) -> DataFrame:
+def postings(terms: DataFrame, block: int) -> DataFrame:
     """(shard, segment, field, term, block, df, ords) from (shard, segment, ord, field, term).
 
     Each list holds the ordinals of one block of ``block`` documents, so a term that every
     document has becomes many bounded rows.  A document counts once per term.
     """
     keys = ["slot"] if "slot" in terms.columns else []
-    keyed = terms.select(*keys, "shard", "segment", "field",
-                         index_term(F.col("term"), max_term_bytes).alias("term"),
+    keyed = terms.select(*keys, "shard", "segment", "field", "term",
                          F.floor(F.col("ord") / block).cast("bigint").alias("block"), "ord")
     grouped = keyed.groupBy(*keys, "shard", "segment", "field", "term", "block").agg(
         F.sort_array(F.collect_set("ord")).alias("ords"))
@@ -36,8 +30,12 @@ def postings(terms: DataFrame, block: int, max_term_bytes: int = 8_192) -> DataF
 
 
 def term_stats(terms: DataFrame) -> DataFrame:
-    """(field, term, df): documents per term, from long-form terms."""
-    return terms.groupBy("field", "term").agg(F.count_distinct("doc_id").alias("df"))
+    """(field, term, df): documents per term, from long-form terms.
+
+    A document may repeat a term, so pairs are first made distinct.
+    """
+    return terms.select("field", "term", "doc_id").distinct().groupBy("field", "term").agg(
+        F.count(F.lit(1)).alias("df"))
 
 
 def field_stats(posting_blocks: DataFrame) -> DataFrame:

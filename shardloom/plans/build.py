@@ -176,7 +176,7 @@ def build_index(spark: SparkSession, spec: BuildSpec, deny: DataFrame | None = N
         postings_path = f"{root}/postings/generation={generation}"
         indexed = indexed_field_names(mapping, spec.max_fields)
         terms = stored_terms(spark, docs_path, indexed)
-        blocks = postings(terms, spec.postings_block, spec.max_term_bytes)
+        blocks = postings(terms, spec.postings_block)
         colocate(blocks, sizes.segments, spec.num_shards) \
             .sortWithinPartitions("shard", "segment", "field", "term", "block") \
             .drop("slot").write.mode("overwrite").partitionBy("shard", "segment").parquet(postings_path)

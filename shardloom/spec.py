@@ -49,13 +49,12 @@ class BuildSpec:
     index_fields: tuple[str, ...] | None = None
     index_source_columns: tuple[str, ...] | None = None
     theme: str = "test"
-    work_dir: str = "/tmp/shardloom"
+    work_dir: str = ""              # required: a folder that every executor reaches
     dedupe: str | None = "global"   # "global", "segment" or None (ids known unique)
     order_by: tuple[str, ...] = ()  # which of several rows with one id comes first
     segment_docs: int = 1_000_000   # segments per shard follow from this target
     partition_multiples: int | None = None  # fixed segments per shard instead
     postings_block: int = 65_536
-    max_term_bytes: int = 8_192
     max_fields: int = 10_000
     bulk_actions: int = 100
     bulk_bytes: int = 5 * 1024 * 1024
@@ -67,6 +66,8 @@ class BuildSpec:
     def __post_init__(self):
         if self.num_shards < 1:
             raise ValueError("num_shards must be positive")
+        if not self.work_dir:
+            raise ValueError("work_dir is needed: a folder that every executor reaches")
         if self.dedupe not in ("global", "segment", None):
             raise ValueError("dedupe must be 'global', 'segment' or None")
         if self.dedupe and self.id_field and not self.order_by:

@@ -8,13 +8,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from shardloom.streaming.intake import NO_AGE
+
 
 def _stream(spark: SparkSession, path: str, schema: T.StructType | str,
             max_files: int | None) -> DataFrame:
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).option("maxFileAge", NO_AGE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(path)
@@ -43,27 +45,44 @@ def latest_from_updates(spark: SparkSession, target: str) -> DataFrame:
 def stream_state_events(spark: SparkSession, ledger: str, schema: T.StructType | str,
                         checkpoint: str, target: str, order_by: Sequence[str] = ("ts",),
                         max_files: int | None = None) -> StreamingQuery:
-    """React to each state record: the first of an index starts its build, a later
-    ``completed`` marks it complete, any other is only logged.
+    """React to each state record of an index, in the order of ``order_by``.
+
+    ``deleted`` forgets the index and is only logged; the first other record after that, or
+    after none at all, starts a build; a later ``completed`` marks it complete; any other is
+    only logged.  What is kept between batches is whether an index is open: one row per
+    index, read from the folder the batch before wrote.
 
     ``order_by`` must tell the records of an index apart.
     """
     records = _stream(spark, ledger, schema, max_files)
-    place = F.struct(*order_by)
+    gone = F.lower("state") == "deleted"
 
     def react(rows: DataFrame, batch: int) -> None:
-        fresh = rows.groupBy("idx").agg(F.min(place).alias("first"))
-        try:
-            known = spark.read.parquet(f"{target}/builds").where(F.col("batch") < batch)
-            fresh = fresh.join(known.select("idx"), "idx", "left_anti")
-        except AnalysisException as error:
-            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
-        action = F.when(place.eqNullSafe(F.col("first")), F.lit("build")) \
-            .when(F.lower("state") == "completed", F.lit("complete")).otherwise(F.lit("log"))
-        rows.join(fresh, "idx", "left").select("idx", "state", *order_by, action.alias("action")) \
+        before = Window.partitionBy("idx").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
+        states = _open_indexes(spark, target, batch)
+        # the record before decides: an index is open unless it was deleted or never seen
+        last = F.last(gone).over(before)
+        is_open = F.coalesce(~last, F.coalesce("open", F.lit(False)))
+        action = F.when(gone, "log").when(~is_open, "build") \
+            .when(F.lower("state") == "completed", "complete").otherwise("log")
+        rows.join(states, "idx", "left").select("idx", "state", *order_by, action.alias("action")) \
             .write.mode("overwrite").parquet(f"{target}/events/batch={batch}")
-        fresh.select("idx").write.mode("overwrite").parquet(f"{target}/builds/batch={batch}")
+        newest = rows.groupBy("idx").agg((~F.max_by(gone, F.struct(*order_by))).alias("now"))
+        states.join(newest, "idx", "full").select("idx", F.coalesce("now", "open").alias("open")) \
+            .write.mode("overwrite").parquet(f"{target}/open/batch={batch}")
 
     return records.writeStream.foreachBatch(react).option("checkpointLocation", checkpoint) \
         .trigger(availableNow=True).start()
+
+
+def _open_indexes(spark: SparkSession, target: str, batch: int) -> DataFrame:
+    """(idx, open) as the batch before left it."""
+    schema = "idx string, open boolean"
+    if batch == 0:
+        return spark.createDataFrame([], schema)
+    try:
+        return spark.read.schema(schema).parquet(f"{target}/open/batch={batch - 1}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)

@@ -63,20 +63,19 @@ def postings_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH {fx.placed_sql('SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang FROM documents', 300)},
     numbered AS (SELECT *, row_number() OVER (PARTITION BY shard, segment ORDER BY doc_id) - 1 AS ord FROM placed),
     long AS (SELECT shard, segment, ord, 'lang' AS field, lang AS term FROM numbered
-             UNION ALL SELECT shard, segment, ord, 'text', CASE WHEN strlen(text) > 256 THEN md5(text) ELSE text END
-             FROM numbered WHERE text <> '')
+             UNION ALL SELECT shard, segment, ord, 'text', text FROM numbered WHERE text <> '')
     SELECT shard, segment, field, term, CAST(ord // 64 AS BIGINT) AS block, CAST(count(*) AS INTEGER) AS df,
            string_agg(CAST(ord AS VARCHAR), ',' ORDER BY ord) AS ords
     FROM long GROUP BY ALL""")
 def postings_long_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole texts are single terms; beyond the size limit the digest stands for the text."""
+    """Whole texts are single terms, stored as they are, however long."""
     rows = fx.table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("id"), "text", "lang")
     rules = Rules(id_field="id")
     numbered = doc_ordinals(fx.place(with_doc_id(rows, rules), 300))
     terms = render_terms(numbered, rows.schema, rules, frozenset({"text", "lang"}),
                          ["shard", "segment", "ord"])
-    return postings(terms, 64, max_term_bytes=256).withColumn(
+    return postings(terms, 64).withColumn(
         "ords", F.array_join(F.col("ords").cast("array<string>"), ","))
 
 

@@ -49,7 +49,7 @@ def until_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
         _land(spark, sf_dir, folder, part)
     run_to_end(stream_bundles(spark, folder, _BUNDLE_SCHEMA, shared_dir(spark, "intake"), target))
     taken = spark.read.parquet(target)
-    listed = spark.read.parquet(folder).select("shard", F.col("_metadata.file_name").alias("path")).distinct()
+    listed = spark.read.parquet(folder).select("shard", F.col("_metadata.file_path").alias("path")).distinct()
     left = lifecycle.pending(listed, taken.select(F.col("bundle").alias("path"))) \
         .groupBy("shard").agg(F.count(F.lit(1)).alias("pending"))
     counts = taken.groupBy("shard").agg(F.count(F.lit(1)).alias("docs"))
@@ -69,11 +69,13 @@ def running_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("stream_state_events", f"""WITH {fx.LEDGER_SQL},
-    ranked AS (SELECT *, row_number() OVER (PARTITION BY idx ORDER BY ts, event_id) AS rn FROM ledger)
-    SELECT event_id, idx, CASE WHEN rn = 1 THEN 'build' WHEN state = 'completed' THEN 'complete' ELSE 'log' END AS action
-    FROM ranked""")
+    before AS (SELECT *, lag(state) OVER (PARTITION BY idx ORDER BY ts, event_id) AS prior FROM ledger)
+    SELECT event_id, idx, CASE WHEN state = 'deleted' THEN 'log' WHEN prior IS NULL OR prior = 'deleted' THEN 'build'
+                               WHEN state = 'completed' THEN 'complete' ELSE 'log' END AS action
+    FROM before""")
 def state_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records in time order over two runs: the first of an index starts its build."""
+    """Records in time order over two runs: the first of an index, and the first after it was
+    deleted, starts a build."""
     path, target, checkpoint = (shared_dir(spark, p) for p in ("ledger", "events", "checkpoint"))
     for part in ("ts < timestamp_ntz'2024-01-10'", "ts >= timestamp_ntz'2024-01-10'"):
         fx.ledger(spark, sf_dir).where(part).write.mode("append").parquet(path)

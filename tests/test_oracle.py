@@ -2,10 +2,9 @@
 import pytest
 
 import __spark_entry__ as entry
+from shardloom.suite import ORACLE, QUERIES
 from tests.oracle import connect, differences
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con(small):
