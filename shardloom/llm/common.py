@@ -15,8 +15,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def modest_batches(spark: SparkSession) -> None:
+    """Texts are long: a batch for Python holds at most a thousand."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def texts(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` alone, whatever else the table holds; a null text is empty."""
+    modest_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardloom.llm.common import table
+from shardloom.llm.common import modest_batches, table
 
 SAMPLE = 2000
 
@@ -241,6 +241,7 @@ def fit(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:
 
 def extract(pages: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
     """``page_id, url, text, n_chars``: the main text of every page."""
+    modest_batches(pages.sparkSession)
     weights = fit(pages) if weights is None else weights
 
     @F.pandas_udf("string")

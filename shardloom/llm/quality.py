@@ -27,8 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardloom.llm.common import fold, table, texts
-from shardloom.llm.tokens import slices
+from shardloom.llm.common import fold, modest_batches, table, texts
+from shardloom.llm.tokens import forget, slices
 
 WORDS, SAMPLE, SPREAD = 64, 6000, 48
 HIDDEN, GATES, STEPS, BATCH, RATE, DECAY, SEED = 24, 12, 900, 128, 0.01, 1e-4, 7
@@ -150,6 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     found = texts(docs).join(F.broadcast(chosen), "doc_id")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         for batch in batches:
             for name, text, label in zip(batch["doc_id"], batch["text"], batch["quality"]):
                 parts = passages(text)
@@ -165,10 +166,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, score`` of every document, beside the row itself as ``row``."""
+    modest_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def score(column: pd.Series) -> pd.Series:
+        forget()
         found, out = [t or "" for t in column], []
         for a, b in slices(found):
             bags = [passages(t) for t in found[a:b]]

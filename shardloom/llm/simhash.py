@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shardloom.llm.common import components, group_starts, stored, table, texts, whole_groups
+from shardloom.llm.tokens import forget
 
 RADIUS, WORDS, SEED, BLOCK, LITTLE = 3, 3, 42, 4096, 12
 PIECES = (11, 11, 11, 11, 10, 10)
@@ -53,6 +54,7 @@ def fingerprint(text: str, words: int = WORDS) -> int:
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """``doc_id, print``: the fingerprint as a signed long."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         for batch in batches:
             prints = np.array([fingerprint(t, words) for t in batch["text"]], np.uint64)
             yield pd.DataFrame({"doc_id": batch["doc_id"], "print": prints.view(np.int64)})

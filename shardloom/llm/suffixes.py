@@ -28,7 +28,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardloom.llm.common import stored, table, whole_groups
+from shardloom.llm.common import modest_batches, stored, table, whole_groups
+from shardloom.llm.tokens import forget
 
 LENGTH, GRAM = 50, 16
 SPAN = LENGTH - GRAM + 1
@@ -95,6 +96,7 @@ def retained(grams: np.ndarray, span: int = SPAN) -> np.ndarray:
 def sampled(docs: DataFrame) -> DataFrame:
     """``doc_id, print, gram, place``: the retained suffixes of every document."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         for batch in batches:
             for name, print_, text in zip(batch["doc_id"], batch["print"], batch["text"]):
                 grams = Hashed(text).runs(GRAM)
@@ -121,6 +123,7 @@ def _joined(run):
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
+    modest_batches(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.filter("doc_id is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("print"), text.alias("text"))

@@ -22,7 +22,7 @@ class Encoder:
     ``most`` bounds the memory, not the result: the cache starts anew beyond it.
     """
 
-    def __init__(self, path: str, special: bool, most: int = 1_000_000):
+    def __init__(self, path: str, special: bool, most: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -79,12 +79,17 @@ def encoder(path: str, special: bool) -> Encoder:
     return Encoder(path, special)
 
 
+def forget() -> None:
+    """Drop the encoders of this worker process, which now serves another operator."""
+    encoder.cache_clear()
+
+
 def tokenizer_path(name: str = JSON) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
 
 
-def slices(texts: list[str], most: int = 1 << 22):
+def slices(texts: list[str], most: int = 1 << 20):
     """The texts in runs of at least one text and about ``most`` characters."""
     start, size = 0, 0
     for i, text in enumerate(texts):
