@@ -33,7 +33,7 @@ def passages(spark, docs, sf_dir):
 
 def packing(spark, docs, sf_dir):
     """What is left, as pieces of sequences."""
-    return pack(docs)
+    return pack(docs, most=150_000)  # the stages before have left their memory in use
 
 
 STAGES = [("quality", quality), ("exact_dedup", copies), ("near_dedup", near_copies),

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shardloom.llm.common import stored, table, texts
-from shardloom.llm.tokens import encoder, slices, tokenizer_path
+from shardloom.llm.tokens import MOST, encoder, slices, tokenizer_path
 
 WINDOW, END = 2048, 1
 PART = 512  # ranks are counted in parts of about so many pieces of one length
@@ -33,7 +33,7 @@ COLUMNS = 20_000  # rounded columns kept in a plan; the greedy pass packs what t
 SHAPE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, piece long"
 
 
-def pieces(docs: DataFrame, window: int = WINDOW, path: str | None = None) -> DataFrame:
+def pieces(docs: DataFrame, window: int = WINDOW, path: str | None = None, most: int = MOST) -> DataFrame:
     """Each document's ids in pieces of at most ``window``: full ones, then the rest."""
     path = path or tokenizer_path()
 
@@ -43,7 +43,7 @@ def pieces(docs: DataFrame, window: int = WINDOW, path: str | None = None) -> Da
             found, names = batch["text"].tolist(), batch["doc_id"].tolist()
             for a, b in slices(found):
                 rows = []
-                for name, raw in zip(names[a:b], encoder(path, True).encode(found[a:b])):
+                for name, raw in zip(names[a:b], encoder(path, True, most).encode(found[a:b])):
                     raw += end
                     view, total = memoryview(raw), len(raw) // 4
                     rows += [(name, at, min(window, total - at), zlib.crc32(view[4 * at:4 * (at + window)]), total)
@@ -157,9 +157,10 @@ def plan(histogram: dict[int, int], window: int = WINDOW) -> list[tuple[int, int
     return rows
 
 
-def pack(docs: DataFrame, window: int = WINDOW, path: str | None = None) -> DataFrame:
-    """``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` per piece."""
-    cut = stored(pieces(docs, window, path), "pieces")
+def pack(docs: DataFrame, window: int = WINDOW, path: str | None = None, most: int = MOST) -> DataFrame:
+    """``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` per piece; a
+    worker remembers the ids of ``most`` pieces of words, which bounds its memory."""
+    cut = stored(pieces(docs, window, path, most), "pieces")
     whole = cut.filter(F.col("length") == window).select(
         "*", (2 * F.col("piece") + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     rests = cut.filter(F.col("length") < window)

@@ -7,6 +7,7 @@ from functools import lru_cache
 import numpy as np
 
 JSON = "byte_bpe_50k.json"
+MOST = 800_000  # pieces that a worker remembers: some 200 MB
 MARKS = ".,;:!?|*$&%#"
 SPECIAL = "<|endoftext|>"  # fixed value: the vocabulary's only special token
 
@@ -22,7 +23,7 @@ class Encoder:
     ``most`` bounds the memory, not the result: the cache starts anew beyond it.
     """
 
-    def __init__(self, path: str, special: bool, most: int = 800_000):
+    def __init__(self, path: str, special: bool, most: int = MOST):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -74,9 +75,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, special: bool) -> Encoder:
+def encoder(path: str, special: bool, most: int = MOST) -> Encoder:
     """One encoder per worker process, kept between tasks."""
-    return Encoder(path, special)
+    return Encoder(path, special, most)
 
 
 def forget() -> None:
