@@ -206,8 +206,13 @@ def test_gate_blocks_a_damaged_version(spark, small):
 
 def test_spec_checks():
     with pytest.raises(ValueError):
-        BuildSpec(table="t", index_name="a_20240101", id_field="id")
+        BuildSpec(table="t", index_name="a_20240101", work_dir="w", id_field="id")
     with pytest.raises(ValueError):
-        BuildSpec(table="t", index_name="a_20240101", num_shards=0)
+        BuildSpec(table="t", index_name="a_20240101", work_dir="w", num_shards=0)
     with pytest.raises(ValueError):
-        BuildSpec(table="t", index_name="a_20240101", dedupe="some")
+        BuildSpec(table="t", index_name="a_20240101", work_dir="w", dedupe="some")
+
+
+def test_work_dir_is_required():
+    with pytest.raises(ValueError, match="work_dir"):
+        BuildSpec(table="t", index_name="a_20240101", id_field="id", order_by=("x",))
