@@ -8,8 +8,9 @@ a class then has its smoothed share of the class.  Together this is a distributi
 all words and, in each class, one unseen word.
 
 The counts of all training words are taken over all training texts by a shuffle.  Weights
-are learnt on every ``ONE_IN``-th training text, in shards of about ``SHARD`` words that
-grow in number with the input; the shards' weights are averaged, for ``ROUNDS`` rounds.
+are learnt in one pass over all training texts, each part of the table from a common start
+and without moving texts; the parts' weights are averaged by their numbers of words, for
+``ROUNDS`` rounds.
 The most frequent ``KNOWN`` words' counts go to every task (a fixed bound); the counts of
 the other words meet their occurrences in a join.
 
@@ -32,8 +33,7 @@ from pyspark.sql import functions as F
 from shardloom.llm.common import fold, stored, table, texts
 
 FREQUENT, ENDINGS, KNOWN = 127, 64, 100_000
-SIZE, CONTEXT, NOISE, BATCH, ROUNDS, RATE, SEED = 16, 4, 48, 512, 2, 0.15, 11
-ONE_IN, SHARD = 16, 2_000_000
+SIZE, CONTEXT, NOISE, BATCH, ROUNDS, RATE, SEED = 16, 4, 48, 2048, 1, 0.15, 11
 CACHE = 600_000  # words that a worker remembers before it starts anew
 END = b""  # no word is empty
 
@@ -159,8 +159,12 @@ def contexts(output: np.ndarray, sizes: np.ndarray, blank: int) -> np.ndarray:
 
 def _sums(places: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
     """The sums of the rows that have the same place."""
-    cells = (places[:, None] * SIZE + np.arange(SIZE)).ravel()
-    return np.bincount(cells, rows.ravel(), size * SIZE).reshape(size, SIZE)
+    order = np.argsort(places, kind="stable")
+    sorted_ = places[order]
+    starts = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
+    out = np.zeros((size, rows.shape[1]), rows.dtype)
+    out[sorted_[starts]] = np.add.reduceat(rows[order], starts)
+    return out
 
 
 class LogBilinear:
@@ -212,23 +216,29 @@ class LogBilinear:
     def learn(self, before: np.ndarray, outputs: np.ndarray, unigram: np.ndarray, draw, squares: list[np.ndarray]) -> None:
         """One pass of noise-contrastive estimation; noise is shared inside a batch."""
         m = len(unigram)
-        log_noise = np.log(NOISE * unigram)
+        log_noise = np.log(NOISE * unigram).astype(np.float32)
         steps = np.cumsum(unigram)
+        before, outputs = before.T.astype(np.int16), outputs.astype(np.int16)  # small numbers sort fast
         for at in range(0, len(outputs), BATCH):
-            some, right = before[at:at + BATCH], outputs[at:at + BATCH]
+            some, right = np.ascontiguousarray(before[:, at:at + BATCH]), outputs[at:at + BATCH]
             n = len(right)
-            wrong = np.minimum(np.searchsorted(steps, draw.random(NOISE)), m - 1)
-            parts = self.e[some]
-            r = (parts * self.c).sum(1)
-            good = (r * self.q[right]).sum(1) + self.b[right] - log_noise[right]
-            bad = r @ self.q[wrong].T + self.b[wrong] - log_noise[wrong]
+            wrong = np.minimum(np.searchsorted(steps, draw.random(NOISE)), m - 1).astype(np.int16)
+            q, b = self.q.astype(np.float32), self.b.astype(np.float32) - log_noise
+            moved = (self.e * self.c[:, None, :]).astype(np.float32)
+            r = moved[0][some[0]]
+            for k in range(1, CONTEXT):
+                r += moved[k][some[k]]
+            q_right, q_wrong = q[right], q[wrong]
+            good = np.einsum("ij,ij->i", r, q_right) + b[right]
+            bad = r @ q_wrong.T + b[wrong]
             g_good = 1 / (1 + np.exp(-np.clip(good, -30, 30))) - 1
             g_bad = 1 / (1 + np.exp(-np.clip(bad, -30, 30)))
-            dr = g_good[:, None] * self.q[right] + g_bad @ self.q[wrong]
+            dr = g_good[:, None] * q_right + g_bad @ q_wrong
             dq = _sums(np.concatenate((right, wrong)), np.concatenate((g_good[:, None] * r, g_bad.T @ r)), m)
             db = np.bincount(right, g_good, m) + np.bincount(wrong, g_bad.sum(0), m)
-            dc = (parts * dr[:, None, :]).sum(0)
-            de = _sums(some.ravel(), (dr[:, None, :] * self.c).reshape(-1, SIZE), m + 1)
+            seen = np.stack([_sums(some[k], dr, m + 1) for k in range(CONTEXT)])
+            dc = (seen * self.e).sum(1)
+            de = (seen * self.c[:, None, :]).sum(0)
             for value, gradient, square in zip((self.e, self.q, self.c, self.b), (de, dq, dc, db), squares):
                 gradient = gradient / n
                 square += gradient * gradient
@@ -254,12 +264,10 @@ def vocabulary(counted: DataFrame) -> Vocabulary:
     return found.finish(dict(zip(top["hash"].tolist(), top["ending"].tolist())))
 
 
-def fit(docs: DataFrame, shared, words: int) -> LogBilinear:
-    """Average the weights that shards of the training sample learn from a common start."""
+def fit(docs: DataFrame, shared) -> LogBilinear:
+    """Average the weights that the parts of the training texts learn from a common start."""
     model = LogBilinear(shared.value.unigram)
-    sample = docs.filter("not held_out").filter(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(ONE_IN)) == 0)
-    shards = max(1, round(words / ONE_IN / SHARD))
-    parts = stored(sample.select("doc_id", "text").repartition(shards).sortWithinPartitions("doc_id", "text"), "shards")
+    parts = docs.filter("not held_out").select("text")
     for turn in range(ROUNDS):
         start = docs.sparkSession.sparkContext.broadcast(model.flat())
 
@@ -292,7 +300,7 @@ def scored(docs: DataFrame) -> DataFrame:
     counted = stored(counts(docs), "counts")
     v = vocabulary(counted)
     shared = spark.sparkContext.broadcast(v)
-    model = spark.sparkContext.broadcast(fit(docs, shared, v.tokens))
+    model = spark.sparkContext.broadcast(fit(docs, shared))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Reader(shared.value)
