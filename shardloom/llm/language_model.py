@@ -8,8 +8,8 @@ a class then has its smoothed share of the class.  Together this is a distributi
 all words and, in each class, one unseen word.
 
 The counts of all training words are taken over all training texts by a shuffle.  Weights
-are learnt in one pass over all training texts, each part of the table from a common start
-and without moving texts; the parts' weights are averaged by their numbers of words, for
+are learnt in one pass over all training texts, encoded with a byte per token, each part of
+the table from a common start; the parts' weights are averaged by their numbers of words, for
 ``ROUNDS`` rounds.
 The most frequent ``KNOWN`` words' counts go to every task (a fixed bound); the counts of
 the other words meet their occurrences in a join.
@@ -264,20 +264,58 @@ def vocabulary(counted: DataFrame) -> Vocabulary:
     return found.finish(dict(zip(top["hash"].tolist(), top["ending"].tolist())))
 
 
-def fit(docs: DataFrame, shared) -> LogBilinear:
-    """Average the weights that the parts of the training texts learn from a common start."""
+def encoded(docs: DataFrame, shared) -> DataFrame:
+    """``row, doc_id, held_out`` and what the counts tell of every text, read once.
+
+    ``outputs``: a byte per token; ``n_known`` and ``logs``: number of known words and the
+    sum of log10(count + 0.5) over the words every task knows; ``inner``: the sum of the
+    log shares of classes without counts of the others, whose hashes are ``far_hash``."""
+    @F.pandas_udf("outputs binary, n_tokens long, n_known long, logs double, inner double, "
+                  "far_hash array<long>, far_n array<long>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        reader, below = Reader(shared.value), shared.value.below
+
+        def some(texts_: list[str]) -> pd.DataFrame:
+            (output, hashes, count), sizes = reader.read(texts_)
+            starts = np.cumsum(sizes) - sizes
+            here = count >= 0
+            logs = np.where(here, np.log10(np.maximum(count, 0) + 0.5), 0.0)
+            inner = np.where(output > FREQUENT, logs - below[np.maximum(output - FREQUENT - 1, 0)], 0.0)
+            add = lambda x: np.add.reduceat(x, starts)
+            line, away = output.astype(np.uint8).tobytes(), ~here
+            far = [np.unique(hashes[a:a + n][away[a:a + n]], return_counts=True) for a, n in zip(starts, sizes)]
+            return pd.DataFrame({
+                "outputs": [line[a:a + n] for a, n in zip(starts.tolist(), sizes.tolist())], "n_tokens": sizes,
+                "n_known": add((count > 0).astype(np.int64)), "logs": add(logs), "inner": add(inner),
+                "far_hash": [h for h, _ in far], "far_n": [n for _, n in far]})
+
+        for batch in batches:
+            found = batch.tolist()
+            yield pd.concat([some(found[at:at + 64]) for at in range(0, len(found), 64)], ignore_index=True)
+
+    rows = docs.select("doc_id", "held_out", run("text").alias("e")).select("doc_id", "held_out", "e.*")
+    return stored(rows.withColumn("row", F.monotonically_increasing_id()), "encoded")
+
+
+def _outputs(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens' outputs, and the number of tokens of each text."""
+    return np.frombuffer(b"".join(lines), np.uint8).astype(np.int64), np.fromiter(map(len, lines), np.int64, len(lines))
+
+
+def fit(rows: DataFrame, shared) -> LogBilinear:
+    """Average the weights that the parts of the encoded training texts learn from a common start."""
     model = LogBilinear(shared.value.unigram)
-    parts = docs.filter("not held_out").select("text")
+    parts = rows.filter("not held_out").select("outputs")
     for turn in range(ROUNDS):
-        start = docs.sparkSession.sparkContext.broadcast(model.flat())
+        start = rows.sparkSession.sparkContext.broadcast(model.flat())
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             own = LogBilinear(shared.value.unigram).load(start.value.copy())
             squares = [np.full_like(x, 1e-6) for x in (own.e, own.q, own.c, own.b)]
-            draw, reader, total = np.random.default_rng(SEED + turn), Reader(shared.value), 0
+            draw, total = np.random.default_rng(SEED + turn), 0
             for batch in batches:
                 for at in range(0, len(batch), 64):
-                    (output, _, _), sizes = reader.read(batch["text"].iloc[at:at + 64].tolist())
+                    output, sizes = _outputs(batch["outputs"].iloc[at:at + 64].tolist())
                     order = draw.permutation(len(output))
                     before = contexts(output, sizes, len(shared.value.unigram))
                     own.learn(before[order], output[order], shared.value.unigram, draw, squares)
@@ -286,11 +324,11 @@ def fit(docs: DataFrame, shared) -> LogBilinear:
                 values = own.flat()
                 yield pd.DataFrame({"place": np.arange(len(values)), "sum": values * total, "n": float(total)})
 
-        rows = (parts.mapInPandas(run, "place long, sum double, n double")
-                .groupBy("place").agg((F.sum("sum") / F.sum("n")).alias("value")).orderBy("place").collect())
-        if not rows:
+        found = (parts.mapInPandas(run, "place long, sum double, n double")
+                 .groupBy("place").agg((F.sum("sum") / F.sum("n")).alias("value")).orderBy("place").collect())
+        if not found:
             break
-        model.load(np.array([r["value"] for r in rows]))
+        model.load(np.array([r["value"] for r in found]))
     return model
 
 
@@ -300,36 +338,22 @@ def scored(docs: DataFrame) -> DataFrame:
     counted = stored(counts(docs), "counts")
     v = vocabulary(counted)
     shared = spark.sparkContext.broadcast(v)
-    model = spark.sparkContext.broadcast(fit(docs, shared))
+    rows = encoded(docs, shared)
+    model = spark.sparkContext.broadcast(fit(rows, shared))
+
+    @F.pandas_udf("double")
+    def steps(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        blank = len(shared.value.unigram)
+
+        def some(lines: list[bytes]) -> np.ndarray:
+            output, sizes = _outputs(lines)
+            found = model.value.log_probabilities(contexts(output, sizes, blank), output) / math.log(10)
+            return np.add.reduceat(found, np.cumsum(sizes) - sizes)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = Reader(shared.value)
-        below, blank = shared.value.below, len(shared.value.unigram)
         for batch in batches:
-            found = batch["text"].tolist()
-            for at in range(0, len(found), 64):
-                (output, hashes, count), sizes = reader.read(found[at:at + 64])
-                steps = model.value.log_probabilities(contexts(output, sizes, blank), output) / math.log(10)
-                starts = np.cumsum(sizes) - sizes
-                here = count >= 0
-                logs = np.where(here, np.log10(np.maximum(count, 0) + 0.5), 0.0)
-                unnamed = output > FREQUENT
-                inner = np.where(unnamed, logs - below[np.maximum(output - FREQUENT - 1, 0)], 0.0)
-                add = lambda x: np.add.reduceat(x, starts)
-                far_hash, far_n = [], []
-                for a, n in zip(starts, sizes):
-                    h, k = np.unique(hashes[a:a + n][~here[a:a + n]], return_counts=True)
-                    far_hash.append(h)
-                    far_n.append(k)
-                yield pd.DataFrame({
-                    "doc_id": batch["doc_id"].iloc[at:at + 64].to_numpy(), "held_out": batch["held_out"].iloc[at:at + 64].to_numpy(),
-                    "n_tokens": sizes, "n_known": add((count > 0).astype(np.int64)), "logs": add(logs),
-                    "score": add(steps + inner), "far_hash": far_hash, "far_n": far_n})
-
-    shape = ("doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double, "
-             "far_hash array<long>, far_n array<long>")
-    rows = stored(docs.select("doc_id", "held_out", "text").mapInPandas(run, shape)
-                  .withColumn("row", F.monotonically_increasing_id()), "scored")
+            lines = batch.tolist()
+            yield pd.Series(np.concatenate([some(lines[at:at + 64]) for at in range(0, len(lines), 64)]))
+
     far = rows.select("row", F.explode(F.arrays_zip("far_hash", "far_n")).alias("f")).select(
         "row", F.col("f.far_hash").alias("hash"), F.col("f.far_n").alias("times"))
     # a word that is in no training text has no count
@@ -339,11 +363,12 @@ def scored(docs: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("far_known"))
     zero = F.lit(0.0)
     below = math.log10(v.tokens + 0.5 * (v.words + 1))
-    return rows.join(sums, "row", "left").select(
+    named = rows.drop("far_hash", "far_n").withColumn("steps", steps("outputs")).drop("outputs")
+    return named.join(sums, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("far_known", F.lit(0))).alias("n_known"),
         F.lit(v.tokens).cast("long").alias("train_tokens"),
         (F.col("logs") + F.coalesce("far_logs", zero) - F.col("n_tokens") * F.lit(below)).alias("base_score"),
-        (F.col("score") + F.coalesce("far_logs", zero)).alias("score"))
+        (F.col("steps") + F.col("inner") + F.coalesce("far_logs", zero)).alias("score"))
 
 
 def score_table(docs: DataFrame, modulus: int = 5, held: int = 1) -> DataFrame:
