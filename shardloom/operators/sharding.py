@@ -7,9 +7,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shardloom.functions.hashing import segment_of, shard_of
 
-# A plan row per shard is broadcast; this bounds it.
-MAX_SHARDS = 100_000
-
 
 def with_shard(docs: DataFrame, num_shards: int, routing: Column | None = None) -> DataFrame:
     """Shard by hash of the routing value, or of the id where routing is absent."""
@@ -35,8 +32,7 @@ def planned_segments(sharded: DataFrame, target_docs: int, num_shards: int) -> l
     return [found.get(shard, 1) for shard in range(num_shards)]
 
 
-def with_segment(sharded: DataFrame, segments: int | Sequence[int] | DataFrame,
-                 num_shards: int | None = None) -> DataFrame:
+def with_segment(sharded: DataFrame, segments: int | Sequence[int] | DataFrame) -> DataFrame:
     """Segment number of every document.
 
     ``segments`` is one count for all shards, a count per shard (a literal lookup), or a
@@ -47,9 +43,7 @@ def with_segment(sharded: DataFrame, segments: int | Sequence[int] | DataFrame,
     if not isinstance(segments, DataFrame):
         per_shard = F.element_at(F.array(*map(F.lit, segments)), F.col("shard") + 1)
         return sharded.withColumn("segment", segment_of(F.col("doc_id"), per_shard))
-    if num_shards is None or num_shards > MAX_SHARDS:
-        raise ValueError(f"a segment plan needs num_shards, at most {MAX_SHARDS}")
-    plan = F.broadcast(segments.select("shard", "segments"))  # at most num_shards rows
+    plan = segments.select("shard", "segments")
     # every shard is in the plan; a left join just spares a null test that would hash twice
     return sharded.join(plan, "shard", "left").withColumn(
         "segment", segment_of(F.col("doc_id"), F.col("segments"))).drop("segments")

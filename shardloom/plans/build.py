@@ -2,8 +2,8 @@
 
 Layout below ``<work_dir>/<index_name>``::
 
-    fields/                       discovered field facts
-    mapping/                      mapping JSON
+    fields/generation=<g>/        discovered field facts
+    mapping/generation=<g>/       mapping JSON
     docs/generation=<g>/shard=/segment=/    documents
     postings/generation=<g>/      exact-term posting blocks
     rejects/generation=<g>/       refused rows
@@ -30,7 +30,7 @@ from shardloom.operators.sharding import (
 )
 from shardloom.session import prepare
 from shardloom.sinks.files import (
-    append_state, commit_manifest, delete_path, next_generation, write_mapping, write_sharded,
+    MANIFEST_SCHEMA, append_state, commit_manifest, delete_path, next_generation, write_mapping, write_sharded,
 )
 from shardloom.sources.side_tables import deny_list, load_rules, type_overrides
 from shardloom.sources.tables import json_fields, scan
@@ -48,6 +48,10 @@ class BuildResult:
     segments: tuple[int, ...]
 
 
+# names that placement puts beside the source columns; Spark does not tell cases apart
+PLACEMENT = frozenset({"doc_id", "shard", "segment", "slot", "_dynamic", "_rank", "_bad"})
+
+
 def source_rows(spark: SparkSession, spec: BuildSpec) -> DataFrame:
     df = scan(spark, spec.table, spec.where, spec.input_columns)
     return json_fields(df, spec.json_source) if spec.json_source else df
@@ -120,15 +124,20 @@ def build_index(spark: SparkSession, spec: BuildSpec, deny: DataFrame | None = N
         delete_path(spark, root)
     state("deleted")  # whatever an earlier build of this index recorded no longer counts
     source = source_rows(spark, spec)
+    if taken := sorted(c for c in source.columns if c.lower() in PLACEMENT):
+        raise ValueError(f"the source has columns with names that placement needs: {taken}; rename them")
     # one discovery pass over the map columns; everything after it reads this small table
-    discover_fields(source).write.mode("overwrite").parquet(f"{root}/fields")
-    fields = spark.read.parquet(f"{root}/fields")
+    manifest_path = f"{root}/manifest"
+    generation = next_generation(spark, manifest_path)
+    fields_path = f"{root}/fields/generation={generation}"
+    discover_fields(source).write.mode("overwrite").parquet(fields_path)
+    fields = spark.read.parquet(fields_path)
     rules = build_rules(spec, fields, deny, overrides)
     mapping = infer_mapping(
         fields, None if overrides is None else type_overrides(overrides, spec.snapshot_date),
         explicit_fields(spark, spec.mapping) if spec.mapping else None,
         spec.index_fields, spec.index_source_columns)
-    mapping_path = f"{root}/mapping"
+    mapping_path = f"{root}/mapping/generation={generation}"
     write_mapping(mapping_json(mapping, max_fields=spec.max_fields), mapping_path)
     state("started")
 
@@ -145,8 +154,6 @@ def build_index(spark: SparkSession, spec: BuildSpec, deny: DataFrame | None = N
         rows = rows.where("size(_bad) = 0").drop("_bad")
     sizes = shard_sizes(_sharded(rows, spec).select("shard", "doc_id"), spec)
 
-    manifest_path = f"{root}/manifest"
-    generation = next_generation(spark, manifest_path)
     docs_path = f"{root}/docs/generation={generation}"
     placed = placed_rows(rows, spec, sizes.segments)
     if sizes.nameless:
@@ -154,6 +161,10 @@ def build_index(spark: SparkSession, spec: BuildSpec, deny: DataFrame | None = N
     else:
         docs = render_documents(placed, schema, rules, ["shard", "segment", "slot"])
     write_sharded(docs, docs_path)
+    empty = not has_rows(spark, docs_path)
+    if empty:  # an empty segment: the folder keeps its schema
+        spark.createDataFrame([], "doc_id string, doc_json string").write.mode("overwrite") \
+            .parquet(f"{docs_path}/shard=0/segment=0")
 
     bundles = stored_bundles(spark, docs_path)
     stored = bundles.agg(F.sum("docs").alias("n")).first()["n"] or 0
@@ -181,8 +192,12 @@ def build_index(spark: SparkSession, spec: BuildSpec, deny: DataFrame | None = N
             .sortWithinPartitions("shard", "segment", "field", "term", "block") \
             .drop("slot").write.mode("overwrite").partitionBy("shard", "segment").parquet(postings_path)
 
-    commit_manifest(segment_manifest(bundles, generation)
-                    .withColumn("path", F.lit(docs_path)), manifest_path)
+    if empty:
+        segments = spark.createDataFrame(
+            [(0, 0, "", 0, 0, 0, 0, 0, generation, docs_path)], MANIFEST_SCHEMA)
+    else:
+        segments = segment_manifest(bundles, generation).withColumn("path", F.lit(docs_path))
+    commit_manifest(segments, manifest_path)
     state("completed")
     return BuildResult(spec.index_name, generation, docs_path, postings_path, rejects_path,
                        mapping_path, manifest_path, sizes.segments)
@@ -199,6 +214,12 @@ def _with_generated(rows: DataFrame, placed: DataFrame, schema: T.StructType, ru
     return colocate(both, counts, spec.num_shards)
 
 
+def has_rows(spark: SparkSession, docs_path: str) -> bool:
+    """Whether any document was written; a write without rows leaves no file to infer from."""
+    schema = "doc_id string, doc_json string, shard int, segment int"
+    return not spark.read.schema(schema).parquet(docs_path).isEmpty()
+
+
 def stored_bundles(spark: SparkSession, docs_path: str) -> DataFrame:
     """(shard, segment, docs, deleted) of what was written; reads no column.
 

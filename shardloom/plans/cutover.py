@@ -35,7 +35,7 @@ def shard_reports(spark: SparkSession, idx: str, manifest_path: str) -> DataFram
     if not paths:
         return listed.select(F.lit(idx).alias("idx"), "shard", F.lit(None).cast("string").alias("err"))
     stored = spark.read.parquet(*paths).groupBy("shard").agg(F.count(F.lit(1)).alias("stored"))
-    differs = ~F.col("docs").eqNullSafe(F.col("stored"))
+    differs = F.col("docs") != F.coalesce("stored", F.lit(0))
     return listed.join(stored, "shard", "left").select(
         F.lit(idx).alias("idx"), "shard", F.when(differs, F.concat(
             F.lit("manifest "), F.col("docs"), F.lit(" stored "), F.coalesce("stored", F.lit(0))))

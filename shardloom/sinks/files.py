@@ -73,8 +73,8 @@ def next_generation(spark: SparkSession, path: str) -> int:
 
 
 def commit_manifest(manifest: DataFrame, path: str) -> None:
-    """Append a segment list, one row per segment."""
-    manifest.write.mode("append").parquet(path)
+    """Append a segment list, one row per segment, as one file: readers see all of it or nothing."""
+    manifest.coalesce(1).write.mode("append").parquet(path)
 
 
 def read_published(spark: SparkSession, manifest_path: str) -> DataFrame:

@@ -114,7 +114,7 @@ def shard_sql(value: str, n: int = NUM_SHARDS) -> str:
 def place(docs: DataFrame, target: int = TARGET_DOCS, routing: Column | None = None,
           num_shards: int = NUM_SHARDS) -> DataFrame:
     sharded = with_shard(docs, num_shards, routing)
-    return with_segment(sharded, segment_plan(sharded, target), num_shards)
+    return with_segment(sharded, segment_plan(sharded, target))
 
 
 def together(docs: DataFrame, ids: DataFrame | None = None) -> DataFrame:

@@ -128,7 +128,7 @@ def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = fx.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     sharded = with_shard(docs, fx.NUM_SHARDS)
     plan = segment_plan(with_shard(docs.select("doc_id"), fx.NUM_SHARDS), 300)
-    placed = with_segment(sharded, plan, fx.NUM_SHARDS)
+    placed = with_segment(sharded, plan)
     return bulk_batches(placed, 100, 200_000, body="text").select("doc_id", "shard", "segment", "batch")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shardloom import BuildSpec, shared_dir
 from shardloom.plans import build_index, cut_over
+from shardloom.plans.cutover import shard_reports
 from shardloom.operators.lifecycle import latest_state
 from shardloom.sinks import read_ledger, read_manifest, read_published
 from shardloom.sources import read_delimited, read_mapping
@@ -216,3 +217,38 @@ def test_spec_checks():
 def test_work_dir_is_required():
     with pytest.raises(ValueError, match="work_dir"):
         BuildSpec(table="t", index_name="a_20240101", id_field="id", order_by=("x",))
+
+
+def test_nothing_to_build(spark, small):
+    """An empty selection is published as a generation of no documents."""
+    spec = lines_spec(spark, small, where="l_orderkey < 0")
+    result = build_index(spark, spec)
+    manifest = read_manifest(spark, result.manifest_path).collect()
+    assert [(r["docs"], r["generation"]) for r in manifest] == [(0, 1)]
+    assert read_published(spark, result.manifest_path).count() == 0
+    reports = shard_reports(spark, spec.index_name, result.manifest_path).collect()
+    assert [r["err"] for r in reports] == [None]
+
+
+def test_failed_build_keeps_the_mapping(spark, small):
+    spec = lines_spec(spark, small)
+    first = build_index(spark, spec, with_postings=False)
+    before = read_mapping(spark, first.mapping_path).collect()
+    overrides = spark.sql("select 'l_returnflag' index_name, 'long' data_type, '20240116' dt")
+    with pytest.raises(PySparkException):
+        build_index(spark, spec, overrides=overrides, with_postings=False)
+    assert read_mapping(spark, first.mapping_path).collect() == before
+    assert {r["generation"] for r in read_manifest(spark, first.manifest_path).collect()} == {1}
+
+
+@pytest.mark.parametrize("name", ["shard", "Segment", "slot", "doc_id"])
+def test_names_of_placement_are_refused(spark, small, name):
+    spark.read.parquet(f"{small}/lineitem.parquet").withColumn(name, F.lit(7)) \
+        .createOrReplaceTempView("clash")
+    with pytest.raises(ValueError, match="placement"):
+        build_index(spark, lines_spec(spark, small, table="clash"))
+
+
+def test_manifest_is_one_file(spark, small):
+    result = build_index(spark, lines_spec(spark, small), with_postings=False)
+    assert len(read_manifest(spark, result.manifest_path).inputFiles()) == 1

@@ -51,7 +51,7 @@ def test_rejects_with_null_order_values(spark):
 def test_segments_stay_near_the_target_in_a_hot_shard(spark):
     docs = spark.range(6000).selectExpr("cast(id as string) doc_id", "case when id % 3 = 0 then id else -1 end r")
     sharded = with_shard(docs, 5, F.col("r"))
-    placed = with_segment(sharded, segment_plan(sharded, 500), 5)
+    placed = with_segment(sharded, segment_plan(sharded, 500))
     sizes = partition_counts(placed).collect()
     assert sum(r["docs"] for r in sizes) == 6000
     assert max(r["docs"] for r in sizes) < 700
