@@ -363,7 +363,7 @@ def scored(docs: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("far_known"))
     zero = F.lit(0.0)
     below = math.log10(v.tokens + 0.5 * (v.words + 1))
-    named = rows.drop("far_hash", "far_n").withColumn("steps", steps("outputs")).drop("outputs")
+    named = stored(rows.drop("far_hash", "far_n").withColumn("steps", steps("outputs")).drop("outputs"), "scored")
     return named.join(sums, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("far_known", F.lit(0))).alias("n_known"),
         F.lit(v.tokens).cast("long").alias("train_tokens"),
