@@ -25,6 +25,11 @@ def map_field_name(source_column: str, key: Column) -> Column:
     return F.translate(F.lower(full), "&$", "--")
 
 
+def quoted(column: str) -> str:
+    """A column name as Spark takes it whole, dots and all."""
+    return "`" + column.replace("`", "``") + "`"
+
+
 def could_name(source_column: str, field: str) -> bool:
     """Whether an entry of this map column can ever become ``field``."""
     if field != field.lower() or "&" in field or "$" in field:

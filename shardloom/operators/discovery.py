@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from shardloom.functions.names import map_field_name
+from shardloom.sources.columns import column_of, field_of
 
 
 def map_columns(schema: T.StructType) -> list[T.StructField]:
@@ -21,7 +22,7 @@ def _field_row(field, src_type: str, is_plain: bool, src_col: str):
 
 def plain_fields(df: DataFrame) -> DataFrame:
     """Schema-only: present even when the table has no rows."""
-    rows = [_field_row(F.lit(f.name), f.dataType.simpleString(), True, f.name)
+    rows = [_field_row(F.lit(field_of(f)), f.dataType.simpleString(), True, field_of(f))
             for f in plain_columns(df.schema)]
     if not rows:
         rows_type = "array<struct<field:string,src_type:string,is_plain:boolean,src_col:string>>"
@@ -32,9 +33,9 @@ def plain_fields(df: DataFrame) -> DataFrame:
 def plain_coverage(df: DataFrame) -> DataFrame:
     """Plain fields with the number of rows that have a value: one global aggregate."""
     fields = plain_columns(df.schema)
-    counts = df.agg(*[F.count(F.col(f.name)).alias(f"c{i}") for i, f in enumerate(fields)])
-    rows = [F.struct(F.lit(f.name).alias("field"), F.lit(f.dataType.simpleString()).alias("src_type"),
-                     F.lit(True).alias("is_plain"), F.lit(f.name).alias("src_col"),
+    counts = df.agg(*[F.count(column_of(f)).alias(f"c{i}") for i, f in enumerate(fields)])
+    rows = [F.struct(F.lit(field_of(f)).alias("field"), F.lit(f.dataType.simpleString()).alias("src_type"),
+                     F.lit(True).alias("is_plain"), F.lit(field_of(f)).alias("src_col"),
                      F.col(f"c{i}").alias("docs")) for i, f in enumerate(fields)]
     return counts.select(F.inline(F.array(*rows)))
 
@@ -49,13 +50,13 @@ def map_fields(df: DataFrame) -> DataFrame:
     if not columns:
         return plain_fields(df).where(F.lit(False))
     # (column number, key array) pairs, unfolded twice: generated code all the way
-    pairs = [F.struct(F.lit(i).alias("src"), F.map_keys(F.col(f.name)).cast("array<string>").alias("keys"))
+    pairs = [F.struct(F.lit(i).alias("src"), F.map_keys(column_of(f)).cast("array<string>").alias("keys"))
              for i, f in enumerate(columns)]
     keys = df.select(F.inline(F.array(*pairs))).select("src", F.explode("keys").alias("key")).distinct()
     named = F.lit(None).cast("struct<field:string,src_type:string,is_plain:boolean,src_col:string>")
     for i, f in enumerate(columns):
-        row = _field_row(map_field_name(f.name, F.col("key")),
-                         f.dataType.valueType.simpleString(), False, f.name)
+        row = _field_row(map_field_name(field_of(f), F.col("key")),
+                         f.dataType.valueType.simpleString(), False, field_of(f))
         named = F.when(F.col("src") == i, row).otherwise(named)
     return keys.select(named.alias("f")).select("f.*").where(F.col("field").isNotNull()).distinct()
 

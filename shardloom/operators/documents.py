@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from shardloom.functions.names import could_name, map_field_name
 from shardloom.functions.values import cast_failed, render_value
+from shardloom.session import stored
+from shardloom.sources.columns import column_of, field_of, sheltered
 from shardloom.spec import Rules
 
 _VALUE_TYPE = {"variant": "variant", "terms": "array<string>", "text": "string"}
@@ -27,16 +29,23 @@ def _is_map(f: T.StructField) -> bool:
 def _wanted(f: T.StructField, rules: Rules, only: Collection[str] | None) -> bool:
     """Whether a column can give any field of the document."""
     if _is_map(f):
-        return only is None or any(could_name(f.name, n) for n in only if n not in rules.deny)
-    return f.name not in rules.deny and (only is None or f.name in only)
+        return only is None or any(could_name(field_of(f), n) for n in only if n not in rules.deny)
+    return field_of(f) not in rules.deny and (only is None or field_of(f) in only)
 
 
 def _reachable(f: T.StructField, names: Collection[str]) -> list[str]:
-    return sorted(n for n in names if could_name(f.name, n))
+    return sorted(n for n in names if could_name(field_of(f), n))
+
+
+def _may_collide(f: T.StructField, name: str, rules: Rules) -> bool:
+    """Whether a map column can hold a field that a plain column is called after."""
+    if rules.collisions is not None and name not in rules.collisions:
+        return False
+    return could_name(field_of(f), name)
 
 
 def _value(f: T.StructField, rules: Rules, render: str) -> Column:
-    return render_value(F.col(f.name), f.dataType, f.name, rules, render)
+    return render_value(column_of(f), f.dataType, field_of(f), rules, render)
 
 
 def _named_entries(f: T.StructField, rules: Rules, only: Collection[str] | None) -> Column:
@@ -46,11 +55,11 @@ def _named_entries(f: T.StructField, rules: Rules, only: Collection[str] | None)
             return name.isin(*[n for n in _reachable(f, only) if n not in rules.deny])
         return ~name.isin(*_reachable(f, rules.deny))
 
-    entries = F.map_entries(F.col(f.name))
+    entries = F.map_entries(column_of(f))
     if only is not None:  # few are wanted: look at the name before anything else
-        entries = F.filter(entries, lambda e: wanted(map_field_name(f.name, e["key"])))
+        entries = F.filter(entries, lambda e: wanted(map_field_name(field_of(f), e["key"])))
     named = F.transform(entries, lambda e: F.struct(
-        map_field_name(f.name, e["key"]).alias("key"), e["value"].alias("value")))
+        map_field_name(field_of(f), e["key"]).alias("key"), e["value"].alias("value")))
     if only is None and _reachable(f, rules.deny):
         named = F.filter(named, lambda e: wanted(e["key"]))
     return named
@@ -64,8 +73,8 @@ def _map_entries(f: T.StructField, rules: Rules, render: str, only: Collection[s
     kind = f.dataType.valueType
     simple = not mine.overrides and not _reachable(f, rules.deny) and only is None
     if simple:
-        shown = F.transform(F.map_entries(F.col(f.name)), lambda e: F.struct(
-            map_field_name(f.name, e["key"]).alias("key"),
+        shown = F.transform(F.map_entries(column_of(f)), lambda e: F.struct(
+            map_field_name(field_of(f), e["key"]).alias("key"),
             render_value(e["value"], kind, F.lit(""), mine, render).alias("value")))
     else:
         shown = F.transform(_named_entries(f, rules, only), lambda e: F.struct(
@@ -91,8 +100,8 @@ def dynamic_part(schema: T.StructType, rules: Rules, render: str,
     parts = []
     for i, f in enumerate(fields):
         if _is_map(f):
-            winners = [(p.name, _value(p, rules, render)) for p in fields[i + 1:]
-                       if not _is_map(p) and could_name(f.name, p.name)]
+            winners = [(field_of(p), _value(p, rules, render)) for p in fields[i + 1:]
+                       if not _is_map(p) and _may_collide(f, field_of(p), rules)]
             parts.append(F.coalesce(_map_entries(f, rules, render, only, winners), none))
     if not parts:
         return None
@@ -109,9 +118,9 @@ def static_part(schema: T.StructType, rules: Rules, render: str, dynamic: Column
             continue
         value = _value(f, rules, render)
         # an earlier map yields to this value, so a key that is still there came later
-        if dynamic is not None and any(_is_map(m) and could_name(m.name, f.name) for m in fields):
-            value = F.when(~F.map_contains_key(dynamic, f.name), value)
-        values.append((f.name, value))
+        if dynamic is not None and any(_is_map(m) and _may_collide(m, field_of(f), rules) for m in fields):
+            value = F.when(~F.map_contains_key(dynamic, field_of(f)), value)
+        values.append((field_of(f), value))
     return values
 
 
@@ -120,20 +129,20 @@ def field_text(schema: T.StructType, rules: Rules, field: str) -> Column:
     if field in rules.deny:
         return F.lit(None).cast("string")
     dynamic = dynamic_part(schema, rules, "text", only=(field,))
-    plain = [_value(f, rules, "text") for f in schema.fields if not _is_map(f) and f.name == field]
+    plain = [_value(f, rules, "text") for f in schema.fields if not _is_map(f) and field_of(f) == field]
     found = ([] if dynamic is None else [F.try_element_at(dynamic, F.lit(field))]) + plain
     return F.coalesce(*found) if found else F.lit(None).cast("string")
 
 
 def source_columns(schema: T.StructType, rules: Rules, also: Sequence[str] = ()) -> list[str]:
     """Columns a build has to read: all but the denied plain ones."""
-    return [f.name for f in schema.fields if _is_map(f) or f.name not in rules.deny or f.name in also]
+    return [f.name for f in schema.fields if _is_map(f) or field_of(f) not in rules.deny or f.name in also]
 
 
 def with_doc_id(df: DataFrame, rules: Rules) -> DataFrame:
     """Source rows plus their ``doc_id``; null where the id field is absent."""
     if {"doc_id", _DYNAMIC} & set(df.columns):
-        raise ValueError(f"the source has a column called doc_id or {_DYNAMIC}; rename it before the build")
+        raise ValueError(f"the source has a column called doc_id or {_DYNAMIC}; use ``sheltered`` first")
     text = F.lit(None).cast("string") if rules.id_field is None \
         else field_text(df.schema, rules, rules.id_field)
     return df.withColumn("doc_id", text)
@@ -191,6 +200,7 @@ def _all_entries(fields: Sequence[tuple[str, Column]], dynamic: Column | None) -
 
 def build_documents(df: DataFrame, rules: Rules, keep: Sequence[str] = ()) -> DataFrame:
     """Documents of a table, one narrow pass."""
+    df = sheltered(df)
     return render_documents(with_doc_id(df, rules), df.schema, rules, keep)
 
 
@@ -220,9 +230,17 @@ def render_terms(rows: DataFrame, schema: T.StructType, rules: Rules,
 def document_terms(df: DataFrame, rules: Rules, only: Collection[str] | None = None,
                    keep: Sequence[str] = ()) -> DataFrame:
     """Long form of a table's documents, one row per exact term."""
+    df = sheltered(df)
     return render_terms(with_doc_id(df, rules), df.schema, rules, only, keep)
 
 
+def document_term_sets(df: DataFrame, rules: Rules, only: Collection[str] | None = None) -> DataFrame:
+    """(doc_id, field, term), every term of a field once: repeats go inside the row."""
+    df = sheltered(df)
+    found = render_fields(with_doc_id(df, rules), df.schema, rules, only)
+    return found.select("doc_id", "field", F.explode(F.array_distinct("terms")).alias("term"))
+
+
 def cast_failures(df: DataFrame, rules: Rules) -> Column:
     """Names of the fields of a row whose override could not convert the value."""
     def failed(c: Column, dtype: T.DataType, name: Column, names: Collection[str]) -> Column:
@@ -245,30 +263,38 @@ def cast_failures(df: DataFrame, rules: Rules) -> Column:
         if _is_map(f):
             if names := _reachable(f, rules.overrides):
                 found.append(failed_entries(f, names))
-        elif f.name in rules.overrides and f.name not in rules.deny:
-            hit = failed(F.col(f.name), f.dataType, F.lit(f.name), [f.name])
-            found.append(F.when(hit, F.array(F.lit(f.name))).otherwise(none))
+        elif field_of(f) in rules.overrides and field_of(f) not in rules.deny:
+            hit = failed(column_of(f), f.dataType, F.lit(field_of(f)), [field_of(f)])
+            found.append(F.when(hit, F.array(F.lit(field_of(f)))).otherwise(none))
     return F.concat(*found)
 
 
 def generated_ids(docs: DataFrame, keep: Sequence[str] = (), block: int = 4096) -> DataFrame:
     """Ids for documents that have none: content hash plus rank among equal documents.
 
-    Equal documents (with equal ``keep`` values) are first counted, combined on the map
-    side, then fanned out again in blocks, so a document repeated billions of times fills
-    neither a task nor an array.  A rerun gives the same ids.
+    Hashes alone are counted first; a document whose hash is its own is number 0 at once
+    and is not moved here.  Repeated documents (with equal ``keep`` values) are counted,
+    combined on the map side, then fanned out again in blocks, so a document repeated
+    billions of times fills neither a task nor an array.  A rerun gives the same ids.
     """
     same = ["doc_json", *keep]
-    counted = docs.where(F.col("doc_id").isNull()).groupBy(*same).agg(
+    content = F.concat_ws("\u0000", *[F.col(c).cast("string") for c in same])
+    nameless = docs.where(F.col("doc_id").isNull()).withColumn("_content", F.md5(content))
+    repeated = stored(nameless.groupBy("_content").agg(F.count(F.lit(1)).alias("n"))
+                      .where("n > 1").select("_content"), "repeated")
+    doc = F.col("doc") if "doc" in docs.columns else F.parse_json("doc_json")
+    single = nameless.join(repeated, "_content", "left_anti").select(
+        F.concat("_content", F.lit("-0")).alias("doc_id"), *keep, doc.alias("doc"), "doc_json")
+    counted = nameless.join(repeated, "_content", "left_semi").groupBy("_content", *same).agg(
         F.count(F.lit(1)).alias("_copies"))
     last_block = F.floor((F.col("_copies") - 1) / block).cast("bigint")
-    blocks = counted.select(*same, "_copies", F.explode(
+    blocks = counted.select("_content", *same, "_copies", F.explode(
         F.sequence(F.lit(0).cast("bigint"), last_block)).alias("_block"))
-    spread = blocks.repartition(*same, "_block")
+    spread = blocks.repartition("_content", "_block")
     first = F.col("_block") * block
     last = F.least(first + block, F.col("_copies")) - 1
-    ranked = spread.select(*same, F.explode(F.sequence(first, last)).alias("_rank"))
-    content = F.concat_ws("\u0000", *[F.col(c).cast("string") for c in same])
-    return ranked.select(
-        F.concat(F.md5(content), F.lit("-"), F.col("_rank").cast("string")).alias("doc_id"), *keep,
+    ranked = spread.select("_content", *same, F.explode(F.sequence(first, last)).alias("_rank"))
+    many = ranked.select(
+        F.concat("_content", F.lit("-"), F.col("_rank").cast("string")).alias("doc_id"), *keep,
         F.parse_json("doc_json").alias("doc"), "doc_json")
+    return single.unionByName(many)

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shardloom.sources.bundles import FIELD_PROPERTIES
-from shardloom.sources.side_tables import guarded_rows
 
 # fixed values: the day format, the target type names that differ from the source type names,
 # and the endings of map columns whose fields are stored but not indexed
@@ -108,22 +107,16 @@ def mapping_summary(mapping: DataFrame) -> DataFrame:
                        F.count(F.lit(1)).alias("all_fields"))
 
 
-def mapping_json(mapping: DataFrame, wrap: bool = False, max_fields: int = 10_000) -> DataFrame:
+def mapping_json(mapping: DataFrame, wrap: bool = False) -> DataFrame:
     """The whole mapping as one JSON string, fields in name order, absent properties left out.
 
-    A mapping is metadata, one entry per field name.  The limit only bounds the work of the
-    check: a mapping beyond ``max_fields`` fails instead of being cut.
+    A mapping is metadata, one entry per field name; the file is one JSON object.
     """
     entry = F.struct("field", F.struct("type", "index", "format").alias("properties"))
-    entries = F.array_sort(F.collect_list(entry))
-    checked = F.when(F.size("entries") <= max_fields, F.col("entries")).otherwise(
-        F.raise_error(F.lit(f"mapping has more than {max_fields} fields"))
-        .cast(f"array<struct<field:string,properties:{FIELD_PROPERTIES}>>"))
-    fields = F.map_from_entries(checked)
+    fields = F.map_from_entries(F.array_sort(F.collect_list(entry)))
     body = F.struct(fields.alias("properties"),
                     F.struct(F.lit(False).alias("enabled")).alias("_all")) if wrap else fields
-    return mapping.orderBy("field").limit(max_fields + 1).agg(entries.alias("entries")) \
-        .select(F.to_json(body).alias("json"))
+    return mapping.agg(F.to_json(body).alias("json"))
 
 
 def explicit_fields(spark, mapping_text: str) -> DataFrame:
@@ -133,10 +126,14 @@ def explicit_fields(spark, mapping_text: str) -> DataFrame:
         "field", "p.type", "p.index", "p.format")
 
 
-def indexed_field_names(mapping: DataFrame, max_fields: int = 10_000) -> frozenset[str]:
-    """Names of the indexable fields, for use as literals in postings plans."""
-    rows = guarded_rows(mapping.where("indexable").select("field"), max_fields, "indexed fields")
-    return frozenset(r["field"] for r in rows)
+def indexed_fields(mapping: DataFrame) -> DataFrame:
+    """(field) of the indexable fields: terms are joined to it."""
+    return mapping.where("indexable").select("field")
+
+
+def indexed_field_names(mapping: DataFrame) -> frozenset[str]:
+    """Names of the indexable fields, one per field, for plans that read single fields."""
+    return frozenset(r["field"] for r in indexed_fields(mapping).collect())
 
 
 def field_budget(fields: DataFrame) -> DataFrame:

@@ -30,12 +30,11 @@ def postings(terms: DataFrame, block: int) -> DataFrame:
 
 
 def term_stats(terms: DataFrame) -> DataFrame:
-    """(field, term, df): documents per term, from long-form terms.
+    """(field, term, df): documents per term, from ``document_term_sets``.
 
-    A document may repeat a term, so pairs are first made distinct.
+    A document has a term once there, so a plain count does, which combines on the map side.
     """
-    return terms.select("field", "term", "doc_id").distinct().groupBy("field", "term").agg(
-        F.count(F.lit(1)).alias("df"))
+    return terms.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
 
 
 def field_stats(posting_blocks: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shardloom.functions.hashing import segment_of, shard_of
+from shardloom.session import stored
 
 
 def with_shard(docs: DataFrame, num_shards: int, routing: Column | None = None) -> DataFrame:
@@ -105,22 +106,28 @@ def dedupe_first(docs: DataFrame, order_by: Sequence[str | Column],
         .withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
-def dedupe_rejects(docs: DataFrame, order_by: Sequence[str], scope: str = "global") -> DataFrame:
+def dedupe_rejects(docs: DataFrame, order_by: Sequence[str], scope: str = "global",
+                   row: Column | None = None) -> DataFrame:
     """Refused rows: (*scope, *order_by, refused), equal rows counted together.
 
-    Exact copies collapse on the map side first.  The first row of each id is another
-    partial aggregate, and only ids with more than one row meet it in a join whose row side
-    adaptive execution may split, so a hot id is neither a hot window nor a hot task.
+    The ids that repeat and their first rows are a partial aggregate over the id and the
+    order columns, stored; the raw rows then meet it in a join that drops all other ids and
+    whose row side adaptive execution can split where an id is hot.  Equal rows are counted
+    last, by one struct of all columns, so that the split rows need not lie together by id.
+    ``row`` is a text of the whole row to keep beside each.
     """
     keys = _scope_keys(scope)
-    rows = docs.where(F.col("doc_id").isNotNull()).groupBy(*keys, *order_by).agg(
-        F.count(F.lit(1)).alias("copies"))
     place = F.struct(*order_by)
-    repeated = rows.groupBy(*keys).agg(F.min(place).alias("first"), F.sum("copies").alias("n")) \
-        .where("n > 1").select(*[F.col(k).alias(f"_{k}") for k in keys], "first")
-    same_id = [F.col(k) == F.col(f"_{k}") for k in keys]
-    refused = F.col("copies") - F.when(place.eqNullSafe(F.col("first")), 1).otherwise(0)
-    return rows.join(repeated, same_id).select(*keys, *order_by, refused.alias("refused")) \
+    named = docs.where(F.col("doc_id").isNotNull())
+    repeated = stored(
+        named.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_first"))
+        .where("_n > 1").select(*[F.col(k).alias(f"_of_{k}") for k in keys], "_first"), "repeated")
+    found = named.join(repeated, [F.col(k) == F.col(f"_of_{k}") for k in keys]).select(
+        F.struct(*keys, *order_by).alias("_alike"), place.eqNullSafe(F.col("_first")).alias("_best"),
+        (F.lit(None).cast("string") if row is None else row).alias("row"))
+    counted = found.groupBy("_alike", "_best").agg(F.count(F.lit(1)).alias("_copies"), F.min("row").alias("row"))
+    refused = F.col("_copies") - F.col("_best").cast("int")
+    return counted.select("_alike.*", refused.alias("refused"), *(() if row is None else ("row",))) \
         .where("refused > 0")
 
 
@@ -130,10 +137,28 @@ def bulk_batches(placed: DataFrame, max_actions: int, max_bytes: int,
 
     A new batch starts when the action count or the byte count passes a multiple of its
     limit.  Ids are unique and segments are sized by plan, so each window is bounded.
+    Documents that ``colocate`` has put together (``slot``) are not moved again.
     """
-    window = Window.partitionBy("shard", "segment").orderBy("doc_id")
+    window = Window.partitionBy(*_together(placed)).orderBy("doc_id")
     size = F.octet_length(body).cast("bigint")
     before = F.sum(size).over(window.rowsBetween(Window.unboundedPreceding, 0)) - size
     by_count = F.floor((F.row_number().over(window) - 1) / max_actions)
     by_size = F.floor(before / max_bytes)
     return placed.withColumn("batch", (by_count + by_size).cast("bigint"))
+
+
+def _together(placed: DataFrame) -> list[str]:
+    return ["slot"] if "slot" in placed.columns else ["shard", "segment"]
+
+
+def bulk_bodies(placed: DataFrame, max_actions: int, max_bytes: int, line: str = "line") -> DataFrame:
+    """(shard, segment, batch, actions, body): the lines of each micro-batch as one request.
+
+    A body has at most ``max_actions`` lines and, but for its last line, at most
+    ``max_bytes`` bytes.
+    """
+    keys = list(dict.fromkeys([*_together(placed), "shard", "segment", "batch"]))
+    lines = F.array_sort(F.collect_list(F.struct("doc_id", F.col(line).alias("line"))))
+    found = bulk_batches(placed, max_actions, max_bytes, line).groupBy(*keys).agg(lines.alias("lines"))
+    body = F.concat(F.array_join(F.col("lines.line"), "\n"), F.lit("\n"))
+    return found.select("shard", "segment", "batch", F.size("lines").cast("bigint").alias("actions"), body.alias("body"))

@@ -1,4 +1,4 @@
 from shardloom.plans.build import BuildResult, build_index
-from shardloom.plans.cutover import CutoverResult, cut_over
+from shardloom.plans.cutover import CutoverResult, cut_over, publish
 
-__all__ = ["BuildResult", "CutoverResult", "build_index", "cut_over"]
+__all__ = ["BuildResult", "CutoverResult", "build_index", "cut_over", "publish"]

@@ -3,16 +3,18 @@
 Layout below ``<work_dir>/<index_name>``::
 
     fields/generation=<g>/        discovered field facts
+    indexed/generation=<g>/       names of the indexed fields
     mapping/generation=<g>/       mapping JSON
     docs/generation=<g>/shard=/segment=/    documents
     postings/generation=<g>/      exact-term posting blocks
-    rejects/generation=<g>/       refused rows
+    rejects/generation=<g>/       refused rows, with their values
+    bulk/generation=<g>/          bulk request bodies, if asked for
     manifest/                     segment lists; written last, makes a generation visible
 """
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -21,17 +23,18 @@ from shardloom.operators.documents import (
     cast_failures, generated_ids, render_documents, source_columns, with_doc_id,
 )
 from shardloom.operators.mapping import (
-    explicit_fields, indexed_field_names, infer_mapping, mapping_json,
+    explicit_fields, indexed_fields, infer_mapping, mapping_json,
 )
 from shardloom.operators.postings import postings
 from shardloom.operators.segments import segment_manifest
 from shardloom.operators.sharding import (
-    colocate, dedupe_first, dedupe_rejects, with_segment, with_shard,
+    bulk_bodies, colocate, dedupe_first, dedupe_rejects, with_segment, with_shard,
 )
 from shardloom.session import prepare
 from shardloom.sinks.files import (
-    MANIFEST_SCHEMA, append_state, commit_manifest, delete_path, next_generation, write_mapping, write_sharded,
+    MANIFEST_SCHEMA, append_state, bulk_lines, commit_manifest, delete_path, next_generation, write_mapping, write_sharded,
 )
+from shardloom.sources.columns import column_named, column_of, field_of, row_json, sheltered
 from shardloom.sources.side_tables import deny_list, load_rules, type_overrides
 from shardloom.sources.tables import json_fields, scan
 from shardloom.spec import BuildSpec, Rules
@@ -46,24 +49,32 @@ class BuildResult:
     mapping_path: str
     manifest_path: str
     segments: tuple[int, ...]
+    bulk_path: str | None = None
 
 
-# names that placement puts beside the source columns; Spark does not tell cases apart
-PLACEMENT = frozenset({"doc_id", "shard", "segment", "slot", "_dynamic", "_rank", "_bad"})
+MALFORMED = "_malformed"
 
 
 def source_rows(spark: SparkSession, spec: BuildSpec) -> DataFrame:
-    df = scan(spark, spec.table, spec.where, spec.input_columns)
-    return json_fields(df, spec.json_source) if spec.json_source else df
+    """The selected rows under column names that clash with nothing; with a JSON source also
+    ``_malformed``, its text where that is no JSON object."""
+    df = sheltered(scan(spark, spec.table, spec.where, spec.input_columns))
+    if not spec.json_source:
+        return df
+    return json_fields(df, column_named(df.schema, spec.json_source), malformed=MALFORMED)
 
 
 def build_rules(spec: BuildSpec, fields: DataFrame, deny: DataFrame | None = None,
                 overrides: DataFrame | None = None) -> Rules:
     base = Rules(id_field=spec.id_field, arrays=spec.arrays, on_error=spec.on_error)
     dt = spec.snapshot_date
-    return load_rules(
+    rules = load_rules(
         base, None if deny is None else deny_list(deny, spec.theme, dt),
-        None if overrides is None else type_overrides(overrides, dt), fields, spec.max_fields)
+        None if overrides is None else type_overrides(overrides, dt), fields)
+    # at most a row per plain column
+    both = fields.where("is_plain").select("field").join(
+        fields.where("not is_plain").select("field"), "field", "left_semi")
+    return replace(rules, collisions=frozenset(r["field"] for r in both.collect()))
 
 
 @dataclass(frozen=True)
@@ -104,7 +115,7 @@ def placed_rows(rows: DataFrame, spec: BuildSpec, counts: Sequence[int]) -> Data
     """Rows with an id, first of each id, together per segment."""
     placed = with_segment(_sharded(rows.where(F.col("doc_id").isNotNull()), spec), counts)
     if spec.dedupe and spec.id_field:
-        placed = dedupe_first(placed, spec.order_by, spec.dedupe)
+        placed = dedupe_first(placed, (*spec.order_by, "_tie"), spec.dedupe).drop("_tie")
     return colocate(placed, counts, spec.num_shards)
 
 
@@ -124,38 +135,48 @@ def build_index(spark: SparkSession, spec: BuildSpec, deny: DataFrame | None = N
         delete_path(spark, root)
     state("deleted")  # whatever an earlier build of this index recorded no longer counts
     source = source_rows(spark, spec)
-    if taken := sorted(c for c in source.columns if c.lower() in PLACEMENT):
-        raise ValueError(f"the source has columns with names that placement needs: {taken}; rename them")
+    spec = replace(spec, order_by=tuple(column_named(source.schema, c) for c in spec.order_by),
+                   routing=spec.routing and column_named(source.schema, spec.routing))
     # one discovery pass over the map columns; everything after it reads this small table
     manifest_path = f"{root}/manifest"
     generation = next_generation(spark, manifest_path)
     fields_path = f"{root}/fields/generation={generation}"
-    discover_fields(source).write.mode("overwrite").parquet(fields_path)
+    discover_fields(source.drop(MALFORMED)).write.mode("overwrite").parquet(fields_path)
     fields = spark.read.parquet(fields_path)
     rules = build_rules(spec, fields, deny, overrides)
     mapping = infer_mapping(
         fields, None if overrides is None else type_overrides(overrides, spec.snapshot_date),
         explicit_fields(spark, spec.mapping) if spec.mapping else None,
-        spec.index_fields, spec.index_source_columns)
+        spec.index_fields, spec.index_source_columns, spec.compat)
     mapping_path = f"{root}/mapping/generation={generation}"
-    write_mapping(mapping_json(mapping, max_fields=spec.max_fields), mapping_path)
+    write_mapping(mapping_json(mapping), mapping_path)
     state("started")
 
     extra = [c for c in (*spec.order_by, spec.routing or "") if c]
-    source = source.select(*source_columns(source.schema, rules, extra))
-    schema: T.StructType = source.schema
-    rows = with_doc_id(source, rules)
+    wanted = source.select(*source_columns(source.drop(MALFORMED).schema, rules, extra),
+                           *[c for c in source.columns if c == MALFORMED])
+    schema: T.StructType = wanted.drop(MALFORMED).schema
+    rows = with_doc_id(wanted, rules)
     rejected = []
+    if MALFORMED in wanted.columns:
+        parsed = [column_of(f).alias(field_of(f)) for f in schema.fields if field_of(f) != spec.json_source]
+        rejected.append(rows.where(F.col(MALFORMED).isNotNull()).select(
+            "doc_id", F.lit("malformed json").alias("reason"), F.array(F.lit(spec.json_source)).alias("fields"),
+            F.lit(1).cast("bigint").alias("refused"),
+            F.to_json(F.struct(*parsed, F.col(MALFORMED).alias(spec.json_source))).alias("row")))
+        rows = rows.where(F.col(MALFORMED).isNull()).drop(MALFORMED)
     if spec.on_error == "reject" and rules.overrides:
-        rows = rows.withColumn("_bad", cast_failures(source, rules))
+        rows = rows.withColumn("_bad", cast_failures(wanted.select(*schema.names), rules))
         rejected.append(rows.where("size(_bad) > 0").select(
             "doc_id", F.lit("cast").alias("reason"), F.col("_bad").alias("fields"),
-            F.lit(1).cast("bigint").alias("refused")))
+            F.lit(1).cast("bigint").alias("refused"), row_json(schema).alias("row")))
         rows = rows.where("size(_bad) = 0").drop("_bad")
     sizes = shard_sizes(_sharded(rows, spec).select("shard", "doc_id"), spec)
 
     docs_path = f"{root}/docs/generation={generation}"
-    placed = placed_rows(rows, spec, sizes.segments)
+    # rows that tie in ``order_by`` are told apart by all their values, so a retry keeps the same
+    tied = rows.withColumn("_tie", F.xxhash64(row_json(schema)))
+    placed = placed_rows(tied, spec, sizes.segments)
     if sizes.nameless:
         docs = _with_generated(rows, placed, schema, rules, spec, sizes.segments)
     else:
@@ -170,10 +191,10 @@ def build_index(spark: SparkSession, spec: BuildSpec, deny: DataFrame | None = N
     stored = bundles.agg(F.sum("docs").alias("n")).first()["n"] or 0
     refused = sizes.named + sizes.nameless - stored
     if spec.dedupe and spec.keep_rejects and refused:
-        sharded = with_segment(_sharded(rows.where(F.col("doc_id").isNotNull()), spec), sizes.segments)
-        rejected.append(dedupe_rejects(sharded, spec.order_by, spec.dedupe).select(
-            "doc_id", F.lit("repeated id").alias("reason"),
-            F.lit(None).cast("array<string>").alias("fields"), "refused"))
+        sharded = with_segment(_sharded(tied.where(F.col("doc_id").isNotNull()), spec), sizes.segments)
+        repeated = dedupe_rejects(sharded, (*spec.order_by, "_tie"), spec.dedupe, row_json(schema))
+        rejected.append(repeated.select("doc_id", F.lit("repeated id").alias("reason"),
+                                        F.lit(None).cast("array<string>").alias("fields"), "refused", "row"))
     rejects_path = None
     if rejected:
         rejects_path = f"{root}/rejects/generation={generation}"
@@ -185,13 +206,22 @@ def build_index(spark: SparkSession, spec: BuildSpec, deny: DataFrame | None = N
     postings_path = None
     if with_postings:
         postings_path = f"{root}/postings/generation={generation}"
-        indexed = indexed_field_names(mapping, spec.max_fields)
-        terms = stored_terms(spark, docs_path, indexed)
+        indexed_path = f"{root}/indexed/generation={generation}"
+        indexed_fields(mapping).write.mode("overwrite").parquet(indexed_path)
+        terms = stored_terms(spark, docs_path, spark.read.parquet(indexed_path))
         blocks = postings(terms, spec.postings_block)
         colocate(blocks, sizes.segments, spec.num_shards) \
             .sortWithinPartitions("shard", "segment", "field", "term", "block") \
             .drop("slot").write.mode("overwrite").partitionBy("shard", "segment").parquet(postings_path)
 
+    bulk_path = None
+    if spec.bulk:
+        bulk_path = f"{root}/bulk/generation={generation}"
+        lines = spark.read.parquet(docs_path).select(
+            "doc_id", "shard", "segment", bulk_lines(F.col("doc_id"), F.col("doc_json")).alias("line"))
+        bulk_bodies(colocate(lines, sizes.segments, spec.num_shards), spec.bulk_actions, spec.bulk_bytes) \
+            .write.mode("overwrite").parquet(bulk_path)
+
     if empty:
         segments = spark.createDataFrame(
             [(0, 0, "", 0, 0, 0, 0, 0, generation, docs_path)], MANIFEST_SCHEMA)
@@ -200,7 +230,7 @@ def build_index(spark: SparkSession, spec: BuildSpec, deny: DataFrame | None = N
     commit_manifest(segments, manifest_path)
     state("completed")
     return BuildResult(spec.index_name, generation, docs_path, postings_path, rejects_path,
-                       mapping_path, manifest_path, sizes.segments)
+                       mapping_path, manifest_path, sizes.segments, bulk_path)
 
 
 def _with_generated(rows: DataFrame, placed: DataFrame, schema: T.StructType, rules: Rules,
@@ -234,18 +264,19 @@ def stored_bundles(spark: SparkSession, docs_path: str) -> DataFrame:
                         F.lit(0).cast("bigint").alias("deleted"))
 
 
-def stored_terms(spark: SparkSession, docs_path: str, indexed: Collection[str]) -> DataFrame:
-    """(shard, segment, ord, field, term) of stored documents.
+def stored_terms(spark: SparkSession, docs_path: str, indexed: DataFrame) -> DataFrame:
+    """(shard, segment, ord, field, term) of stored documents, of the fields in ``indexed``.
 
     A segment is one file in id order, so a document's ordinal is its row number in the
     file: no window, no shuffle.  In the stored JSON a value in brackets is an array; any
     such text was turned into one when the document was built.
     """
+    shape = "map<string,string>"
+    whole = F.coalesce(F.from_json("doc_json", shape), F.raise_error(
+        F.concat(F.lit("stored document is no JSON object: "), F.col("doc_id"))).cast(shape))
     stored = spark.read.parquet(docs_path).select(
-        "shard", "segment", F.col("_metadata.row_index").alias("ord"),
-        F.explode(F.from_json("doc_json", "map<string,string>")).alias("field", "text"))
-    wanted = stored.where(F.col("field").isin(*sorted(indexed))) if indexed \
-        else stored.where(F.lit(False))
+        "shard", "segment", F.col("_metadata.row_index").alias("ord"), F.explode(whole).alias("field", "text"))
+    wanted = stored.join(indexed, "field", "left_semi")
     is_array = F.startswith("text", F.lit("[")) & F.endswith("text", F.lit("]"))
     terms = F.when(is_array, F.from_json("text", "array<string>")).otherwise(F.array("text"))
     return wanted.select("shard", "segment", "ord", "field", F.explode(terms).alias("term"))

@@ -1,7 +1,8 @@
 """Publishing a finished version: gate, alias, close, expire.
 
-Version and alias tables are rewritten as new Parquet generations; the alias itself is a
-SQL view over the published documents.  If the gate is shut, nothing changes.
+Version and alias tables are stored as a new Parquet generation before the view moves, and
+the expired folder is deleted last.  The alias itself is a SQL view over the published
+documents.  If the gate is shut, nothing changes.
 """
 from __future__ import annotations
 
@@ -12,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shardloom.operators import lifecycle
 from shardloom.operators.segments import latest_generation
-from shardloom.sinks.files import delete_path, read_manifest
+from shardloom.plans.build import BuildResult
+from shardloom.sinks.files import delete_path, read_manifest, read_versions, write_versions
+from shardloom.spec import BuildSpec
 
 
 @dataclass(frozen=True)
@@ -49,7 +52,8 @@ def cut_over(spark: SparkSession, idx: str, alias: str, manifest_path: str,
              work_dir: str | None = None) -> CutoverResult:
     """Move ``alias`` to version ``idx`` if it is healthy; close and expire older versions.
 
-    With ``work_dir`` the folder of the expired version is removed as well.
+    With ``work_dir`` the new tables are stored in its ``_versions`` folder, and the folder
+    of the expired version is removed.
     """
     one = spark.range(1).select(F.lit(idx).alias("idx"), F.lit(alias).alias("alias"))
     gate = lifecycle.health_gate(one.select("idx"), shard_reports(spark, idx, manifest_path))
@@ -64,17 +68,39 @@ def cut_over(spark: SparkSession, idx: str, alias: str, manifest_path: str,
     losers = lifecycle.alias_losers(aliases, one)
     moved = lifecycle.alias_swap(aliases, one)
     closed = lifecycle.version_close(versions, losers)
-    expired = versions.join(lifecycle.expired_names(one, retention_days), "idx", "left_semi") \
-        .select("idx")
+    gone = versions.join(lifecycle.expired_names(one, retention_days), "idx", "left_semi") \
+        .select("idx").collect()  # one version at most: the name is made from ``idx``
+    expired = spark.createDataFrame(gone, "idx string")
     left = lifecycle.version_expire(closed, one, retention_days)
+    if work_dir:
+        state = versions_path(work_dir)
+        write_versions(moved, left, state)
+        moved, left = read_versions(spark, state)
     if view:
         publish_view(spark, alias, newest.select("path").first()["path"], settings)
     if work_dir:
-        for row in expired.collect():  # one version at most: the name is made from ``idx``
+        for row in gone:
             delete_path(spark, f"{work_dir.rstrip('/')}/{row['idx']}")
     return CutoverResult(True, moved, left, losers, expired)
 
 
+def versions_path(work_dir: str) -> str:
+    return f"{work_dir.rstrip('/')}/_versions"
+
+
+def publish(spark: SparkSession, spec: BuildSpec, result: BuildResult, retention_days: int = -2,
+            view: bool = True) -> CutoverResult:
+    """Cut over to a build, with the alias and final settings its spec names and the alias
+    and version tables stored in its work folder."""
+    if not spec.alias:
+        raise ValueError("the spec names no alias")
+    aliases, versions = read_versions(spark, versions_path(spec.work_dir))
+    new = spark.range(1).select(F.lit(spec.index_name).alias("idx"), F.lit("open").alias("status"))
+    versions = versions.join(new.select("idx"), "idx", "left_anti").select("idx", "status").unionByName(new)
+    return cut_over(spark, spec.index_name, spec.alias, result.manifest_path, aliases, versions,
+                    retention_days, settings=spec.final_settings, view=view, work_dir=spec.work_dir)
+
+
 def publish_view(spark: SparkSession, alias: str, docs_path: str,
                  settings: Mapping[str, str] | None = None) -> None:
     """The alias as a catalog view, with the final settings as its properties."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators rely on.  LAST_WIN gives "a later field replaces an
 # earlier one"; it is read when a plan runs, so it stays set on the session.
@@ -40,3 +40,11 @@ def _shared_root(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder path for ``purpose`` below the cluster's shared checkpoint folder."""
     return f"{_shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: joins then see a plain scan, whose
+    size is known and whose exchange adaptive execution can split when a key is hot."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,10 +1,11 @@
 from shardloom.sinks.files import (
     append_state, append_states, bulk_lines, commit_manifest, delete_path,
     next_generation, read_ledger, read_manifest,
-    read_published, write_bulk, write_mapping, write_sharded,
+    read_published, read_versions, write_bulk, write_mapping, write_sharded, write_versions,
 )
 
 __all__ = [
     "append_state", "append_states", "bulk_lines", "commit_manifest", "delete_path", "next_generation", "read_ledger",
-    "read_manifest", "read_published", "write_bulk", "write_mapping", "write_sharded",
+    "read_manifest", "read_published", "read_versions", "write_bulk", "write_mapping", "write_sharded",
+    "write_versions",
 ]

@@ -102,3 +102,26 @@ def append_state(spark: SparkSession, path: str, idx: str, state: str, num_shard
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return _read_or_empty(spark, path, LEDGER_SCHEMA)
+
+
+def write_versions(aliases: DataFrame, versions: DataFrame, path: str) -> int:
+    """Alias and version tables as a new generation below ``path``; the row in ``commits``,
+    written last, makes both visible at once."""
+    spark = aliases.sparkSession
+    newest = _read_or_empty(spark, f"{path}/commits", "generation bigint").agg(F.max("generation")).first()[0]
+    generation = (newest or 0) + 1
+    aliases.write.mode("overwrite").parquet(f"{path}/generation={generation}/aliases")
+    versions.write.mode("overwrite").parquet(f"{path}/generation={generation}/versions")
+    spark.range(1).select(F.lit(generation).cast("bigint").alias("generation")).coalesce(1) \
+        .write.mode("append").parquet(f"{path}/commits")
+    return generation
+
+
+def read_versions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Alias rows (idx, alias) and version rows (idx, status) as last stored."""
+    newest = _read_or_empty(spark, f"{path}/commits", "generation bigint").agg(F.max("generation")).first()[0]
+    if newest is None:
+        return (spark.createDataFrame([], "idx string, alias string"),
+                spark.createDataFrame([], "idx string, status string"))
+    root = f"{path}/generation={newest}"
+    return spark.read.parquet(f"{root}/aliases"), spark.read.parquet(f"{root}/versions")

@@ -31,29 +31,21 @@ def type_overrides(df: DataFrame, dt: str, order_by: Column | None = None) -> Da
                        .otherwise(F.raise_error(message).cast("string")).alias("type"))
 
 
-def guarded_rows(df: DataFrame, bound: int, what: str) -> list:
-    """Rows of a metadata-sized frame; more than ``bound`` of them is an error, never a cut."""
-    rows = df.limit(bound + 1).collect()
-    if len(rows) > bound:
-        raise ValueError(f"more than {bound} {what}; raise max_fields if that is meant")
-    return rows
-
-
 def load_rules(base: Rules, deny: DataFrame | None = None, overrides: DataFrame | None = None,
-               fields: DataFrame | None = None, max_fields: int = 10_000) -> Rules:
+               fields: DataFrame | None = None) -> Rules:
     """Rules with the given denylist and overrides.
 
     Only names that are fields of this index matter.  With ``fields`` the side tables are
-    cut to those by a semi join, so their own size does not count.
+    cut to those by a semi join, so their own size does not count: what comes back is at
+    most a row per field of the index that is denied or overridden.
     """
     names, types = base.deny, dict(base.overrides)
     if deny is not None:
         wanted = deny if fields is None else deny.join(
             fields.select(F.col("field").alias("name")), "name", "left_semi")
-        names = names | {r["name"] for r in guarded_rows(wanted, max_fields, "denied fields")}
+        names = names | {r["name"] for r in wanted.collect()}
     if overrides is not None:
         wanted = overrides if fields is None else overrides.join(
             fields.select("field"), "field", "left_semi")
-        types.update({r["field"]: r["type"]
-                      for r in guarded_rows(wanted, max_fields, "type overrides")})
+        types.update({r["field"]: r["type"] for r in wanted.collect()})
     return replace(base, deny=frozenset(names), overrides=types)

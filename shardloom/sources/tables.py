@@ -4,7 +4,9 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+from shardloom.functions.names import quoted
 
 
 def scan(spark: SparkSession, table: str, where: str | None = None,
@@ -13,7 +15,7 @@ def scan(spark: SparkSession, table: str, where: str | None = None,
     df = spark.read.parquet(table) if "/" in table else spark.read.table(table)
     if where and where.strip():
         df = df.where(where)
-    return df.select(*columns) if columns else df
+    return df.select(*[quoted(c) if c in df.columns else c for c in columns]) if columns else df
 
 
 def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = "\t",
@@ -32,9 +34,22 @@ def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = "\t",
     return lines.select(*columns, *[f.name for f in folders])
 
 
-def json_fields(df: DataFrame, column: str, into: str | None = None) -> DataFrame:
-    """Replace a string column of JSON objects by a map column of its fields."""
+def json_fields(df: DataFrame, column: str, into: str | None = None,
+                malformed: str | None = None) -> DataFrame:
+    """Replace a string column of JSON objects by a map column of its fields.
+
+    A text that is no JSON object has no fields.  ``malformed`` names a column that then
+    holds the text, so that the row can be refused; null, empty and ``null`` texts are no
+    error.
+    """
     target = into or column
-    parsed = F.from_json(F.col(column), "map<string,string>")
-    kept = [c for c in df.columns if c not in (column, target)]
-    return df.select(*kept, parsed.alias(target))
+    text = F.col(quoted(column))
+    parsed = F.from_json(text, "map<string,string>")
+    kept = [quoted(c) for c in df.columns if c not in (column, target)]
+    about = df.schema[column].metadata if target == column else {}
+    refused = [] if malformed is None else [_unparsed(text, parsed).alias(malformed)]
+    return df.select(*kept, parsed.alias(target, metadata=about), *refused)
+
+
+def _unparsed(text: Column, parsed: Column) -> Column:
+    return F.when(parsed.isNull() & ~F.trim(text).isin("", "null"), text)

@@ -23,6 +23,9 @@ class Rules:
     # reports it through ``cast_failures``
     on_error: str = "fail"
 
+    # plain fields that a map entry is known to share its name with; None: not known
+    collisions: frozenset[str] | None = None
+
     def __post_init__(self):
         if self.arrays not in ("compat", "typed"):
             raise ValueError(f"arrays must be 'compat' or 'typed', not {self.arrays!r}")
@@ -55,10 +58,11 @@ class BuildSpec:
     segment_docs: int = 1_000_000   # segments per shard follow from this target
     partition_multiples: int | None = None  # fixed segments per shard instead
     postings_block: int = 65_536
-    max_fields: int = 10_000
+    bulk: bool = False              # also store bulk request bodies of the documents
     bulk_actions: int = 100
     bulk_bytes: int = 5 * 1024 * 1024
     arrays: str = "compat"
+    compat: bool = True             # False: all source types get index types
     on_error: str = "fail"
     keep_rejects: bool = True
     clean_first: bool = False       # drop the index folder, older generations too, before the build

@@ -3,7 +3,8 @@ import importlib
 
 from shardloom.suite.registry import ORACLE, QUERIES
 
-for _part in ("scans", "mappings", "docs", "placement", "indexing", "written", "lifecycles", "streams"):
+for _part in ("scans", "mappings", "docs", "placement", "indexing", "written", "lifecycles", "streams",
+              "builds"):
     importlib.import_module(f"shardloom.suite.{_part}")
 
 __all__ = ["ORACLE", "QUERIES"]

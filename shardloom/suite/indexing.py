@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shardloom.operators.discovery import discover_fields
 from shardloom.operators.documents import (
-    build_documents, document_terms, render_terms, with_doc_id,
+    build_documents, document_term_sets, document_terms, render_terms, with_doc_id,
 )
 from shardloom.operators.mapping import indexed_field_names, infer_mapping
 from shardloom.operators.postings import (
@@ -90,7 +90,7 @@ def stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("term_stats", f"""WITH {fx.ORDERS_LONG_SQL}
     SELECT field, term, count(*) AS df FROM long WHERE field IN ('prio', 'odate', 'flag') GROUP BY ALL""")
 def terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return term_stats(document_terms(fx.src_orders(spark, sf_dir), _RULES, only={"prio", "odate", "flag"}))
+    return term_stats(document_term_sets(fx.src_orders(spark, sf_dir), _RULES, only={"prio", "odate", "flag"}))
 
 
 @query("field_docs", f"""WITH {fx.ORDERS_LONG_SQL}

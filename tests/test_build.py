@@ -6,10 +6,10 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from shardloom import BuildSpec, shared_dir
-from shardloom.plans import build_index, cut_over
+from shardloom.plans import build_index, cut_over, publish
 from shardloom.plans.cutover import shard_reports
 from shardloom.operators.lifecycle import latest_state
-from shardloom.sinks import read_ledger, read_manifest, read_published
+from shardloom.sinks import read_ledger, read_manifest, read_published, read_versions
 from shardloom.sources import read_delimited, read_mapping
 from shardloom.suite import fixtures as fx
 
@@ -241,12 +241,81 @@ def test_failed_build_keeps_the_mapping(spark, small):
     assert {r["generation"] for r in read_manifest(spark, first.manifest_path).collect()} == {1}
 
 
-@pytest.mark.parametrize("name", ["shard", "Segment", "slot", "doc_id"])
-def test_names_of_placement_are_refused(spark, small, name):
-    spark.read.parquet(f"{small}/lineitem.parquet").withColumn(name, F.lit(7)) \
+@pytest.mark.parametrize("name", ["shard", "Segment", "slot", "doc_id", "_rank", "a.b", "_malformed"])
+def test_any_column_name(spark, small, name):
+    """A column called like one of placement's own, or with a dot, is a field like others."""
+    spark.read.parquet(f"{small}/lineitem.parquet").withColumn(name, F.col("l_linenumber") * 100) \
         .createOrReplaceTempView("clash")
-    with pytest.raises(ValueError, match="placement"):
-        build_index(spark, lines_spec(spark, small, table="clash"))
+    result = build_index(spark, lines_spec(spark, small, table="clash", order_by=(name, *ORDER)))
+    docs = [json.loads(r["doc_json"]) for r in read_published(spark, result.manifest_path).collect()]
+    assert docs and all(d[name] == 100 * d["l_linenumber"] for d in docs)
+    postings = spark.read.parquet(result.postings_path).where(F.col("field") == name)
+    assert postings.agg(F.sum("df")).first()[0] == len(docs)
+    assert name in json.loads(read_mapping(spark, result.mapping_path).first()["json"])
+
+
+def test_malformed_json_is_refused_with_its_text(spark, small):
+    rows = spark.read.parquet(f"{small}/events.parquet").selectExpr(
+        "event_id", "case event_id % 5 when 0 then substr(props, 1, length(props) - 1) when 1 then '' "
+                    "when 2 then '[1, 2]' else props end as `pro.ps`")
+    rows.createOrReplaceTempView("broken_json")
+    spec = BuildSpec(table="broken_json", index_name="broken_20240116", id_field="event_id", json_source="pro.ps",
+                     order_by=("event_id",), work_dir=shared_dir(spark, "work"))
+    result = build_index(spark, spec)
+    refused = spark.read.parquet(result.rejects_path).collect()
+    bad = {str(r["event_id"]): r["pro.ps"] for r in rows.where("event_id % 5 in (0, 2)").collect()}
+    assert {r["doc_id"]: json.loads(r["row"])["pro.ps"] for r in refused} == bad
+    assert {r["reason"] for r in refused} == {"malformed json"}
+    docs = read_published(spark, result.manifest_path)
+    assert docs.count() + len(refused) == rows.count()
+    assert docs.where("doc_json like '%\"k\"%'").count() == rows.where("event_id % 5 in (3, 4)").count()
+
+
+def test_rejects_keep_the_row_and_ties_are_settled(spark, small):
+    spec = lines_spec(spark, small, order_by=("l_returnflag",))
+    results = [build_index(spark, spec, with_postings=False) for _ in range(2)]
+    a, b = (read_published(spark, r.manifest_path) for r in results)
+    assert a.exceptAll(b).isEmpty()
+    stored = {r["doc_json"] for r in a.collect()}
+    rows = [json.loads(r["row"]) for r in spark.read.parquet(results[0].rejects_path).collect()]
+    assert rows and all(set(r) >= {"l_orderkey", "l_partkey", "l_quantity"} for r in rows)
+    source = spark.read.parquet(spec.table).count()
+    assert len(stored) + spark.read.parquet(results[0].rejects_path).agg(F.sum("refused")).first()[0] == source
+
+
+def test_more_fields_than_ten_thousand(spark):
+    spark.range(10_500).selectExpr("cast(id as string) id", "map(concat('k', id), 'v') as many") \
+        .createOrReplaceTempView("many_fields")
+    spec = BuildSpec(table="many_fields", index_name="many_20240116", id_field="id", order_by=("id",),
+                     work_dir=shared_dir(spark, "work"))
+    result = build_index(spark, spec)
+    assert len(json.loads(read_mapping(spark, result.mapping_path).first()["json"])) == 10_501
+    assert spark.read.parquet(result.postings_path).select("field").distinct().count() == 10_501
+
+
+def test_bulk_bodies_of_a_build(spark, small):
+    result = build_index(spark, lines_spec(spark, small, bulk=True, bulk_actions=7, bulk_bytes=900), with_postings=False)
+    bodies = spark.read.parquet(result.bulk_path).collect()
+    assert all(r["actions"] <= 7 for r in bodies)
+    lines = [line for r in bodies for line in r["body"].splitlines()]
+    ids = [json.loads(line)["create"]["_id"] for line in lines[::2]]
+    docs = {r["doc_id"]: r["doc_json"] for r in read_published(spark, result.manifest_path).collect()}
+    assert dict(zip(ids, lines[1::2])) == docs and len(ids) == len(docs)
+    assert all(len(r["body"]) - len(r["body"].splitlines()[-1]) - len(r["body"].splitlines()[-2]) - 3 <= 900 for r in bodies)
+
+
+def test_publish_stores_aliases_and_versions(spark, small):
+    work = shared_dir(spark, "work")
+    for day in ("20240114", "20240115", "20240116"):
+        spec = lines_spec(spark, small, index_name=f"lines_{day}", work_dir=work, alias="lines_now",
+                          final_settings={"refresh": "1s"})
+        result = build_index(spark, spec, with_postings=False)
+        assert publish(spark, spec, result).published
+    aliases, versions = read_versions(spark, f"{work}/_versions")
+    assert [tuple(r) for r in aliases.collect()] == [("lines_20240116", "lines_now")]
+    assert {tuple(r) for r in versions.collect()} == {("lines_20240115", "closed"), ("lines_20240116", "open")}
+    assert spark.table("lines_now").count() == read_published(spark, result.manifest_path).count()
+    assert read_manifest(spark, f"{work}/lines_20240114/manifest").count() == 0
 
 
 def test_manifest_is_one_file(spark, small):

@@ -2,15 +2,16 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
-from shardloom.operators.documents import render_documents, with_doc_id
-from shardloom.operators.postings import doc_ordinals
-from shardloom.operators.sharding import colocate, dedupe_first, with_segment, with_shard
+from shardloom.operators.documents import document_term_sets, render_documents, with_doc_id
+from shardloom.operators.postings import doc_ordinals, term_stats
+from shardloom.operators.sharding import (
+    bulk_batches, colocate, dedupe_first, dedupe_rejects, with_segment, with_shard,
+)
 from shardloom.sinks import write_sharded
 from shardloom.session import shared_dir
 from shardloom.sources import scan
 from shardloom.spec import Rules
-from shardloom.suite import fixtures as fx
+from shardloom.suite import QUERIES, fixtures as fx
 
 
 def plan(df) -> str:
@@ -47,20 +48,55 @@ def test_shard_is_pruned_on_read(spark, small):
     assert "PartitionFilters: [isnotnull(shard" in text
 
 
-# streams and sinks run while the query is made; their plans are of the read-back
-@pytest.mark.parametrize("name", sorted(n for n in entry.queries()
-                                        if not n.startswith(("stream", "sink", "bundle_l", "scan_tsv"))))
+WRITING = ("stream", "sink", "bundle_l", "scan_tsv", "index_")
+
+
+# streams, sinks and builds run while the query is made; their plans are of the read-back
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES
+                                        if not n.startswith(WRITING)))
 def test_no_query_leaves_the_jvm_or_joins_without_a_key(spark, small, name):
-    text = plan(entry.queries()[name](spark, small))
+    text = plan(QUERIES[name](spark, small))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
                  "MapInPandas", "FlatMapGroups", "Exchange SinglePartition, REPARTITION"):
         assert word not in text
 
 
 def test_windows_are_partitioned(spark, small):
-    for name, run in entry.queries().items():
-        if name.startswith(("stream", "sink", "bundle_l", "scan_tsv")):
+    for name, run in QUERIES.items():
+        if name.startswith(WRITING):
             continue
         for part in plan(run(spark, small)).split("windowspecdefinition(")[1:]:
             assert "specifiedwindowframe" in part.split("ASC")[0] or "ASC" in part
             assert not part.startswith("specifiedwindowframe"), name
+
+
+def test_a_hot_id_is_split_where_rejects_are_found(spark):
+    rows = spark.range(200_000).selectExpr(
+        "case when id % 2 = 0 then 'hot' else cast(id % 40000 as string) end doc_id", "id a", "repeat('x', 40) b")
+    path = shared_dir(spark, "hot")
+    rows.repartition(16).write.parquet(path)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        found = dedupe_rejects(spark.read.parquet(path), ["a"])
+        assert found.count() == 200_000 - 1 - spark.read.parquet(path).where("doc_id <> 'hot'").select("doc_id").distinct().count()
+        rows = found.collect()
+        text = plan(found)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert rows and "skew=true" in text
+
+
+def test_bulk_batches_and_term_counts_move_documents_once(spark, small):
+    rows = fx.src_orders(spark, small)
+    rules = Rules(id_field="pri_key")
+    placed = colocate(with_segment(with_shard(with_doc_id(rows, rules), 3), 4), 4, 3)
+    docs = render_documents(placed, rows.schema, rules, ["shard", "segment", "slot"])
+    assert plan(bulk_batches(docs, 10, 1000)).count("Exchange") == 1
+    assert plan(term_stats(document_term_sets(rows, rules))).count("Exchange") == 1
