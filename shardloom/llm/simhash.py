@@ -52,13 +52,14 @@ def fingerprint(text: str, words: int = WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """``doc_id, print``: the fingerprint as a signed long."""
+    """``doc_id, print``: the fingerprint as a signed long; a column ``digest`` is kept."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         forget()
         for batch in batches:
             prints = np.array([fingerprint(t, words) for t in batch["text"]], np.uint64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "print": prints.view(np.int64)})
-    return texts(docs).mapInPandas(run, "doc_id long, print long")
+            yield batch.drop(columns="text").assign(print=prints.view(np.int64))
+    kept = [f"{name} {kind}" for name, kind in docs.dtypes if name != "text"]
+    return docs.mapInPandas(run, ", ".join([*kept, "print long"]))
 
 
 def near(prints: np.ndarray, radius: int = RADIUS) -> np.ndarray:
@@ -177,14 +178,19 @@ def links(prints: DataFrame, block: int = BLOCK) -> DataFrame:
     return met.repartition(tasks, *by).sortWithinPartitions(*by).mapInPandas(run, "a long, b long")
 
 
-def near_groups(docs: DataFrame, words: int = WORDS, block: int = BLOCK) -> DataFrame:
-    """One row per document: its fingerprint and the smallest id that links reach."""
-    prints = stored(fingerprints(docs, words), "prints")
+def _roots(prints: DataFrame, block: int) -> DataFrame:
+    """``print, first, root``: each fingerprint, its smallest id and one that names its component."""
     nodes = stored(prints.groupBy("print").agg(F.min("doc_id").alias("first")), "nodes")
     roots = components(links(nodes.select("print"), block))
     placed = nodes.join(roots.withColumnRenamed("node", "print"), "print", "left").select(
         "print", "first", F.coalesce("root", "print").alias("root"))
-    placed = stored(placed, "placed")
+    return stored(placed, "placed")
+
+
+def near_groups(docs: DataFrame, words: int = WORDS, block: int = BLOCK) -> DataFrame:
+    """One row per document: its fingerprint and the smallest id that links reach."""
+    prints = stored(fingerprints(texts(docs), words), "prints")
+    placed = _roots(prints, block)
     least = stored(placed.groupBy("root").agg(F.min("first").alias("component_id")), "least")
     named = stored(placed.join(least, "root").select("print", "component_id"), "named")
     return prints.join(named, "print").select("doc_id", "print", "component_id")
@@ -193,15 +199,23 @@ def near_groups(docs: DataFrame, words: int = WORDS, block: int = BLOCK) -> Data
 def drop_near_copies(docs: DataFrame, words: int = WORDS, block: int = BLOCK) -> DataFrame:
     """``docs`` with one row of each component, the one with the smallest ``doc_id``.
 
-    Of rows that share this id one stays; rows without ``doc_id`` cannot be named and stay.
-    Texts are moved once, by ``doc_id``.
+    A row is known by ``doc_id`` and its text's digest, so ids may repeat or be null; a
+    component without any id keeps the row with the smallest digest.  Of rows equal in both
+    one stays.  Texts are moved once, by this key.
     """
-    found = near_groups(docs, words, block)
-    kept = stored(found.filter("doc_id = component_id").select(F.col("doc_id").alias("id")).distinct(), "kept")
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"))
-    first = Window.partitionBy("id").orderBy(F.xxhash64(F.to_json("row")))
-    named = rows.join(kept, "id", "left_semi").withColumn("rank", F.row_number().over(first)).filter("rank = 1")
-    return named.select("row.*").unionByName(rows.filter("id is null").select("row.*"))
+    held = texts(docs).withColumn("digest", F.md5("text"))
+    prints = stored(fingerprints(held, words), "prints")
+    roots = _roots(prints, block).select("print", "root")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("best")
+    kept = stored(prints.join(roots, "print").groupBy("root").agg(best)
+                  .select(F.coalesce("best.doc_id", F.lit(0)).alias("id"), "best.none", "best.digest"), "kept")
+    key = ["id", "none", "digest"]
+    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
+                       F.col("doc_id").cast("long").isNull().alias("none"),
+                       F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("digest"))
+    first = Window.partitionBy(*key).orderBy(F.xxhash64(F.to_json("row")))
+    named = rows.join(kept, key, "left_semi").withColumn("rank", F.row_number().over(first)).filter("rank = 1")
+    return named.select("row.*")
 
 
 def simhash_query(spark, sf_dir):

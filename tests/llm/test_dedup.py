@@ -98,6 +98,15 @@ def test_near_groups_against_all_pairs(spark):
     assert kept == {r.component_id for r in found.values()}
 
 
+def test_near_copies_with_shared_and_missing_ids(spark):
+    a, b, c, d = (prose(700 + i, 120) for i in range(4))
+    rows = [(7, a), (7, b), (7, b), (8, b), (None, c), (None, c + " "), (None, d), (3, d)]
+    for _ in range(2):
+        kept = [(r.doc_id, r.text.strip()) for r in simhash.drop_near_copies(frame(spark, rows).repartition(3)).collect()]
+        assert sorted(kept, key=repr) == sorted([(7, a), (7, b), (None, c), (3, d)], key=repr)
+        rows.reverse()
+
+
 @pytest.mark.parametrize("n", [2, 13, 64, 65, 200])
 def test_bit_slices_against_plain_distances(n):
     draw = np.random.default_rng(n)
