@@ -20,8 +20,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from html import unescape
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -42,18 +44,23 @@ BLOCKS = ("address", "article", "blockquote", "body", "caption", "center", "dd",
 # an opening tag that ends an open element of the kinds after it
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
           "th": ("td", "th"), "option": ("option",)}
-# words in class, id or role that mark a part as no main text
+# class, id or role that marks a part as no main text: a whole name, or one made of such names only
 ASIDE = ("ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs",
          "comment", "comments", "complementary", "consent", "contentinfo", "cookie", "cookies", "disqus", "footer",
          "gdpr", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "popup", "promo",
          "promoted", "related", "replies", "reply", "respond", "search", "share", "sharing", "sidebar", "social",
          "sponsor", "sponsored", "subscribe", "toolbar", "widget", "masthead", "pagination", "pager", "signup",
-         "login", "copyright", "disclaimer", "alert")
+         "login", "copyright", "disclaimer", "alert", "ad-container", "ad-slot", "comment-list", "comments-area",
+         "main-menu", "main-nav", "nav-menu", "related-articles", "related-posts", "search-box", "search-form",
+         "share-buttons", "site-footer", "site-nav", "social-links")
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 PART = re.compile(r"[a-z]+")
 
+# kinds that hold no main text even where they hold most of the words
+MENUS = ("nav", "aside", "footer", "menu", "head")
+
 START_WEIGHTS = {"word": 1.0}
 OTHER = -1.0
 
@@ -63,11 +70,16 @@ class Reader:
 
     ``kind`` is ``text`` or ``tag``; ``out`` says that the piece stands in a part that is
     never main text; ``inside`` that it stands in a part the page marks as main.
+
+    A part that would be left out stays if it holds ``article`` or ``main``, or, on a page
+    without these elsewhere and apart from menus, most of the page's words.
     """
 
     def __init__(self, page: str):
         self.pieces: list[tuple[str, str, str, bool, bool]] = []
-        self.open: list[tuple[str, bool, bool]] = []
+        self.open: list[tuple[str, bool, list]] = []  # with the spans that end with the element
+        self.aside: list[list] = []  # name, first piece, piece after the last, outer before inner
+        self.marks: list[list] = []
         at = 0
         while (found := TOKEN.search(page, at)) is not None:
             self._text(page[at:found.start()])
@@ -80,16 +92,38 @@ class Reader:
             else:
                 at = self._begin(name, found[3] or "", page, at)
         self._text(page[at:])
-
-    def _state(self) -> tuple[bool, bool]:
-        return self.open[-1][1:] if self.open else (False, False)
+        self._cut(0)
+        self._leave_out()
+
+    def _leave_out(self) -> None:
+        """Mark the pieces of the parts that have to go."""
+        words = [0, *accumulate(len(p[2].split()) for p in self.pieces)]
+        marks = [first for _, first, end in self.marks if words[end] > words[first]]
+        done = 0
+        for name, first, end in self.aside:
+            if first < done:
+                continue  # stands in one that goes
+            held = bisect_left(marks, end) - bisect_left(marks, first)
+            most = name not in MENUS and held == len(marks) and 2 * (words[end] - words[first]) > words[-1]
+            if name == "head" or not (held or most):
+                self.pieces[first:end] = [(a, b, c, True, e) for a, b, c, _, e in self.pieces[first:end]]
+                done = end
+
+    def _cut(self, i: int) -> None:
+        for _, _, spans in self.open[i:]:
+            for span in spans:
+                span[2] = len(self.pieces)
+        del self.open[i:]
+
+    def _inside(self) -> bool:
+        return bool(self.open) and self.open[-1][1]
 
     def _text(self, raw: str) -> None:
         if raw:
-            self.pieces.append(("text", "", unescape(raw) if "&" in raw else raw, *self._state()))
+            self.pieces.append(("text", "", unescape(raw) if "&" in raw else raw, False, self._inside()))
 
     def _tag(self, name: str) -> None:
-        self.pieces.append(("tag", name, "", *self._state()))
+        self.pieces.append(("tag", name, "", False, self._inside()))
 
     def _begin(self, name: str, attributes: str, page: str, at: int) -> int:
         if name in RAW:
@@ -101,10 +135,16 @@ class Reader:
         if name in CLOSES:
             for kind in CLOSES[name]:
                 self._leave(kind, ("ul", "ol", "dl", "table"))
-        out, inside = self._state()
+        inside = self._inside()
         if name not in VOID:
-            out = out or name in NEVER or (name == "header" and not inside) or _aside(name, attributes)
-            self.open.append((name, out, inside or name in ("article", "main")))
+            spans = []
+            if name in NEVER or (name == "header" and not inside) or _aside(name, attributes):
+                self.aside.append([name, len(self.pieces), 0])
+                spans.append(self.aside[-1])
+            if name in ("article", "main"):
+                self.marks.append([name, len(self.pieces), 0])
+                spans.append(self.marks[-1])
+            self.open.append((name, inside or name in ("article", "main"), spans))
         self._tag(name)
         return at
 
@@ -112,7 +152,7 @@ class Reader:
         """Close an open ``name`` unless one of ``until`` stands above it."""
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == name:
-                del self.open[i:]
+                self._cut(i)
                 return
             if self.open[i][0] in until:
                 return
@@ -125,7 +165,7 @@ class Reader:
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == name:
                 self._tag(name)
-                del self.open[i:]
+                self._cut(i)
                 return
         self._tag(name)
 
@@ -135,13 +175,21 @@ def _aside(name: str, attributes: str) -> bool:
         return False
     for found in ATTRIBUTE.finditer(attributes):
         key, value = found[1].lower(), (found[2] or found[3] or found[4] or "").lower()
-        if key in ("class", "id", "role") and any(part in ASIDE for part in PART.findall(value)):
+        if key in ("class", "id", "role") and any(map(_names_aside, value.split())):
             return True
-        if key == "aria-hidden" and value == "true":
+        if key == "hidden" or (key == "aria-hidden" and value == "true"):
             return True
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
-    return bool(re.search(r"(?:^|\s)hidden(?:\s|/|$)", attributes))
+    return False
+
+
+def _names_aside(name: str) -> bool:
+    """A whole name of the list, or one whose parts are all names of it."""
+    if name in ASIDE:
+        return True
+    parts = PART.findall(name)
+    return "".join(parts) == re.sub(r"[-_0-9]+", "", name) and bool(parts) and all(part in ASIDE for part in parts)
 
 
 def kind(piece: tuple[str, str, str, bool, bool]) -> str:

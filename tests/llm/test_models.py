@@ -137,6 +137,25 @@ def test_page_text(spark, around):
     assert pages.main_text(PAGE % (around % BODY), weights) == WANT
 
 
+@pytest.mark.parametrize("wrapper", [
+    "class='page has-sidebar'", "class='no-sidebar'", 'class="with-nav"', "id=search-result", "title='the hidden city'",
+    "class='w-4 hidden md:block'", "data-x='a hidden b'", "class=sidebar"])
+@pytest.mark.parametrize("around", ["<article>%s</article>", "<div id='content'>%s</div>"])
+def test_wrapped_page_keeps_its_text(wrapper, around):
+    body = "<div class='page' " + wrapper + ">" if "class" not in wrapper else "<div " + wrapper + ">"
+    assert pages.main_text(PAGE % (body + around % BODY + "</div>"), pages.START_WEIGHTS) == WANT
+
+
+def test_parts_that_are_still_left_out():
+    for attributes in ("hidden", "hidden=''", "class='x sidebar'", "class='site-footer'", "id=cookie_banner", "style='display: none'"):
+        page = f"<div {attributes}>left out words</div>" + BODY
+        assert "left out" not in pages.main_text(page, pages.START_WEIGHTS)
+    assert pages.main_text("<form class=search><div class=widget><p>" + "all words of a page " * 9, pages.START_WEIGHTS)
+    assert pages.main_text("<nav><p>Home and other places of a page</nav>", pages.START_WEIGHTS) == ""
+    comments = "<div id=comments>" + "readers say much more " * 30 + "</div>"
+    assert pages.main_text("<article><p>Short article of a few words</article>" + comments, pages.START_WEIGHTS) == "Short article of a few words"
+
+
 def test_given_pages_give_their_article(spark):
     import re
     from html import unescape
