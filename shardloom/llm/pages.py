@@ -1,10 +1,12 @@
 """Main text of web pages by a maximum-scoring run of tokens.
 
 A page is read as a row of words and tags.  Words score positive and tags negative, each
-kind with a weight learnt from labelled pages: the log odds of standing inside the main
-part, with a word's as the unit.  One linear scan finds the contiguous run with the largest sum.  Inside the run, parts
-that are never main text (scripts, forms, navigation, notices, comments of readers ...)
-are left out, and the rest becomes blocks.
+kind of tag with a weight learnt from labelled pages: the log odds of standing inside the
+main part, with a word's as the unit, held between ``LEAST`` and ``TAG`` so that a few links
+or lists do not cut a text.  One linear scan finds the contiguous run with the largest sum,
+and its borders stand: a part that the page marks as main only enters the score.  Inside
+the run, parts that are never main text (scripts, forms, navigation, notices, comments of
+readers ...) are left out, and the rest becomes blocks.
 
 Labelled pages are those that mark their main part themselves (``article`` or ``main``);
 the fit reads at most ``SAMPLE`` of them, those with the smallest hash of their url and id.
@@ -62,7 +64,7 @@ PART = re.compile(r"[a-z]+")
 MENUS = ("nav", "aside", "footer", "menu", "head")
 
 START_WEIGHTS = {"word": 1.0}
-OTHER = -1.0
+TAG, LEAST, UNMARKED = -0.2, -1.0, 0.5
 
 
 class Reader:
@@ -192,23 +194,16 @@ def _names_aside(name: str) -> bool:
     return "".join(parts) == re.sub(r"[-_0-9]+", "", name) and bool(parts) and all(part in ASIDE for part in parts)
 
 
-def kind(piece: tuple[str, str, str, bool, bool]) -> str:
-    """What a tag is weighed as: its name, apart where it stands in a part left out."""
-    return ("-" if piece[3] else "") + piece[1]
-
-
 def learn(pages: list[str]) -> dict[str, float]:
     """Weights from pages that mark their main part: log odds of standing inside it."""
     inside, outside = Counter(), Counter()
     for page in pages:
         for piece in Reader(page).pieces:
-            main = piece[4] and not piece[3]
+            into = inside if piece[4] and not piece[3] else outside
             if piece[0] == "text":
-                (inside if main else outside)["word"] += len(piece[2].split())
-            elif not piece[3]:
-                (inside if main else outside)[kind(piece)] += 1
+                into["word"] += len(piece[2].split())
             else:
-                outside[kind(piece)] += 1
+                into[piece[1]] += 1
     if not inside["word"]:
         return dict(START_WEIGHTS)
     total_in, total_out = sum(inside.values()), sum(outside.values())
@@ -217,19 +212,26 @@ def learn(pages: list[str]) -> dict[str, float]:
         return math.log((inside[name] + 1) / (total_in + 1)) - math.log((outside[name] + 1) / (total_out + 1))
 
     names = sorted((inside.keys() | outside.keys()) - {"word"})
-    # a word is the unit; tags lie between -1, those that stand outside, and -0.2
-    return {"word": 1.0} | {n: max(-1.0, min(-0.2, odds(n) / max(odds("word"), 1.0))) for n in names}
+    # a word is the unit; no tag gains, and none costs more than LEAST
+    return {"word": 1.0} | {n: max(LEAST, min(TAG, odds(n) / max(odds("word"), 1.0))) for n in names}
 
 
 def region(pieces: list, weights: dict[str, float]) -> tuple[int, int]:
-    """The run of pieces with the largest sum, by one scan."""
+    """The run of pieces with the largest sum, by one scan.
+
+    Parts left out neither gain nor cost: they do not cut a text in two.  Where a page marks
+    a main part, tags inside it cost nothing and words outside it gain ``UNMARKED``.
+    """
     best, best_from, best_to, total, start = 0.0, 0, 0, 0.0, 0
-    word, other = weights["word"], OTHER
+    word = weights["word"]
+    marked = any(p[4] and not p[3] and p[2].strip() for p in pieces)
     for i, piece in enumerate(pieces):
-        if piece[0] == "text":
-            gain = 0.0 if piece[3] else word * len(piece[2].split())
+        if piece[3]:
+            gain = 0.0
+        elif piece[0] == "text":
+            gain = (UNMARKED if marked and not piece[4] else word) * len(piece[2].split())
         else:
-            gain = weights.get(kind(piece), other if piece[3] else -0.2)
+            gain = 0.0 if piece[4] else weights.get(piece[1], TAG)
         if total <= 0:
             total, start = 0.0, i
         total += gain
@@ -241,8 +243,6 @@ def region(pieces: list, weights: dict[str, float]) -> tuple[int, int]:
 def main_text(page: str, weights: dict[str, float]) -> str:
     pieces = Reader(page).pieces
     begin, end = region(pieces, weights)
-    if any(p[4] and not p[3] for p in pieces[begin:end]):
-        begin, end = _fitted(pieces, begin, end)
     blocks, line = [], []
 
     def flush() -> None:
@@ -263,21 +263,6 @@ def main_text(page: str, weights: dict[str, float]) -> str:
     return "\n\n".join(blocks)
 
 
-def _fitted(pieces: list, begin: int, end: int) -> tuple[int, int]:
-    """The run widened or cut to the part that the page itself marks around its middle."""
-    inside = [i for i in range(begin, end) if pieces[i][4] and not pieces[i][3]]
-    words_in = sum(len(pieces[i][2].split()) for i in inside)
-    words = sum(len(p[2].split()) for p in pieces[begin:end] if not p[3])
-    if 2 * words_in < words:
-        return begin, end
-    begin, end = inside[0], inside[-1] + 1
-    while begin > 0 and pieces[begin - 1][4]:
-        begin -= 1
-    while end < len(pieces) and pieces[end][4]:
-        end += 1
-    return begin, end
-
-
 def fit(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:
     html = F.col("html").cast("string")
     rows = (pages.select(html.alias("html"), F.xxhash64(F.col("url").cast("string"), F.col("page_id").cast("long")).alias("place"))

@@ -156,6 +156,17 @@ def test_parts_that_are_still_left_out():
     assert pages.main_text("<article><p>Short article of a few words</article>" + comments, pages.START_WEIGHTS) == "Short article of a few words"
 
 
+def test_borders_of_the_run_stand(spark):
+    weights = pages.learn([r.html for r in spark.read.parquet(f"{SF}/pages.parquet").limit(100).collect()])
+    second = "<section><h2>Second part</h2><p>" + "words of the second part " * 4 + "</section>"
+    found = pages.main_text(PAGE % ("<article>" + BODY + "</article>" + second), weights)
+    assert found == WANT + "\n\nSecond part\n\n" + " ".join(["words of the second part"] * 4)
+    menu = "<div><ul>" + "<li><a href='/x'>Item</a></li>" * 9 + "</ul></div>"  # without any mark
+    assert pages.main_text(menu + "<div>" + BODY + "</div>" + menu, weights) == WANT
+    long = "<p>" + "many words that stand around " * 3 + "<a href='/x'>one link</a> and go on</p>"
+    assert pages.main_text("<div>" + long * 5 + "</div>", weights).count("go on") == 5
+
+
 def test_given_pages_give_their_article(spark):
     import re
     from html import unescape
