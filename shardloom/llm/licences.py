@@ -1,6 +1,7 @@
 """License scans in DataFrame operations only: TF-IDF cosine, then inheritance by paths.
 
-Every line of every file is compared with licence statements.  Document frequencies of the
+Every line of every file, and every run of up to ``WRAPPED`` short lines, is compared with
+licence statements, and every file as a whole with the texts in ``licence_texts``.  Document frequencies of the
 statements' terms are counted over all files; a term outside them weighs as much as a term
 no file has.  A line can only reach the threshold if it has one of the terms that carry a
 statement's weight, so lines without any are left out before the products; the products
@@ -19,6 +20,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,7 +54,36 @@ STATEMENTS = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the "
+                "MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                "General Public License as published by the Free Software Foundation; either version 2 of the "
+                "License, or (at your option) any later version."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of "
+                 "the License, or (at your option) any later version."),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation, either version 3 of "
+                 "the License, or (at your option) any later version."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                 "Affero General Public License as published by the Free Software Foundation, either version 3 of "
+                 "the License, or (at your option) any later version."),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    *((name.removesuffix("-only").removesuffix("-or-later"), "SPDX-License-Identifier: " + name) for name in (
+        "0BSD", "AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-1.1", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause",
+        "BSD-4-Clause", "BSL-1.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC0-1.0", "EPL-1.0", "EPL-2.0", "GPL-2.0",
+        "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later", "ISC", "LGPL-2.1", "LGPL-2.1-only",
+        "LGPL-2.1-or-later", "LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT", "MPL-1.1", "MPL-2.0", "Unlicense",
+        "Zlib")),
 )
+# whole licences, without the lines that name an owner
+TEXTS = tuple((path.stem, path.read_text("utf-8", "replace")) for path in sorted(Path(__file__).with_name("licence_texts").glob("*.txt")))
+# a wrapped statement: so many lines at most, each of at most so many characters
+WRAPPED, WIDTH = 8, 200
 
 
 def terms(text: str) -> list[str]:
@@ -77,37 +108,32 @@ def weigh(frequencies: dict[str, int], files: int, statements=STATEMENTS):
     return idf, vectors
 
 
-def carriers(vectors, limit: float = LIMIT) -> list[str]:
-    """Terms of which a line must have one to reach the limit with any statement: without
-    them the statement's remaining length is below it."""
+def carriers(vectors, limit: float = LIMIT, idf=None) -> list[str]:
+    """Terms of which a text must have one to reach the limit with any statement: without
+    them the statement's remaining length is below it.  Heavy terms first, or rare ones
+    if ``idf`` is given."""
     chosen: set[str] = set()
     for _, vector in vectors:
-        for term, _ in sorted(vector.items(), key=lambda x: (-x[1], x[0])):
+        for term, _ in sorted(vector.items(), key=lambda x: (-(idf[x[0]] if idf else x[1]), x[0])):
             if math.sqrt(sum(w * w for t, w in vector.items() if t not in chosen)) < limit:
                 break
             chosen.add(term)
     return sorted(chosen)
 
 
-def matched(files: DataFrame, limit: float = LIMIT, statements=STATEMENTS) -> DataFrame:
-    """``file, licence, similarity`` of the files ``file, text`` with a line that matches."""
-    spark = files.sparkSession
-    vocabulary = sorted({t for _, s in statements for t in terms(s)})
-    held = F.array(*map(F.lit, vocabulary))
-    seen = files.select(F.explode(F.array_intersect(_terms(F.col("text")), held)).alias("term"))
-    frequencies = {r["term"]: r["count"] for r in seen.groupBy("term").count().collect()}  # a row per term
-    idf, vectors = weigh(frequencies, files.count(), statements)
-    needed = carriers(vectors, limit)
-    pattern = "(?i)(?<![a-z0-9])(" + "|".join(needed) + ")(?![a-z0-9])"
-    lines = (files.filter(F.col("text").rlike(pattern))
-             .select("file", F.posexplode(F.split("text", "\n")).alias("line", "words"))
-             .filter(F.col("words").rlike(pattern))
-             .select("file", "line", F.explode(_terms(F.col("words"))).alias("term")))
+def _pattern(needed: list[str]) -> str:
+    return "(?i)(?<![a-z0-9])(" + "|".join(needed) + ")(?![a-z0-9])" if needed else "(?!)"
+
+
+def _similar(units: DataFrame, idf, vectors, limit: float) -> DataFrame:
+    """``file, best`` of the texts ``file, line, words``: the most similar statement of each file."""
+    spark = units.sparkSession
     weights = spark.createDataFrame([(t, w) for t, w in idf.items() if t is not None], "term string, idf double")
     parts = spark.createDataFrame([(t, i, w) for i, (_, v) in enumerate(vectors) for t, w in v.items()],
                                   "term string, statement int, part double")
     names = spark.createDataFrame([(i, n) for i, (n, _) in enumerate(vectors)], "statement int, licence string")
-    counted = (lines.groupBy("file", "line", "term").count().join(F.broadcast(weights), "term", "left")
+    counted = (units.select("file", "line", F.explode(_terms(F.col("words"))).alias("term"))
+               .groupBy("file", "line", "term").count().join(F.broadcast(weights), "term", "left")
                .select("file", "line", "term", (F.col("count") * F.coalesce("idf", F.lit(idf[None]))).alias("weight")))
     counted = stored(counted, "terms")
     norms = counted.groupBy("file", "line").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
@@ -116,7 +142,47 @@ def matched(files: DataFrame, limit: float = LIMIT, statements=STATEMENTS) -> Da
     return (products.join(norms, ["file", "line"]).join(F.broadcast(names), "statement")
             .select("file", "licence", F.round(F.col("dot") / F.col("norm"), 9).alias("similarity"))
             .filter(F.col("similarity") >= limit)
-            .groupBy("file").agg(F.min(F.struct((-F.col("similarity")).alias("far"), "licence")).alias("best"))
+            .groupBy("file").agg(F.min(F.struct((-F.col("similarity")).alias("far"), "licence")).alias("best")))
+
+
+def _wrapped(files: DataFrame, pattern: str) -> DataFrame:
+    """``file, line, words``: every run of 2 to ``WRAPPED`` short lines with one of the terms.
+    Runs are numbered by their first line and length, from minus one downwards."""
+    def runs(line, at):
+        some = F.slice("lines", at + 1, WRAPPED)
+        return F.when(F.array_join(some, " ").rlike(pattern), some)
+    rows = (files.select("file", F.split("text", "\n").alias("lines"))
+            .select("file", F.posexplode(F.transform("lines", runs)).alias("at", "some")).filter("some is not null")
+            .select("file", "at", "some", F.explode(F.sequence(F.lit(2), F.lit(WRAPPED))).alias("n")).filter("size(some) >= n")
+            .select("file", (-1 - F.col("at") * WRAPPED - F.col("n")).alias("line"), F.slice("some", 1, F.col("n")).alias("run"))
+            .filter(F.forall("run", lambda x: F.length(x) <= WIDTH)))
+    return rows.select("file", "line", F.array_join("run", " ").alias("words")).filter(F.col("words").rlike(pattern))
+
+
+def matched(files: DataFrame, limit: float = LIMIT, statements=STATEMENTS, whole=TEXTS) -> DataFrame:
+    """``file, licence, similarity`` of the files ``file, text`` with a line, or a run of
+    short lines, that matches a statement, or that match a licence's text as a whole."""
+    vocabulary = sorted({t for _, s in (*statements, *whole) for t in terms(s)})
+    held = F.array(*map(F.lit, vocabulary))
+    seen = files.select(F.explode(F.array_intersect(_terms(F.col("text")), held)).alias("term"))
+    frequencies = {r["term"]: r["count"] for r in seen.groupBy("term").count().collect()}  # a row per term
+    count = files.count()
+    idf, vectors = weigh(frequencies, count, statements)
+    pattern = _pattern([t for t in carriers(vectors, limit) if t in frequencies])  # others are in no file
+    some = files.filter(F.col("text").rlike(pattern))
+    lines = (some.select("file", F.posexplode(F.split("text", "\n")).alias("line", "words"))
+             .filter(F.col("words").rlike(pattern)))
+    found = _similar(lines.unionByName(_wrapped(some, pattern)), idf, vectors, limit)
+    if whole:
+        idf, vectors = weigh(frequencies, count, whole)
+        needed = [t for t in carriers(vectors, limit, idf) if t in frequencies]
+        if not needed:
+            whole = ()
+    if whole:
+        some = files.filter(F.arrays_overlap(_terms(F.col("text")), F.array(*map(F.lit, needed))))
+        bodies = some.select("file", F.lit(0).alias("line"), F.col("text").alias("words"))
+        found = found.unionByName(_similar(bodies, idf, vectors, limit))
+    return (found.groupBy("file").agg(F.min("best").alias("best"))
             .select("file", F.col("best.licence").alias("licence"), (-F.col("best.far")).alias("similarity")))
 
 
@@ -138,8 +204,8 @@ def scan(files: DataFrame, limit: float = LIMIT, statements=STATEMENTS) -> DataF
               .select(F.col("directory").alias("above"), "g"))
     folders = own.filter("path is not null").select("directory").distinct()
     steps = F.split("directory", "/")
-    above = folders.select("directory", F.explode(F.sequence(F.lit(1), F.size(steps))).alias("depth")).select(
-        "directory", "depth", F.array_join(F.slice(F.split("directory", "/"), 1, F.col("depth")), "/").alias("above"))
+    above = folders.select("directory", F.explode(F.sequence(F.lit(0), F.size(steps))).alias("depth")).select(
+        "directory", "depth", F.array_join(F.slice(F.split("directory", "/"), 1, F.col("depth")), "/").alias("above"))  # 0: the root
     nearest = stored(above.join(givers, "above").groupBy("directory")
                      .agg(F.max_by("g", "depth").alias("g")), "nearest")
     joined = own.join(nearest, "directory", "left")

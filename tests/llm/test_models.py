@@ -228,6 +228,23 @@ def test_licences_against_all_lines(spark, odd_rows):
     assert licences.scan(docs.filter("false")).count() == 0
 
 
+def test_licence_files_and_wrapped_headers(spark):
+    bodies = dict(licences.TEXTS)
+    notice = [s for n, s in licences.STATEMENTS if n == "GPL-3.0" and "free software" in s][0]
+    wrapped = "# Copyright 2020 Somebody\n#\n# " + notice.replace("modify it", "modify it\n# ").replace("as published", "as\n# published")
+    rows = [(1, "p/LICENSE", "Copyright (c) 2020 Some Body\n\n" + bodies["MIT"]), (2, "q/COPYING", bodies["GPL-3.0"]),
+            (3, "r/LICENSE", bodies["BSD-3-Clause"]), (4, "s/x.py", wrapped + "\n#\nimport x\n"),
+            (5, "s/y.go", "// Use of this source code is governed by a BSD-style\n// license that can be found in the LICENSE file.\n"),
+            (6, "s/z.c", "// SPDX-License-Identifier: MIT\nint x;"), (7, "p/a.py", "code"), (8, "LICENSE", bodies["Apache-2.0"]),
+            (9, "z/deep/b.py", "code"), (10, "top.py", "code"), (11, "q/LICENSE", bodies["MPL-2.0"])]
+    rows += [(100 + i, None, "plain text %d of no licence" % i) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    found = {r.doc_id: (r.licence, r.origin) for r in licences.scan(docs).collect()}
+    want = ["MIT", "GPL-3.0", "BSD-3-Clause", "GPL-3.0", "BSD-3-Clause", "MIT", "MIT", "Apache-2.0", "Apache-2.0", "Apache-2.0", "MPL-2.0"]
+    assert found == {i + 1: (w, "inherited" if i + 1 in (7, 9, 10) else "own") for i, w in enumerate(want)} | {
+        100 + i: (None, None) for i in range(30)}
+
+
 def test_pipeline_stages_take_effect(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     before, sizes = docs, []
