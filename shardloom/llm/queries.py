@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 from shardloom.llm import (byte_bpe, exact_dedup, fingerprints, language_model, licences, packing, pages,
-                           quality, rules, simhash, suffixes)
+                           prefix_trie, quality, rules, simhash, suffixes)
 
 QUERIES = {
     "op1_quality_attention": quality.quality_query,
@@ -16,5 +16,7 @@ QUERIES = {
     "op9_repeated_passages": suffixes.repeats_query,
     "op10_log_bilinear": language_model.language_model_query,
     "op12_quality_rules": rules.rules_query,
+    "op13_prefix_trie": prefix_trie.trie_query,
 }
-ORACLE = {"op5_exact_dedup": exact_dedup.DEDUP_SQL, "op12_quality_rules": rules.RULES_SQL}
+ORACLE = {"op5_exact_dedup": exact_dedup.DEDUP_SQL, "op12_quality_rules": rules.RULES_SQL,
+          "op13_prefix_trie": prefix_trie.TRIE_SQL}
