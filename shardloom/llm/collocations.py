@@ -9,10 +9,11 @@ surviving score of each language cuts the frontier: once no word left has a boun
 least that score (so that ties are settled too), the language is done.  Counts of the rests
 that the frontier has not reached are taken in one more pass.
 
-A pass reads the texts once.  Words that are not frequent and prefixes that are not being
-grown are passed over by a bit map of fixed size (``BITS``), whatever the vocabulary; it
-can only let too much through, and joins with the exact tables follow.  Counts are combined
-over some millions of words in a task before they are shuffled.  A candidate lies inside a
+The texts are read twice: to count words, and to store their runs of frequent words, which
+every later pass reads.  Words that are not frequent and prefixes that are not being grown
+are passed over by a bit map of fixed size (``BITS``), whatever the vocabulary; it can only
+let too much through, and joins with the exact tables follow.  Counts are combined over
+some millions of words in a task before they are shuffled.  A candidate lies inside a
 longer one of equal count exactly if all its occurrences have the same left neighbour or
 the same right neighbour, so neighbours are counted (as 64-bit hashes) with the phrase, and
 nothing longer has to be expanded to see that it goes.
@@ -27,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,51 +37,52 @@ from shardloom.llm.common import modest_batches, stored, table
 
 LEAST, TOP, LONGEST, STEP = 100, 2000, 5, 64
 BITS = 1 << 24
-WORDS, DISTINCT = 3_000_000, 400_000  # words, and different ones, after which a task gives out its counts
-BREAK = 0  # the id of the end of a piece
+CHARS = 16_000_000  # characters after which a task gives out its counts
+BREAK = 0
 FOLDED = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n\n\n\n\n\n\n\n\n ")
 LOW, HIGH = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 COUNTED = "lang string, phrase string, a long, left_min long, left_max long, right_min long, right_max long"
 
 
-class Ids(dict):
-    """Ids of words by first sight; the empty word is none."""
-
-    def __init__(self):
-        super().__init__({b"": -1, b"\n": BREAK})
-
-    def __missing__(self, word: bytes) -> int:
-        found = self[word] = len(self) - 1
-        return found
-
-
-def _encoded(text: str, ids: Ids) -> np.ndarray:
-    """The text's words and the ends of its pieces."""
-    tokens = text.encode("utf-8", "replace").lower().translate(FOLDED).replace(b"\n", b" \n ").split(b" ")
-    found = np.fromiter(map(ids.__getitem__, tokens), np.int32, len(tokens))
-    return found[found >= 0]
-
-
-def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list[str], np.ndarray, list[tuple[str, np.ndarray]]]]:
-    """The words (by id), their hashes, and the encoded texts of each language."""
-    ids, held, size = Ids(), {}, 0
-
-    def chunk():
-        words = [w.decode("utf-8", "replace") for w in ids][1:]  # ids are given in this order
-        hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in list(ids)[1:]), np.uint64, len(words))
-        edge = [np.array([BREAK], np.int32)]
-        return words, hashes, [(lang, np.concatenate(edge + some)) for lang, some in held.items()]
-
+def _encoded(texts: list[str]) -> tuple[list[str], np.ndarray]:
+    """The different words, and the texts as their places from 1; 0 parts the pieces.
+
+    Words are found on the bytes of all texts at once and numbered by Arrow's dictionary.
+    """
+    line = "\n".join(texts).encode("utf-8", "replace").lower().translate(FOLDED)
+    raw = np.frombuffer(line, np.uint8)
+    ends = raw == 10
+    gap = ends | (raw == 32)
+    edge = np.diff(gap.astype(np.int8), prepend=1, append=1)
+    first, last = np.flatnonzero(edge < 0), np.flatnonzero(edge > 0)
+    if not len(first):
+        return [], np.zeros(1, np.int32)
+    offsets = np.append(0, np.cumsum(last - first))
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(raw[~gap])])
+    found = words.dictionary_encode()
+    piece = np.cumsum(ends)[first]
+    before = np.cumsum(np.append(True, piece[1:] != piece[:-1]))  # breaks before each word
+    coded = np.zeros(len(first) + int(before[-1]) + 1, np.int32)
+    coded[np.arange(len(first)) + before] = found.indices.to_numpy() + 1
+    return [w.decode("utf-8", "replace") for w in found.dictionary.to_pylist()], coded
+
+
+def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, list[str], np.ndarray]]:
+    """Encoded texts of one language, some millions of words at a time."""
+    held, size = {}, 0
     for batch in batches:
         for lang, text in zip(batch["lang"], batch["text"]):
-            found = _encoded(text, ids)
-            held.setdefault(lang, []).extend([found, np.array([BREAK], np.int32)])
-            size += len(found)
-            if size >= WORDS or len(ids) >= DISTINCT:
-                yield chunk()
-                ids, held, size = Ids(), {}, 0
-    if held:
-        yield chunk()
+            held.setdefault(lang, []).append(text)
+            size += len(text)
+            if size >= CHARS:
+                yield from ((lang, *_encoded(some)) for lang, some in held.items())
+                held, size = {}, 0
+    yield from ((lang, *_encoded(some)) for lang, some in held.items())
+
+
+def _hashes(words: list[str]) -> np.ndarray:
+    """The hash of each word by its place."""
+    return np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "replace")) for w in ["", *words]), np.uint64, len(words) + 1)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -111,6 +114,7 @@ class BitMap:
     """A set of phrases as a bit map of fixed size; it may hold more than was put in."""
 
     def __init__(self, phrases: DataFrame):
+        modest_batches(phrases.sparkSession)
         rows = phrases.select("lang", "phrase").mapInPandas(_phrase_hashes, "hash long")
         both = F.array(F.col("hash").bitwiseAND(F.lit(BITS - 1)), F.shiftrightunsigned("hash", 40).bitwiseAND(F.lit(BITS - 1)))
         bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("bit", F.lit(64)).cast("int"))
@@ -144,7 +148,7 @@ def _counts(lang: str, words: list[str], hashes: np.ndarray, coded: np.ndarray,
     order, starts = _groups(key)
     at = at[order]
     first = at[starts]
-    parts = [[words[i] for i in coded[first + k]] for k in range(size)]
+    parts = [[words[i - 1] for i in coded[first + k]] for k in range(size)]
     out = {"lang": lang, "phrase": list(map(" ".join, zip(*parts))), "a": np.diff(np.append(starts, len(at)))}
     for side, beside in (("left", coded[at - 1]), ("right", coded[at + size])):
         seen = hashes[beside].view(np.int64)
@@ -153,31 +157,48 @@ def _counts(lang: str, words: list[str], hashes: np.ndarray, coded: np.ndarray,
     return pd.DataFrame(out)
 
 
-def _passed(corpus: DataFrame, sizes: range, frequent: BitMap, wanted: BitMap, whole: bool) -> DataFrame:
-    """Counts of the phrases of ``sizes`` words, all frequent, whose prefix is wanted; or,
-    if ``whole``, that are wanted themselves."""
+def frequent_runs(corpus: DataFrame, frequent: BitMap) -> DataFrame:
+    """``lang, words, coded``: the texts with nothing left but runs of frequent words; rare
+    words end a run like the end of a piece, and words that stand alone are left out."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for words, hashes, langs in _chunks(batches):
-            for lang, coded in langs:
-                single = _grown(_origin(lang), hashes)
-                good = frequent.has(single)
-                good[BREAK] = False
-                fine = good[coded]
-                at = np.flatnonzero(fine)
-                done = single[coded[at]]
+        for lang, words, coded in _chunks(batches):
+            good = frequent.has(_grown(_origin(lang), _hashes(words)))
+            good[BREAK] = False
+            fresh = np.where(good, np.cumsum(good), BREAK).astype(np.int32)[coded]
+            held = fresh != BREAK
+            beside = np.append(False, held[:-1]) | np.append(held[1:], False)
+            held &= beside
+            after = np.append(False, held[:-1])
+            fresh[~held] = BREAK
+            fresh = np.append(np.int32(BREAK), fresh[held | after])
+            yield pd.DataFrame({"lang": [lang], "words": [[w for w, g in zip(words, good[1:]) if g]],
+                                "coded": [np.append(fresh, np.int32(BREAK)).tobytes()]})
+    return corpus.mapInPandas(run, "lang string, words array<string>, coded binary")
+
+
+def _passed(runs: DataFrame, sizes: range, wanted: BitMap, whole: bool) -> DataFrame:
+    """Counts of the phrases of ``sizes`` words whose prefix is wanted; or, if ``whole``,
+    that are wanted themselves."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for lang, words, raw in zip(batch["lang"], batch["words"], batch["coded"]):
+                coded, words = np.frombuffer(raw, np.int32), list(words)
+                hashes = _hashes(words)
+                at = np.flatnonzero(coded)
+                done = _grown(_origin(lang), hashes)[coded[at]]
                 for size in range(2, sizes.stop):
                     if size in sizes and not whole:
                         keep = wanted.has(done)
                         at, done = at[keep], done[keep]
-                    keep = fine[at + size - 1]
-                    at, done = at[keep], done[keep]
-                    done = _grown(done, hashes[coded[at + size - 1]])
+                    added = coded[at + size - 1]
+                    keep = added != BREAK
+                    at, done = at[keep], _grown(done[keep], hashes[added[keep]])
                     if size in sizes:
                         some = at[wanted.has(done)] if whole else at
                         if len(some):
                             yield _counts(lang, words, hashes, coded, some, size)
 
-    found = corpus.mapInPandas(run, COUNTED).groupBy("lang", "phrase")
+    found = runs.mapInPandas(run, COUNTED).groupBy("lang", "phrase")
     ends = [F.min(f"{side}_min").alias(f"{side}_min") for side in ("left", "right")]
     ends += [F.max(f"{side}_max").alias(f"{side}_max") for side in ("left", "right")]
     return found.agg(F.sum("a").alias("a"), *ends)
@@ -186,23 +207,30 @@ def _passed(corpus: DataFrame, sizes: range, frequent: BitMap, wanted: BitMap, w
 def word_counts(corpus: DataFrame) -> DataFrame:
     """``lang, phrase, a``: the number of each word, and of all under the empty phrase."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for words, _, langs in _chunks(batches):
-            for lang, coded in langs:
-                number = np.bincount(coded, minlength=1)
-                number[BREAK] = 0
-                present = np.flatnonzero(number)
-                yield pd.DataFrame({"lang": lang, "phrase": [""] + [words[i] for i in present],
-                                    "a": np.append(number.sum(), number[present])})
+        for lang, words, coded in _chunks(batches):
+            number = np.bincount(coded, minlength=1)
+            number[BREAK] = 0
+            yield pd.DataFrame({"lang": lang, "phrase": ["", *words], "a": np.append(number.sum(), number[1:])})
     return corpus.mapInPandas(run, "lang string, phrase string, a long").groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
 
 
+def _counted(runs: DataFrame, sizes: range, wanted: DataFrame, whole: bool, least: int) -> DataFrame:
+    """The stored counts of ``_passed`` of at least ``least``."""
+    conf = runs.sparkSession.conf
+    rows = _passed(runs, sizes, BitMap(wanted), whole).filter(F.col("a") >= least)
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")  # a row holds millions of words
+    rows = stored(rows, "counted")
+    modest_batches(runs.sparkSession)
+    return rows
+
+
 def _score(a: str, n: str, left: str, right: str) -> Column:
     """``floor(1000 a n / (l r))`` in whole numbers of up to 38 digits."""
     a, n, left, right = (f"cast({x} as decimal(19,0))" for x in (a, n, left, right))
     return F.expr(f"(cast(1000 as decimal(4,0)) * {a} * {n}) div ({left} * {right})")
 
 
-def _grow(corpus: DataFrame, tier: DataFrame, frequent: BitMap, least: int, longest: int) -> list[DataFrame]:
+def _grow(runs: DataFrame, tier: DataFrame, least: int, longest: int) -> list[DataFrame]:
     """Levels of phrases from the words of ``tier``: counts, neighbours and ``ls``, the
     counts of the proper prefixes."""
     level = tier.select("lang", "phrase", "a", F.array().cast("array<long>").alias("ls"))
@@ -210,7 +238,7 @@ def _grow(corpus: DataFrame, tier: DataFrame, frequent: BitMap, least: int, long
     for size in range(2, longest + 1):
         if level.isEmpty():
             break
-        counts = _passed(corpus, range(size, size + 1), frequent, BitMap(level), False).filter(F.col("a") >= least)
+        counts = _counted(runs, range(size, size + 1), level, False, least)
         before = level.select("lang", F.col("phrase").alias("prefix"), F.concat("ls", F.array("a")).alias("ls"))
         split = F.split("phrase", " ")
         level = stored(counts.withColumn("prefix", F.array_join(F.slice(split, 1, size - 1), " "))
@@ -242,7 +270,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, longest: i
     counts = stored(word_counts(corpus).filter((F.col("a") >= least) | (F.col("phrase") == "")), "words")
     total = counts.filter("phrase = ''").select("lang", F.col("a").alias("n"))
     words = stored(counts.filter("phrase <> ''").join(total, "lang").withColumn("bound", F.expr("1000 * n div a")), "frontier")
-    frequent = BitMap(words)
+    runs = stored(frequent_runs(corpus, BitMap(words)), "runs")
     known = words.select("lang", "phrase", "a")
     shape = "lang string, phrase string, a long, l long, r long, n long, score long, rank long"
     best = docs.sparkSession.createDataFrame([], shape)
@@ -253,14 +281,14 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, longest: i
             return best.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
         tier = stored(ahead.filter(F.col("a") < reached * step).select("lang", "phrase", "a"), "tier")
         reached *= step
-        levels = _grow(corpus, tier, frequent, least, longest)
+        levels = _grow(runs, tier, least, longest)
         if levels:
             for level in levels:
                 known = known.unionByName(level.select("lang", "phrase", "a"))
-            best = _scored(corpus, levels, known, total, words, frequent, best, top, longest)
+            best = _scored(runs, levels, known, total, words, best, top, longest)
 
 
-def _scored(corpus, levels, known, total, words, frequent, best, top, longest) -> DataFrame:
+def _scored(runs, levels, known, total, words, best, top, longest) -> DataFrame:
     """``best`` with the phrases of a round; only those that can still enter are scored."""
     found = _surviving(levels[0], longest)
     for level in levels[1:]:
@@ -283,8 +311,8 @@ def _scored(corpus, levels, known, total, words, frequent, best, top, longest) -
     cuts = stored(longer.select("lang", "phrase", "a", "n", F.explode(cut).alias("c")).select("lang", "phrase", "a", "n", "c.*"), "cuts")
     missing = stored(cuts.select("lang", F.col("rest").alias("phrase")).distinct().join(known, ["lang", "phrase"], "left_anti"), "rests")
     if not missing.isEmpty():
-        counted = _passed(corpus, range(2, longest), frequent, BitMap(missing), True).select("lang", "phrase", "a")
-        known = known.unionByName(stored(counted.join(missing, ["lang", "phrase"], "left_semi"), "counted"))
+        counted = _counted(runs, range(2, longest), missing, True, least).select("lang", "phrase", "a")
+        known = known.unionByName(counted.join(missing, ["lang", "phrase"], "left_semi"))
     rests = known.select("lang", F.col("phrase").alias("rest"), F.col("a").alias("r"))
     lowest = F.min(F.struct(_score("a", "n", "l", "r").alias("score"), "k", "l", "r")).alias("cut")
     scored = (cuts.join(rests, ["lang", "rest"]).groupBy("lang", "phrase", "a", "n").agg(lowest)

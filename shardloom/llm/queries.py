@@ -1,7 +1,7 @@
 """The registered queries of this subpackage and their SQL."""
 from __future__ import annotations
 
-from shardloom.llm import (byte_bpe, exact_dedup, fingerprints, language_model, licences, packing, pages,
+from shardloom.llm import (byte_bpe, collocations, exact_dedup, fingerprints, language_model, licences, packing, pages,
                            prefix_trie, quality, rules, simhash, suffixes)
 
 QUERIES = {
@@ -15,8 +15,9 @@ QUERIES = {
     "op8_simhash_groups": simhash.simhash_query,
     "op9_repeated_passages": suffixes.repeats_query,
     "op10_log_bilinear": language_model.language_model_query,
+    "op11_collocations": collocations.collocation_query,
     "op12_quality_rules": rules.rules_query,
     "op13_prefix_trie": prefix_trie.trie_query,
 }
 ORACLE = {"op5_exact_dedup": exact_dedup.DEDUP_SQL, "op12_quality_rules": rules.RULES_SQL,
-          "op13_prefix_trie": prefix_trie.TRIE_SQL}
+          "op13_prefix_trie": prefix_trie.TRIE_SQL, "op11_collocations": collocations.COLLOCATION_SQL}
