@@ -285,10 +285,10 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, longest: i
         if levels:
             for level in levels:
                 known = known.unionByName(level.select("lang", "phrase", "a"))
-            best = _scored(runs, levels, known, total, words, best, top, longest)
+            best = _scored(runs, levels, known, total, words, best, least, top, longest)
 
 
-def _scored(runs, levels, known, total, words, best, top, longest) -> DataFrame:
+def _scored(runs, levels, known, total, words, best, least, top, longest) -> DataFrame:
     """``best`` with the phrases of a round; only those that can still enter are scored."""
     found = _surviving(levels[0], longest)
     for level in levels[1:]:
