@@ -13,7 +13,7 @@ The texts are read twice: to count words, and to store their runs of frequent wo
 every later pass reads.  Words that are not frequent and prefixes that are not being grown
 are passed over by a bit map of fixed size (``BITS``), whatever the vocabulary; it can only
 let too much through, and joins with the exact tables follow.  Counts are combined over
-some millions of words in a task before they are shuffled.  A candidate lies inside a
+a million words or more in a task before they are shuffled.  A candidate lies inside a
 longer one of equal count exactly if all its occurrences have the same left neighbour or
 the same right neighbour, so neighbours are counted (as 64-bit hashes) with the phrase, and
 nothing longer has to be expanded to see that it goes.
@@ -37,7 +37,7 @@ from shardloom.llm.common import modest_batches, stored, table
 
 LEAST, TOP, LONGEST, STEP = 100, 2000, 5, 64
 BITS = 1 << 24
-CHARS = 16_000_000  # characters after which a task gives out its counts
+CHARS = 8_000_000  # characters after which a task gives out its counts
 BREAK = 0
 FOLDED = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n\n\n\n\n\n\n\n\n ")
 LOW, HIGH = np.iinfo(np.int64).min, np.iinfo(np.int64).max
@@ -60,7 +60,7 @@ def _encoded(texts: list[str]) -> tuple[list[str], np.ndarray]:
     offsets = np.append(0, np.cumsum(last - first))
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(raw[~gap])])
     found = words.dictionary_encode()
-    piece = np.cumsum(ends)[first]
+    piece = np.searchsorted(np.flatnonzero(ends), first)
     before = np.cumsum(np.append(True, piece[1:] != piece[:-1]))  # breaks before each word
     coded = np.zeros(len(first) + int(before[-1]) + 1, np.int32)
     coded[np.arange(len(first)) + before] = found.indices.to_numpy() + 1
@@ -68,7 +68,7 @@ def _encoded(texts: list[str]) -> tuple[list[str], np.ndarray]:
 
 
 def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, list[str], np.ndarray]]:
-    """Encoded texts of one language, some millions of words at a time."""
+    """Encoded texts of one language, many words at a time."""
     held, size = {}, 0
     for batch in batches:
         for lang, text in zip(batch["lang"], batch["text"]):
@@ -218,7 +218,7 @@ def _counted(runs: DataFrame, sizes: range, wanted: DataFrame, whole: bool, leas
     """The stored counts of ``_passed`` of at least ``least``."""
     conf = runs.sparkSession.conf
     rows = _passed(runs, sizes, BitMap(wanted), whole).filter(F.col("a") >= least)
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")  # a row holds millions of words
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")  # a row holds very many words
     rows = stored(rows, "counted")
     modest_batches(runs.sparkSession)
     return rows
