@@ -29,6 +29,31 @@ def postings(terms: DataFrame, block: int) -> DataFrame:
                           F.size("ords").alias("df"), "ords")
 
 
+def segment_bases(segments: DataFrame) -> DataFrame:
+    """(shard, segment, base): the ordinal in the shard of each segment's first document, a
+    prefix sum over the segments in manifest order; a row per segment."""
+    earlier = Window.partitionBy("shard").orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
+    return segments.select("shard", "segment", F.coalesce(F.sum("docs").over(earlier), F.lit(0)).alias("base"))
+
+
+def merged_postings(blocks: DataFrame, segments: DataFrame, block: int) -> DataFrame:
+    """(shard, field, term, block, df, ords): a shard's postings from those of its segments.
+
+    Ordinals are moved up by the size of the segments before and cut anew at multiples of
+    ``block``; whole lists travel, never single postings, and no document is read.  A list
+    of the result has at most ``block`` ordinals, whatever the number of segments.
+    """
+    moved = blocks.join(segment_bases(segments), ["shard", "segment"]).select(
+        "shard", "field", "term", F.transform("ords", lambda o: o + F.col("base")).alias("ords"))
+    number = (F.element_at("ords", 1) / block).cast("bigint"), (F.element_at("ords", -1) / block).cast("bigint")
+    cut = moved.select("shard", "field", "term", "ords", F.explode(F.sequence(*number)).alias("block")).select(
+        "shard", "field", "term", "block",
+        F.filter("ords", lambda o: (o >= F.col("block") * block) & (o < (F.col("block") + 1) * block)).alias("ords"))
+    whole = cut.where("size(ords) > 0").groupBy("shard", "field", "term", "block").agg(
+        F.sort_array(F.flatten(F.collect_list("ords"))).alias("ords"))
+    return whole.select("shard", "field", "term", "block", F.size("ords").alias("df"), "ords")
+
+
 def term_stats(terms: DataFrame) -> DataFrame:
     """(field, term, df): documents per term, from ``document_term_sets``.
 

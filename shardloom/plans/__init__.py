@@ -1,4 +1,5 @@
 from shardloom.plans.build import BuildResult, build_index
 from shardloom.plans.cutover import CutoverResult, cut_over, publish
+from shardloom.plans.upkeep import delete_documents, merge_shards
 
-__all__ = ["BuildResult", "CutoverResult", "build_index", "cut_over", "publish"]
+__all__ = ["BuildResult", "CutoverResult", "build_index", "cut_over", "delete_documents", "merge_shards", "publish"]

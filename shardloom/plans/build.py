@@ -9,14 +9,16 @@ Layout below ``<work_dir>/<index_name>``::
     postings/generation=<g>/      exact-term posting blocks
     rejects/generation=<g>/       refused rows, with their values
     bulk/generation=<g>/          bulk request bodies, if asked for
-    manifest/                     segment lists; written last, makes a generation visible
+    claims/                       a marker for every generation that a writer has taken
+    manifest/                     segment lists and counts of refused rows; written last,
+                                  makes a generation visible
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from shardloom.operators.discovery import discover_fields
 from shardloom.operators.documents import (
@@ -32,7 +34,8 @@ from shardloom.operators.sharding import (
 )
 from shardloom.session import prepare
 from shardloom.sinks.files import (
-    MANIFEST_SCHEMA, append_state, bulk_lines, commit_manifest, delete_path, next_generation, write_mapping, write_sharded,
+    MANIFEST_SCHEMA, append_state, bulk_lines, claim_generation, commit_manifest, commit_refused, delete_path, write_mapping,
+    write_sharded,
 )
 from shardloom.sources.columns import column_named, column_of, field_of, row_json, sheltered
 from shardloom.sources.side_tables import deny_list, load_rules, type_overrides
@@ -53,6 +56,7 @@ class BuildResult:
 
 
 MALFORMED = "_malformed"
+REASONS = ("repeated id", "cast", "malformed json")  # why a row can be refused
 
 
 def source_rows(spark: SparkSession, spec: BuildSpec) -> DataFrame:
@@ -139,7 +143,7 @@ def build_index(spark: SparkSession, spec: BuildSpec, deny: DataFrame | None = N
                    routing=spec.routing and column_named(source.schema, spec.routing))
     # one discovery pass over the map columns; everything after it reads this small table
     manifest_path = f"{root}/manifest"
-    generation = next_generation(spark, manifest_path)
+    generation = claim_generation(spark, manifest_path)
     fields_path = f"{root}/fields/generation={generation}"
     discover_fields(source.drop(MALFORMED)).write.mode("overwrite").parquet(fields_path)
     fields = spark.read.parquet(fields_path)
@@ -175,7 +179,7 @@ def build_index(spark: SparkSession, spec: BuildSpec, deny: DataFrame | None = N
 
     docs_path = f"{root}/docs/generation={generation}"
     # rows that tie in ``order_by`` are told apart by all their values, so a retry keeps the same
-    tied = rows.withColumn("_tie", F.xxhash64(row_json(schema)))
+    tied = rows.withColumn("_tie", F.xxhash64(row_json(schema))) if spec.dedupe and spec.id_field else rows
     placed = placed_rows(tied, spec, sizes.segments)
     if sizes.nameless:
         docs = _with_generated(rows, placed, schema, rules, spec, sizes.segments)
@@ -190,18 +194,22 @@ def build_index(spark: SparkSession, spec: BuildSpec, deny: DataFrame | None = N
     bundles = stored_bundles(spark, docs_path)
     stored = bundles.agg(F.sum("docs").alias("n")).first()["n"] or 0
     refused = sizes.named + sizes.nameless - stored
-    if spec.dedupe and spec.keep_rejects and refused:
+    if spec.dedupe and spec.id_field and spec.keep_rejects and refused:
         sharded = with_segment(_sharded(tied.where(F.col("doc_id").isNotNull()), spec), sizes.segments)
         repeated = dedupe_rejects(sharded, (*spec.order_by, "_tie"), spec.dedupe, row_json(schema))
         rejected.append(repeated.select("doc_id", F.lit("repeated id").alias("reason"),
                                         F.lit(None).cast("array<string>").alias("fields"), "refused", "row"))
     rejects_path = None
+    counted = {"repeated id": refused} if spec.dedupe and refused else {}
     if rejected:
         rejects_path = f"{root}/rejects/generation={generation}"
         whole = rejected[0]
         for more in rejected[1:]:
             whole = whole.unionByName(more)
-        whole.write.mode("overwrite").parquet(rejects_path)
+        seen = Observation("refused")  # counted by the pass that stores the rows
+        whole.observe(seen, *[F.sum(F.when(F.col("reason") == r, F.col("refused")).otherwise(0)).alias(r) for r in REASONS]) \
+            .write.mode("overwrite").parquet(rejects_path)
+        counted |= {reason: n for reason, n in seen.get.items() if n}
 
     postings_path = None
     if with_postings:
@@ -224,10 +232,10 @@ def build_index(spark: SparkSession, spec: BuildSpec, deny: DataFrame | None = N
 
     if empty:
         segments = spark.createDataFrame(
-            [(0, 0, "", 0, 0, 0, 0, 0, generation, docs_path)], MANIFEST_SCHEMA)
+            [(0, 0, "", 0, 0, 0, 0, 0, generation, docs_path, None, None)], MANIFEST_SCHEMA)
     else:
         segments = segment_manifest(bundles, generation).withColumn("path", F.lit(docs_path))
-    commit_manifest(segments, manifest_path)
+    commit_manifest(commit_refused(segments, counted), manifest_path)
     state("completed")
     return BuildResult(spec.index_name, generation, docs_path, postings_path, rejects_path,
                        mapping_path, manifest_path, sizes.segments, bulk_path)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shardloom.operators import lifecycle
 from shardloom.operators.segments import latest_generation
 from shardloom.plans.build import BuildResult
-from shardloom.sinks.files import delete_path, read_manifest, read_versions, write_versions
+from shardloom.sinks.files import delete_path, one_path, read_manifest, read_versions, refused_counts, write_versions
 from shardloom.spec import BuildSpec
 
 
@@ -49,9 +49,13 @@ def cut_over(spark: SparkSession, idx: str, alias: str, manifest_path: str,
              aliases: DataFrame, versions: DataFrame, retention_days: int = -2,
              expected_docs: int | None = None,
              settings: Mapping[str, str] | None = None, view: bool = True,
-             work_dir: str | None = None) -> CutoverResult:
+             work_dir: str | None = None, max_refused: int | None = None) -> CutoverResult:
     """Move ``alias`` to version ``idx`` if it is healthy; close and expire older versions.
 
+    The gate also stays shut if the documents that are not deleted differ from
+    ``expected_docs``, or if the build refused more than ``max_refused`` rows; both numbers
+    are read from the manifest.  Every alias of the expired version goes with it.
+
     With ``work_dir`` the new tables are stored in its ``_versions`` folder, and the folder
     of the expired version is removed.
     """
@@ -60,7 +64,9 @@ def cut_over(spark: SparkSession, idx: str, alias: str, manifest_path: str,
     healthy = gate.first()["healthy"]
     newest = latest_generation(read_manifest(spark, manifest_path))
     if healthy and expected_docs is not None:
-        healthy = newest.agg(F.sum("docs").alias("n")).first()["n"] == expected_docs
+        healthy = newest.agg(F.sum(F.col("docs") - F.col("deleted")).alias("n")).first()["n"] == expected_docs
+    if healthy and max_refused is not None:
+        healthy = (refused_counts(newest).agg(F.sum("refused").alias("n")).first()["n"] or 0) <= max_refused
     if not healthy:
         none = one.select("idx").where(F.lit(False))
         return CutoverResult(False, aliases, versions, none, none)
@@ -72,12 +78,16 @@ def cut_over(spark: SparkSession, idx: str, alias: str, manifest_path: str,
         .select("idx").collect()  # one version at most: the name is made from ``idx``
     expired = spark.createDataFrame(gone, "idx string")
     left = lifecycle.version_expire(closed, one, retention_days)
+    lost = moved.join(expired, "idx", "left_semi").select("alias").collect()  # aliases of one version
+    moved = moved.join(expired, "idx", "left_anti").select("idx", "alias")
     if work_dir:
         state = versions_path(work_dir)
         write_versions(moved, left, state)
         moved, left = read_versions(spark, state)
     if view:
-        publish_view(spark, alias, newest.select("path").first()["path"], settings)
+        publish_view(spark, alias, one_path(newest), settings, one_path(newest, "deletes"))
+        for row in lost:
+            spark.sql(f"DROP VIEW IF EXISTS {view_name(row['alias'])}")
     if work_dir:
         for row in gone:
             delete_path(spark, f"{work_dir.rstrip('/')}/{row['idx']}")
@@ -89,7 +99,7 @@ def versions_path(work_dir: str) -> str:
 
 
 def publish(spark: SparkSession, spec: BuildSpec, result: BuildResult, retention_days: int = -2,
-            view: bool = True) -> CutoverResult:
+            view: bool = True, max_refused: int | None = None) -> CutoverResult:
     """Cut over to a build, with the alias and final settings its spec names and the alias
     and version tables stored in its work folder."""
     if not spec.alias:
@@ -98,15 +108,24 @@ def publish(spark: SparkSession, spec: BuildSpec, result: BuildResult, retention
     new = spark.range(1).select(F.lit(spec.index_name).alias("idx"), F.lit("open").alias("status"))
     versions = versions.join(new.select("idx"), "idx", "left_anti").select("idx", "status").unionByName(new)
     return cut_over(spark, spec.index_name, spec.alias, result.manifest_path, aliases, versions,
-                    retention_days, settings=spec.final_settings, view=view, work_dir=spec.work_dir)
+                    retention_days, settings=spec.final_settings, view=view, work_dir=spec.work_dir,
+                    max_refused=max_refused)
+
+
+def view_name(alias: str) -> str:
+    return "`" + alias.replace("`", "``") + "`"
 
 
 def publish_view(spark: SparkSession, alias: str, docs_path: str,
-                 settings: Mapping[str, str] | None = None) -> None:
-    """The alias as a catalog view, with the final settings as its properties."""
-    name = "`" + alias.replace("`", "``") + "`"
-    path = "`" + docs_path.replace("`", "``") + "`"
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.{path}")
+                 settings: Mapping[str, str] | None = None, deletes_path: str | None = None) -> None:
+    """The alias as a catalog view, without deleted documents, with the final settings as its properties."""
+    name, docs = view_name(alias), "parquet." + view_name(docs_path)
+    shown = f"SELECT * FROM {docs}"
+    if deletes_path:
+        shown = (f"SELECT * EXCEPT (ord) FROM (SELECT *, _metadata.row_index AS ord FROM {docs}) d LEFT ANTI JOIN "
+                 f"(SELECT shard, segment, explode(ords) AS ord FROM parquet.{view_name(deletes_path)}) x "
+                 "ON d.shard = x.shard AND d.segment = x.segment AND d.ord = x.ord")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {shown}")
     for key, value in (settings or {}).items():
         quoted = [str(x).replace("\\", "\\\\").replace("'", "\\'") for x in (key, value)]
         spark.sql(f"ALTER VIEW {name} SET TBLPROPERTIES ('{quoted[0]}' = '{quoted[1]}')")

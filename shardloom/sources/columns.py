@@ -10,7 +10,8 @@ from shardloom.functions.names import quoted
 FIELD = "shardloom.field"  # metadata key: the field that a renamed column stands for
 
 # names that placement and intake put beside the source columns; Spark does not tell cases apart
-RESERVED = frozenset({"doc_id", "shard", "segment", "slot", "_dynamic", "_rank", "_bad", "_malformed", "_tie"})
+RESERVED = frozenset({"doc_id", "shard", "segment", "slot", "_dynamic", "_rank", "_bad", "_malformed", "_tie",
+                      "row", "refused", "reason", "fields"})
 
 
 def field_of(f: T.StructField) -> str:
@@ -27,10 +28,14 @@ def sheltered(df: DataFrame) -> DataFrame:
     The operators on documents and fields go by ``field_of``, so a renamed column still
     gives the field it is called after.
     """
-    columns = []
+    columns, taken = [], {f.name.lower() for f in df.schema.fields}
     for i, f in enumerate(df.schema.fields):
         if f.name.lower() in RESERVED or not re.fullmatch(r"\w+", f.name):
-            columns.append(column_of(f).alias(f"_column_{i}", metadata={FIELD: field_of(f)}))
+            free = f"_column_{i}"
+            while free in taken:
+                free = f"_{free}"
+            taken.add(free)
+            columns.append(column_of(f).alias(free, metadata={FIELD: field_of(f)}))
         else:
             columns.append(column_of(f))
     return df.select(*columns)

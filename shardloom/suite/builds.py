@@ -6,9 +6,10 @@ import uuid
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shardloom.plans import BuildResult, build_index, publish
+from shardloom.operators.segments import latest_generation
+from shardloom.plans import BuildResult, build_index, delete_documents, merge_shards, publish
 from shardloom.session import shared_dir
-from shardloom.sinks import read_manifest, read_published, read_versions
+from shardloom.sinks import read_manifest, read_published, read_versions, refused_counts
 from shardloom.sources import mapping_fields, read_mapping
 from shardloom.spec import BuildSpec
 from shardloom.suite import fixtures as fx
@@ -81,6 +82,91 @@ def index_build_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_manifest(spark, result.manifest_path).select("shard", "segment", "docs", "generation")
 
 
+@query("manifest_refused", f"""WITH {_RANKED_SQL}
+    SELECT CAST(1 AS BIGINT) AS generation, 'repeated id' AS reason, count(*) AS refused FROM ranked WHERE rn > 1""")
+def manifest_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refused rows by reason as the build counted them, without its rejects table."""
+    result = build_index(spark, _lines(spark, sf_dir), with_postings=False)
+    return refused_counts(read_manifest(spark, result.manifest_path))
+
+
+@query("manifest_refused_reasons", """
+    SELECT CASE WHEN event_id % 5 = 0 THEN 'malformed json' ELSE 'repeated id' END AS reason, count(*) AS refused
+    FROM events, (SELECT 1 UNION ALL SELECT 2) twice(n) WHERE event_id % 5 = 0 OR n = 2 GROUP BY ALL""")
+def manifest_refused_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row comes twice, and the texts of a fifth are no JSON objects."""
+    rows = fx.table(spark, sf_dir, "events").selectExpr(
+        "event_id", "case when event_id % 5 = 0 then substr(props, 1, length(props) - 1) else props end props",
+        "explode(array(1, 2)) copy")
+    result = build_index(spark, _spec(spark, rows, "events", id_field="event_id", json_source="props",
+                                      order_by=("copy",)), with_postings=False)
+    return refused_counts(read_manifest(spark, result.manifest_path)).select("reason", "refused")
+
+
+_MANY = 12  # segments of a shard, so that the tenth comes before the second in manifest order
+
+_MERGED_SQL = f"""{_RANKED_SQL.replace(f'% {SEGMENTS} AS', f'% {_MANY} AS')},
+numbered AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY concat('p_', segment), id) - 1 AS ord FROM firsts),
+terms AS (SELECT shard, ord, 'pri_key' AS field, id AS term FROM numbered
+    UNION ALL SELECT shard, ord, 'shard', CAST(l_linenumber AS VARCHAR) FROM numbered
+    UNION ALL SELECT shard, ord, 'Segment', CAST(l_partkey AS VARCHAR) FROM numbered
+    UNION ALL SELECT shard, ord, 'slot', CAST(l_suppkey AS VARCHAR) FROM numbered
+    UNION ALL SELECT shard, ord, 'doc_id', l_returnflag FROM numbered
+    UNION ALL SELECT shard, ord, 'a.b', l_linestatus FROM numbered)"""
+
+
+@query("merged_postings", f"""WITH {_MERGED_SQL}
+    SELECT shard, field, term, CAST(ord // 100 AS BIGINT) AS block, CAST(count(*) AS INTEGER) AS df,
+           string_agg(CAST(ord AS VARCHAR), ',' ORDER BY ord) AS ords FROM terms GROUP BY ALL""")
+def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A shard's postings made from those of its segments, as if its documents were one list."""
+    spec = _lines(spark, sf_dir, postings_block=100, partition_multiples=_MANY)
+    result = build_index(spark, spec)
+    path = merge_shards(spark, spec, result.postings_path, result.manifest_path)
+    return spark.read.parquet(path).select("shard", "field", "term", "block", "df", F.array_join(
+        F.col("ords").cast("array<string>"), ",").alias("ords"))
+
+
+def _after_deletes(spark: SparkSession, sf_dir: str) -> str:
+    """Manifest path of a build of which two sets of ids, not disjoint, were deleted."""
+    result = build_index(spark, _lines(spark, sf_dir), with_postings=False)
+    ids = fx.table(spark, sf_dir, "lineitem").selectExpr("cast(l_orderkey as string) doc_id", "l_orderkey n")
+    for divisor in (7, 11):
+        delete_documents(spark, result.manifest_path, ids.where(F.col("n") % divisor == 0).select("doc_id"), block=10)
+    return result.manifest_path
+
+
+@query("documents_deleted", f"""WITH {_RANKED_SQL}
+    SELECT id AS doc_id, doc_json, shard, segment FROM firsts WHERE l_orderkey % 7 <> 0 AND l_orderkey % 11 <> 0""")
+def documents_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_published(spark, _after_deletes(spark, sf_dir)).select("doc_id", "doc_json", "shard", "segment")
+
+
+@query("manifest_deleted", f"""WITH {_RANKED_SQL},
+    counts AS (SELECT shard, segment, count(*) AS docs,
+                 count(*) FILTER (WHERE l_orderkey % 7 = 0 OR l_orderkey % 11 = 0) AS deleted FROM firsts GROUP BY ALL)
+    SELECT *, CAST(sum(docs) OVER (PARTITION BY shard) AS BIGINT) AS shard_docs,
+           CAST(sum(deleted) OVER (PARTITION BY shard) AS BIGINT) AS shard_deleted, CAST(3 AS BIGINT) AS generation
+    FROM counts""")
+def manifest_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deletions are a generation of their own; the documents stay where they are."""
+    newest = latest_generation(read_manifest(spark, _after_deletes(spark, sf_dir)))
+    return newest.select("shard", "segment", "docs", "deleted", "shard_docs", "shard_deleted", "generation")
+
+
+@query("index_build_clashes", f"""WITH {_RANKED_SQL}
+    SELECT id AS doc_id, concat('{{"_column_0":"', l_linestatus, '","_column_1":', l_suppkey, ',"a.b":"', l_returnflag,
+               '","pri_key":"', id, '","refused":', l_partkey, ',"row":', l_linenumber, '}}') AS doc_json FROM firsts""")
+def index_build_clashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns called like those that a build puts beside them, and like renamed ones."""
+    rows = fx.table(spark, sf_dir, "lineitem").selectExpr(
+        "cast(l_orderkey as string) pri_key", "l_linenumber `row`", "l_partkey `refused`", "l_suppkey `_column_1`",
+        "l_returnflag `a.b`", "l_linestatus `_column_0`")
+    spec = _spec(spark, rows, "clashes", id_field="pri_key", order_by=("row", "refused", "_column_1", "a.b", "_column_0"))
+    result = build_index(spark, spec, with_postings=False)
+    return read_published(spark, result.manifest_path).select("doc_id", "doc_json")
+
+
 @query("index_build_bulk", f"""WITH {_RANKED_SQL},
     lines AS (SELECT *, strlen(concat('{{"create":{{"_id":"', id, '"}}}}', chr(10), doc_json)) AS size FROM firsts),
     sized AS (SELECT *, row_number() OVER w - 1 AS n, sum(size) OVER w - size AS before FROM lines
@@ -176,3 +262,19 @@ def index_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
         one = read_manifest(spark, path).agg(F.sum("docs").alias("docs")).select(F.lit(idx).alias("idx"), "docs")
         stored = one if stored is None else stored.unionByName(one)
     return versions.join(stored, "idx").join(aliases, "idx", "left").select("idx", "status", "alias", "docs")
+
+
+@query("index_publish_aliases", """
+    SELECT * FROM (VALUES ('orders_20240116', 'orders_now'), ('orders_20240115', 'orders_old')) v(idx, alias)
+    WHERE (SELECT count(*) FROM orders) > 0""")
+def index_publish_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A version that expires takes its other aliases along; those of a closed version stay."""
+    spec = _orders(spark, sf_dir, alias="orders_now")
+    for day, aliases in (("20240114", ("orders_now", "orders_first")), ("20240115", ("orders_now", "orders_old")),
+                         ("20240116", ("orders_now",))):
+        for alias in aliases:
+            today = BuildSpec(**{**spec.__dict__, "index_name": f"orders_{day}", "alias": alias})
+            if alias == aliases[0]:
+                result = build_index(spark, today, with_postings=False)
+            publish(spark, today, result, view=False)
+    return read_versions(spark, f"{spec.work_dir}/_versions")[0].select("idx", "alias")

@@ -158,7 +158,7 @@ def manifest_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     for bundles in (found.where("segment > 0"), found):
         rows = segment_manifest(bundles, next_generation(spark, path)).withColumn("path", F.lit("docs"))
         commit_manifest(rows, path)
-    return latest_generation(read_manifest(spark, path)).drop("path")
+    return latest_generation(read_manifest(spark, path)).drop("path", "deletes", "refused")
 
 
 @query("shard_empty", f"""
