@@ -39,6 +39,31 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class BitMap:
+    """A set of 64-bit hashes as a bit map of fixed size, for use inside tasks.
+
+    It may hold more than was put in, never less, so an exact step has to follow.  At most
+    ``bits / 64`` rows come to the driver, whatever the table holds.
+    """
+
+    def __init__(self, hashes: DataFrame, bits: int = 1 << 26):
+        self.last = np.uint64(bits - 1)
+        both = F.array(*[F.shiftrightunsigned("hash", by).bitwiseAND(F.lit(bits - 1)) for by in (0, 32)])
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("bit", F.lit(64)).cast("int"))
+        found = (hashes.select(F.explode(both).alias("bit")).groupBy(F.shiftright("bit", 6).alias("at"))
+                 .agg(F.bit_or(bit).alias("set")).toPandas())
+        packed = np.zeros(bits >> 6, np.uint64)
+        packed[found["at"].to_numpy(np.int64)] = found["set"].to_numpy(np.int64).view(np.uint64)
+        self.shared = hashes.sparkSession.sparkContext.broadcast(packed)
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        packed, out = self.shared.value, np.ones(len(hashes), bool)
+        for by in (0, 32):
+            bit = (hashes >> np.uint64(by)) & self.last
+            out &= (packed[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
+        return out
+
+
 def fold(doc_id: str, modulus: int):
     """crc32 of the id's decimal text, modulo ``modulus``."""
     return F.crc32(F.col(doc_id).cast("string")) % modulus

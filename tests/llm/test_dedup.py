@@ -192,3 +192,20 @@ def test_longest_texts(spark):
     long = prose(7, 30_000)
     found = suffixes.spans(frame(spark, [(12, long), (13, long)])).collect()
     assert {(r.doc_id, r.first, r.last, r.original) for r in found} == {(12, 0, 30_000, True), (13, 0, 30_000, False)}
+
+
+def test_passages_in_rows_without_id(spark):
+    passage = prose(77, 60)
+    rows = [(None, prose(1, 10) + " " + passage), (3, passage + " " + prose(2, 10)), (None, prose(1, 10) + " " + passage)]
+    found = {(r.doc_id, r.first, r.last, r.original) for r in suffixes.spans(frame(spark, rows)).collect()}
+    assert found == {(suffixes.NOBODY, 10, 70, True), (3, 0, 60, False)}
+    assert sorted(len(r.text.split()) for r in suffixes.drop_repeats(frame(spark, rows)).collect()) == [10, 70, 70]
+
+
+def test_words_whose_letters_follow_a_pattern_are_told_apart(spark):
+    """Two words of 1,024 letters whose polynomials over the letters are equal modulo 2**64."""
+    signs = [bin(i).count("1") % 2 for i in range(1024)]
+    one, other = ("".join("ab"[s ^ flip] for s in signs) for flip in (0, 1))
+    left, right = prose(5, 49), prose(6, 49)
+    rows = [(1, f"{left} {one} {right}"), (2, f"{left} {other} {right}")]
+    assert suffixes.spans(frame(spark, rows)).count() == 0
