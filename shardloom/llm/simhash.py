@@ -116,8 +116,11 @@ def near_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def spanning(prints: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     """A spanning tree of the links among the fingerprints, as two arrays of places."""
-    links = near(prints, radius)
-    n = len(prints)
+    return tree(near(prints, radius), len(prints))
+
+
+def tree(links: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning tree of the links that a packed matrix of ``n`` rows gives."""
     fresh = np.packbits(np.pad(np.ones(n, np.uint8), (0, -n % 64)), bitorder="little").view(np.uint64)
     left, right = [], []
     done = np.zeros(n, bool)
@@ -205,9 +208,14 @@ def drop_near_copies(docs: DataFrame, words: int = WORDS, block: int = BLOCK) ->
     """
     held = texts(docs).withColumn("digest", F.md5("text"))
     prints = stored(fingerprints(held, words), "prints")
-    roots = _roots(prints, block).select("print", "root")
+    return one_of_each(docs, prints.join(_roots(prints, block).select("print", "root"), "print"))
+
+
+def one_of_each(docs: DataFrame, placed: DataFrame) -> DataFrame:
+    """``docs`` with one row of each ``root`` of ``placed``, whose ``doc_id, digest`` name a
+    row: smallest id first, rows without id last, then the smallest digest."""
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("best")
-    kept = stored(prints.join(roots, "print").groupBy("root").agg(best)
+    kept = stored(placed.groupBy("root").agg(best)
                   .select(F.coalesce("best.doc_id", F.lit(0)).alias("id"), "best.none", "best.digest"), "kept")
     key = ["id", "none", "digest"]
     rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
