@@ -3,9 +3,9 @@ from __future__ import annotations
 
 from shardloom.llm.common import stored, table
 from shardloom.llm.exact_dedup import drop_copies
+from shardloom.llm.near_copies import drop_near
 from shardloom.llm.packing import pack
 from shardloom.llm.quality import keep_good
-from shardloom.llm.simhash import drop_near_copies
 from shardloom.llm.suffixes import drop_repeats
 
 ORACLE_SQL = None  # a trained classifier and suffix matching are beyond SQL
@@ -22,8 +22,8 @@ def copies(spark, docs, sf_dir):
 
 
 def near_copies(spark, docs, sf_dir):
-    """Of each group of near-copies the row with the smallest id stays."""
-    return drop_near_copies(docs)
+    """Of each group of near copies (five words, Jaccard 0.8) the row with the smallest id stays."""
+    return drop_near(docs)
 
 
 def passages(spark, docs, sf_dir):
