@@ -2,11 +2,12 @@
 
 Documents are cut only where they exceed the window: whole windows first, then one rest.
 The histogram of the rests has at most ``WINDOW - 1`` lengths whatever the number of
-documents, so it alone is planned on the driver: all pairs and triples of present lengths
-that fill a window exactly (and near-fills for lengths without an exact one) are columns
-of a non-negative least-squares problem whose right side is the histogram; its solution is
-rounded down, and what is left of the histogram is packed greedily, largest first, a
-pattern as often as it goes.  The plan has a bounded number of rows.  A rest finds its
+documents, so it alone is planned, by one task: all pairs and triples of present lengths, the third
+up to ``DEPTH`` times, that fill a window exactly are columns of a non-negative
+least-squares problem whose right side is the histogram.  An active set solves it with at
+most about one positive column a length; repeats are rounded, sums over the columns of a
+common length to the nearest, within what is left, and what stays of the histogram is packed greedily, largest first, a pattern as often
+as it goes.  If that pass alone takes fewer sequences, it is the plan.  The plan has a bounded number of rows.  A rest finds its
 place from its rank among the rests of its length; ranks are counted in salted parts, so
 that a length which very many documents share is spread over tasks.
 
@@ -29,7 +30,7 @@ from shardloom.llm.tokens import MOST, encoder, slices, tokenizer_path
 
 WINDOW, END = 2048, 1
 PART = 512  # ranks are counted in parts of about so many pieces of one length
-COLUMNS = 20_000  # rounded columns kept in a plan; the greedy pass packs what they leave
+DEPTH = 6  # most repeats of one length in a combination beside two others
 SHAPE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, piece long"
 
 
@@ -56,69 +57,126 @@ def pieces(docs: DataFrame, window: int = WINDOW, path: str | None = None, most:
 
 
 def fills(lengths: np.ndarray, window: int) -> np.ndarray:
-    """Combinations of two or three of the lengths (0: none) that fill the window exactly;
-    for a length in no such pair or triple, the best pair."""
+    """Combinations that fill the window exactly, as rows ``a, b, c, k``: a length a, a length
+    b (0: none) and k times a length c (0: none), k up to ``DEPTH``, all of them present."""
     have = np.zeros(window + 1, bool)
     have[lengths] = True
     small = lengths[2 * lengths <= window]
     pairs = small[have[window - small]]
-    found = [np.stack([window - pairs, pairs, np.zeros_like(pairs)], 1)]
-    for c in lengths[3 * lengths <= window]:
-        b = lengths[(lengths >= c) & (2 * lengths <= window - c)]
-        b = b[have[window - c - b]]
-        found.append(np.stack([window - c - b, b, np.full_like(b, c)], 1))
-    found = np.concatenate(found)
-    used = np.zeros(window + 1, bool)
-    used[found.ravel()] = True
-    alone = lengths[~used[lengths]]
-    place = np.searchsorted(lengths, window - alone, "right") - 1
-    fit = place >= 0
-    near = np.stack([alone[fit], lengths[place[fit]], np.zeros_like(alone[fit])], 1)
-    return np.concatenate([found, near])
-
-
-def solve(columns: np.ndarray, counts: np.ndarray, rounds: int = 400) -> np.ndarray:
-    """Repeat counts ``x >= 0`` with least squared ``A x - counts``, by accelerated
-    projected gradients; ``A`` is kept as the lengths of each column."""
-    size = len(counts)
-
-    def times(x):
-        out = np.zeros(size)
-        for k in range(columns.shape[1]):
-            out += np.bincount(columns[:, k], x, size)
+    nothing = np.zeros_like(pairs)
+    found = [np.stack([window - pairs, pairs, nothing, nothing], 1)]
+    for k in range(1, DEPTH + 1):
+        for c in lengths[k * lengths < window]:
+            room = window - k * c
+            b = lengths[2 * lengths <= room]
+            b = b[have[room - b] & (b >= c if k == 1 else True)]
+            found.append(np.stack([room - b, b, np.full_like(b, c), np.full_like(b, k)], 1))
+            if k > 1 and have[room]:
+                found.append(np.array([[room, 0, c, k]]))
+    return np.concatenate(found)
+
+
+def solve(columns: np.ndarray, counts: np.ndarray, rounds: int = 200, rest: float = 0.03) -> np.ndarray:
+    """Repeat counts ``x >= 0`` with least squared ``A x - counts`` by an active set.
+
+    A round adds the columns of steepest descent that share no length, solves for all columns
+    in the set, and drops those that come out negative; if that does not lower the error, it
+    steps towards the solution only as far as no count turns negative.  At most about one
+    column a length is positive.  It ends when no column descends, or at a residual of
+    ``rest`` of all pieces, which the greedy pass packs anyway.
+    """
+    x = np.zeros(len(columns))
+    counts = counts.astype(float)
+    counts[0] = 0
+    if not len(columns):
+        return x
+    a, b, c, k = columns.T
+    norm = np.sqrt((a > 0) + (b > 0) + (c > 0) * k.astype(float) ** 2)
+
+    def dense(some: np.ndarray) -> np.ndarray:
+        out, at = np.zeros((len(counts), len(some))), np.arange(len(some))
+        for lengths, times in ((a, 1.0), (b, 1.0), (c, k[some])):
+            np.add.at(out, (lengths[some], at), times)
         out[0] = 0
         return out
 
-    def turned(y):
-        y = y.copy()
-        y[0] = 0
-        return y[columns].sum(1)
+    def fit(some: np.ndarray) -> np.ndarray:
+        return np.linalg.solve(gram[np.ix_(some, some)] + 1e-9 * np.eye(len(some)), aim[some])
 
-    if not len(columns):
-        return np.zeros(0)
-    v = np.ones(len(columns))
-    for _ in range(20):  # largest eigenvalue of A'A
-        v = turned(times(v))
-        norm = np.linalg.norm(v)
-        v /= norm
-    x = y = np.zeros(len(columns))
-    t = 1.0
+    chosen, held = np.zeros(0, np.int64), np.zeros((len(counts), 0))
+    gram, error, single = np.zeros((0, 0)), float(counts @ counts), False
     for _ in range(rounds):
-        new = np.maximum(0, y - turned(times(y) - counts) / (1.02 * norm))
-        t, last = (1 + (1 + 4 * t * t) ** 0.5) / 2, t
-        y, x = new + (last - 1) / t * (new - x), new
+        left = counts - held @ x[chosen]
+        if np.abs(left).sum() <= rest * counts.sum():
+            break
+        slope = (left[a] + left[b] + k * left[c]) / norm
+        slope[chosen] = 0
+        steep = np.argpartition(-slope, min(20_000, len(slope) - 1))[:20_000]  # enough to choose a round's columns from
+        steep = steep[slope[steep] > 1e-6 * counts.max()]
+        new, used = [], {0}
+        for j in steep[np.argsort(-slope[steep], kind="stable")].tolist():
+            mine = {int(a[j]), int(b[j]), int(c[j])} - {0}
+            if not mine & used:
+                used |= mine
+                new.append(j)
+                if single:
+                    break
+        if not new:
+            break
+        more = dense(np.array(new))
+        cross = held.T @ more
+        gram = np.block([[gram, cross], [cross.T, more.T @ more]])
+        chosen, held = np.append(chosen, new), np.concatenate([held, more], 1)
+        aim, now = held.T @ counts, x[chosen]
+        some = np.arange(len(chosen))
+        while len(some) and ((z := fit(some)) <= 0).any():
+            some = some[z > 0]
+        reached = np.zeros(len(chosen))
+        reached[some] = z if len(some) else 0
+        lower = float(((counts - held @ reached) ** 2).sum())
+        if lower >= error * (1 - 1e-9):
+            some, reached = np.arange(len(chosen)), now
+            while len(some) and ((z := fit(some)) <= 0).any():
+                was, bad = reached[some], z <= 0
+                step = (was[bad] / np.maximum(was[bad] - z[bad], 1e-300)).min()
+                reached[some] = np.maximum(was + step * (z - was), 0)
+                gone = bad & (reached[some] <= 1e-9 * max(1.0, reached.max()))
+                reached[some[gone]] = 0
+                some = some[~gone]
+            if len(some):
+                reached[some] = z
+            lower = float(((counts - held @ reached) ** 2).sum())
+            if single and lower >= error * (1 - 1e-12):
+                break
+            single = lower >= error * (1 - 1e-9)
+        else:
+            single = False
+        error = min(error, lower)
+        x[chosen] = reached
+        chosen, held, gram = chosen[some], held[:, some], gram[np.ix_(some, some)]
     return x
 
 
-def plan(histogram: dict[int, int], window: int = WINDOW) -> list[tuple[int, int, int, int, int]]:
+def plan(histogram: dict[int, int], window: int = WINDOW, greedy: bool = True) -> list[tuple[int, int, int, int, int]]:
     """Rows ``length, first, count, sequence, offset``: the pieces of that length with
-    ranks from ``first`` on lie at ``offset`` of the sequences from ``sequence`` on."""
+    ranks from ``first`` on lie at ``offset`` of the sequences from ``sequence`` on.  Without
+    ``greedy`` only those in columns of the least-squares solution are given.  Where lengths
+    have few pieces each, rounding can leave long ones without their short partners: if the
+    greedy pass alone takes fewer sequences, its rows are given."""
     counts = np.zeros(window + 1, np.int64)
     for length, n in histogram.items():
         counts[length] = n
-    lengths = np.flatnonzero(counts)
-    columns = fills(lengths, window)
+    columns = fills(np.flatnonzero(counts), window)
     repeats = solve(columns, counts.astype(float))
+    rows = _laid_out(counts, columns, repeats, window, greedy)
+    if not greedy:
+        return rows
+    plain = _laid_out(counts, columns, np.zeros_like(repeats), window, True)
+    return min(rows, plain, key=lambda rows: max((r[3] + r[2] for r in rows), default=0))
+
+
+def _laid_out(counts: np.ndarray, columns: np.ndarray, repeats: np.ndarray, window: int,
+              greedy: bool) -> list[tuple[int, int, int, int, int]]:
     left, taken = counts.copy(), np.zeros(window + 1, np.int64)
     rows: list[tuple[int, int, int, int, int]] = []
     sequence = 0
@@ -136,12 +194,17 @@ def plan(histogram: dict[int, int], window: int = WINDOW) -> list[tuple[int, int
     def most(pattern: list[int]) -> int:
         return min(int(left[length]) // pattern.count(length) for length in set(pattern))
 
-    whole = np.floor(repeats + 1e-6)
-    for i in np.argsort(-whole, kind="stable")[:COLUMNS]:
-        pattern = [int(c) for c in columns[i] if c]
-        if whole[i] >= 1 and (times := min(int(whole[i]), most(pattern))):
+    used = np.flatnonzero(repeats)
+    # columns of one common length are rounded together: many of 0.4 each would all be lost
+    common = np.take_along_axis(columns[used, :3], counts[columns[used, :3]].argmax(1)[:, None], 1)[:, 0]
+    used = used[np.argsort(common, kind="stable")]
+    whole = dict(zip(used.tolist(), np.diff(np.rint(np.cumsum(repeats[used])), prepend=0).tolist()))
+    for i in sorted(whole, key=lambda i: -whole[i]):
+        one, two, many, k = columns[i].tolist()
+        pattern = [one, *[two] * (two > 0), *[many] * k]
+        if times := min(int(whole[i]), most(pattern)):
             put(pattern, times)
-    while left.any():
+    while greedy and left.any():
         pattern, room = [], window
         spare = left.copy()
         while room and (fit := np.flatnonzero(spare[:room + 1])).size:
@@ -165,8 +228,16 @@ def pack(docs: DataFrame, window: int = WINDOW, path: str | None = None, most: i
         "*", (2 * F.col("piece") + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     rests = cut.filter(F.col("length") < window)
     histogram = {r["length"]: r["count"] for r in rests.groupBy("length").count().collect()}
-    placed = plan(histogram, window)
     spark = docs.sparkSession
+
+    def planned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = {k: n for batch in batches for k, n in zip(batch["length"].tolist(), batch["n"].tolist())}
+        rows = np.array(plan(counts, window), np.int64).reshape(-1, 5)
+        yield pd.DataFrame(rows, columns=["length", "first", "times", "sequence", "offset"])
+
+    # in a task, whose linear algebra keeps to one thread; at most a row a length goes in
+    placed = (spark.createDataFrame(list(histogram.items()), "length long, n long").coalesce(1)
+              .mapInPandas(planned, "length long, first long, times long, sequence long, offset long").collect())
     shares = spark.createDataFrame([(k, -(-n // PART)) for k, n in histogram.items()], "length long, parts long")
     parted = rests.join(F.broadcast(shares), "length").withColumn("part", F.pmod(F.xxhash64("piece"), F.col("parts")))
     parts = parted.groupBy("length", "part").agg(F.count("*").alias("n"))
@@ -175,8 +246,8 @@ def pack(docs: DataFrame, window: int = WINDOW, path: str | None = None, most: i
     inside = Window.partitionBy("length", "part").orderBy("piece")
     ranked = (parted.withColumn("rank", F.row_number().over(inside) - 1).join(bases, ["length", "part"])
               .select(*[c.split()[0] for c in SHAPE.split(", ")], (F.col("rank") + F.col("base")).alias("rank")))
-    ordered = np.array(sorted(placed), np.int64).reshape(-1, 5)
-    shared = spark.sparkContext.broadcast(ordered)  # bounded by the window and COLUMNS
+    ordered = np.array(sorted(map(tuple, placed)), np.int64).reshape(-1, 5)
+    shared = spark.sparkContext.broadcast(ordered)  # bounded by the window
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = shared.value

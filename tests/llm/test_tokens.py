@@ -97,13 +97,24 @@ def test_plan_holds_every_piece_once(seed, n):
     used = sum(k * v for k, v in histogram.items())
     sequences = max(sequence + times for _, _, times, sequence, _ in rows)
     assert n < 1000 or used / (2048 * sequences) > 0.99
+    if n == 200_000:
+        assert sum(times for _, _, times, _, _ in packing.plan(histogram, greedy=False)) >= 0.9 * n
+
+
+def test_combinations_fill_the_window():
+    lengths = np.array([1, 5, 100, 300, 648, 700, 1024, 1448, 1948])
+    rows = packing.fills(lengths, 2048)
+    assert (rows[:, 0] + rows[:, 1] + rows[:, 2] * rows[:, 3] == 2048).all()
+    bags = [tuple(sorted([a, *[b] * (b > 0), *[c] * k])) for a, b, c, k in rows.tolist()]
+    want = [(100, 1948), (300, 300, 1448), (1024, 1024), (648, 700, 700), (100, 100, 100, 300, 1448)]
+    assert set(want) <= set(bags)
 
 
 def test_solve_reaches_an_exact_fit():
-    columns = np.array([[1448, 600, 0], [1024, 1024, 0], [700, 700, 648]])
+    columns = np.array([[1448, 600, 0, 0], [1024, 1024, 0, 0], [648, 0, 700, 2]])
     counts = np.zeros(2049)
     counts[[1448, 600, 1024, 700, 648]] = [30, 30, 80, 50, 25]
-    assert np.allclose(packing.solve(columns, counts, 2000), [30, 40, 25], atol=0.1)
+    assert np.allclose(packing.solve(columns, counts), [30, 40, 25], atol=0.1)
 
 
 def likeness_rows(spark, rows):
