@@ -5,11 +5,12 @@ is run again after a failure replaces its result instead of adding to it.
 """
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.errors import AnalysisException
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from shardloom.streaming.intake import NO_AGE
 
@@ -48,41 +49,43 @@ def stream_state_events(spark: SparkSession, ledger: str, schema: T.StructType |
     """React to each state record of an index, in the order of ``order_by``.
 
     ``deleted`` forgets the index and is only logged; the first other record after that, or
-    after none at all, starts a build; a later ``completed`` marks it complete; any other is
-    only logged.  What is kept between batches is whether an index is open: one row per
-    index, read from the folder the batch before wrote.
-
-    ``order_by`` must tell the records of an index apart.
+    after none at all, starts a build; a later ``completed`` marks it complete; any other, a
+    null state too, is only logged.  What is kept between batches is whether an index is
+    open: one key per index in the state store, of which a batch writes only those it
+    touches.  The store passes the records through chunk by chunk and remembers the newest
+    alone, so that an index with very many records needs no more memory than others; their
+    order inside a batch is a window's, which spills.
+
+    ``order_by`` must tell the records of an index apart, and no column may be called
+    ``_open``.
     """
-    records = _stream(spark, ledger, schema, max_files)
-    gone = F.lower("state") == "deleted"
+    order = list(order_by)
+    records = _stream(spark, ledger, schema, max_files).select("idx", "state", *order)
+    passed = T.StructType([*records.schema.fields, T.StructField("_open", T.BooleanType())])
+
+    def remember(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        was_open = state.get[0] if state.exists else False
+        newest = None
+        for chunk in chunks:
+            both = chunk if newest is None else pd.concat([newest, chunk], ignore_index=True)
+            newest = both.sort_values(order, na_position="first", kind="stable").tail(1)
+            yield chunk.assign(_open=was_open)
+        if newest is not None:
+            last = newest["state"].iloc[0]
+            state.update((not (isinstance(last, str) and last.lower() == "deleted"),))
+
+    opened = records.groupBy("idx").applyInPandasWithState(
+        remember, passed, "open boolean", "append", GroupStateTimeout.NoTimeout)
+    gone = F.coalesce(F.lower("state") == "deleted", F.lit(False))
 
     def react(rows: DataFrame, batch: int) -> None:
-        before = Window.partitionBy("idx").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
-        states = _open_indexes(spark, target, batch)
+        before = Window.partitionBy("idx").orderBy(*order)
         # the record before decides: an index is open unless it was deleted or never seen
-        last = F.last(gone).over(before)
-        is_open = F.coalesce(~last, F.coalesce("open", F.lit(False)))
+        is_open = F.coalesce(~F.lag(gone).over(before), "_open")
         action = F.when(gone, "log").when(~is_open, "build") \
             .when(F.lower("state") == "completed", "complete").otherwise("log")
-        rows.join(states, "idx", "left").select("idx", "state", *order_by, action.alias("action")) \
+        rows.select("idx", "state", *order, action.alias("action")) \
             .write.mode("overwrite").parquet(f"{target}/events/batch={batch}")
-        newest = rows.groupBy("idx").agg((~F.max_by(gone, F.struct(*order_by))).alias("now"))
-        states.join(newest, "idx", "full").select("idx", F.coalesce("now", "open").alias("open")) \
-            .write.mode("overwrite").parquet(f"{target}/open/batch={batch}")
-
-    return records.writeStream.foreachBatch(react).option("checkpointLocation", checkpoint) \
-        .trigger(availableNow=True).start()
-
-
-def _open_indexes(spark: SparkSession, target: str, batch: int) -> DataFrame:
-    """(idx, open) as the batch before left it."""
-    schema = "idx string, open boolean"
-    if batch == 0:
-        return spark.createDataFrame([], schema)
-    try:
-        return spark.read.schema(schema).parquet(f"{target}/open/batch={batch - 1}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+
+    return opened.writeStream.outputMode("append").foreachBatch(react) \
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
