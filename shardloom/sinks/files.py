@@ -27,7 +27,8 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(context._jsc.hadoopConfiguration()), target
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The Parquet files in ``path``, or no rows where there is no such folder."""
     files, target = _file_system(spark, path)
     return spark.read.schema(schema).parquet(path) if files.exists(target) else spark.createDataFrame([], schema)
 
@@ -67,7 +68,7 @@ def write_mapping(mapping_json: DataFrame, path: str) -> None:
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    return _read_or_empty(spark, path, MANIFEST_SCHEMA)
+    return read_or_empty(spark, path, MANIFEST_SCHEMA)
 
 
 def next_generation(spark: SparkSession, path: str) -> int:
@@ -170,14 +171,14 @@ def append_state(spark: SparkSession, path: str, idx: str, state: str, num_shard
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    return _read_or_empty(spark, path, LEDGER_SCHEMA)
+    return read_or_empty(spark, path, LEDGER_SCHEMA)
 
 
 def write_versions(aliases: DataFrame, versions: DataFrame, path: str) -> int:
     """Alias and version tables as a new generation below ``path``; the row in ``commits``,
     written last, makes both visible at once."""
     spark = aliases.sparkSession
-    newest = _read_or_empty(spark, f"{path}/commits", "generation bigint").agg(F.max("generation")).first()[0]
+    newest = read_or_empty(spark, f"{path}/commits", "generation bigint").agg(F.max("generation")).first()[0]
     generation = claim(spark, f"{path}/claims", (newest or 0) + 1)
     aliases.write.mode("overwrite").parquet(f"{path}/generation={generation}/aliases")
     versions.write.mode("overwrite").parquet(f"{path}/generation={generation}/versions")
@@ -188,7 +189,7 @@ def write_versions(aliases: DataFrame, versions: DataFrame, path: str) -> int:
 
 def read_versions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Alias rows (idx, alias) and version rows (idx, status) as last stored."""
-    newest = _read_or_empty(spark, f"{path}/commits", "generation bigint").agg(F.max("generation")).first()[0]
+    newest = read_or_empty(spark, f"{path}/commits", "generation bigint").agg(F.max("generation")).first()[0]
     if newest is None:
         return (spark.createDataFrame([], "idx string, alias string"),
                 spark.createDataFrame([], "idx string, status string"))

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shardloom.operators import lifecycle
 from shardloom.session import shared_dir
 from shardloom.streaming import (
-    latest_from_updates, run_to_end, stream_bundles, stream_latest_states, stream_state_events,
+    latest_from_updates, run_to_end, stream_bundles, stream_bundles_once, stream_latest_states,
+    stream_state_events, taken_rows,
 )
 from shardloom.suite import fixtures as fx
 from shardloom.suite.registry import query
@@ -40,6 +41,19 @@ def intake(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("docs"), F.sum("o_custkey").alias("keys"))
 
 
+@query("stream_bundles_once", """
+    SELECT o_orderstatus, CAST(o_orderkey % 3 AS INTEGER) AS shard, count(*) AS docs,
+           CAST(sum(o_custkey) AS BIGINT) AS keys FROM orders GROUP BY ALL""")
+def intake_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs, the second on a new checkpoint that has forgotten what the first took."""
+    folder, target = shared_dir(spark, "landing"), shared_dir(spark, "taken")
+    for part in ("o_orderstatus <> 'P'", "o_orderstatus = 'P'"):
+        _land(spark, sf_dir, folder, part)
+        run_to_end(stream_bundles_once(spark, folder, _BUNDLE_SCHEMA, shared_dir(spark, "intake"), target))
+    return taken_rows(spark, target, _BUNDLE_SCHEMA).groupBy("o_orderstatus", "shard").agg(
+        F.count(F.lit(1)).alias("docs"), F.sum("o_custkey").alias("keys"))
+
+
 @query("stream_until_complete", """
     SELECT CAST(o_orderkey % 3 AS INTEGER) AS shard, count(*) AS docs, CAST(0 AS BIGINT) AS pending FROM orders GROUP BY ALL""")
 def until_complete(spark: SparkSession, sf_dir: str) -> DataFrame:

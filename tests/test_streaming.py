@@ -1,9 +1,11 @@
 """Intake and state streams over several runs."""
 import pytest
+from pyspark.sql import functions as F
 
 from shardloom.session import shared_dir
 from shardloom.streaming import (
-    latest_from_updates, run_to_end, stream_bundles, stream_latest_states, stream_state_events,
+    latest_from_updates, read_taken, run_to_end, stream_bundles, stream_bundles_once, stream_latest_states,
+    stream_state_events, taken_rows,
 )
 from shardloom.suite import fixtures as fx
 
@@ -29,6 +31,29 @@ def test_each_bundle_is_taken_once(spark):
     assert taken.select("bundle").distinct().count() == 2
 
 
+def test_a_lost_checkpoint_takes_no_row_twice(spark):
+    folder, target, checkpoint = (shared_dir(spark, p) for p in ("landing", "taken", "checkpoint"))
+    spark.range(10).coalesce(1).write.mode("append").parquet(folder)
+    run_to_end(stream_bundles_once(spark, folder, "id bigint", checkpoint, target))
+    fx.put_file(spark, f"{folder}/p2.parquet", "")
+    spark.range(10, 15).coalesce(1).write.mode("append").parquet(folder)
+    for at in (checkpoint, checkpoint, shared_dir(spark, "checkpoint"), shared_dir(spark, "checkpoint")):
+        run_to_end(stream_bundles_once(spark, folder, "id bigint", at, target))
+    taken = taken_rows(spark, target, "id bigint")
+    assert sorted(r["id"] for r in taken.collect()) == list(range(15)) and taken.columns == ["id", "bundle"]
+    assert read_taken(spark, target).count() == 2
+
+
+def test_a_batch_that_broke_off_is_not_read(spark):
+    folder, target = shared_dir(spark, "landing"), shared_dir(spark, "taken")
+    spark.range(5).coalesce(1).write.mode("append").parquet(folder)
+    # rows that a run wrote before it could record them, and its checkpoint lost
+    spark.read.parquet(folder).select("id", F.col("_metadata.file_path").alias("bundle")) \
+        .write.parquet(f"{target}/rows/run=gone/batch=0")
+    run_to_end(stream_bundles_once(spark, folder, "id bigint", shared_dir(spark, "checkpoint"), target))
+    assert sorted(r["id"] for r in taken_rows(spark, target, "id bigint").collect()) == list(range(5))
+
+
 def test_latest_state_over_runs(spark):
     folder, target, checkpoint = (shared_dir(spark, p) for p in ("ledger", "states", "checkpoint"))
     land(spark, folder, [("a", "started", 1), ("b", "started", 2), ("a", "completed", 3)])
