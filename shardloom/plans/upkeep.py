@@ -1,16 +1,19 @@
-"""Work on a published index without building it anew: deletions, merged shard postings.
+"""Work on a published index without building it anew: deletions, merged postings, statistics.
 
-Both go by the stored files alone.  A deletion is a list of ordinals per segment, written
+All go by the stored files alone.  A deletion is a list of ordinals per segment, written
 below ``deletes/generation=<g>`` and named by a new segment list over the same documents;
 ``read_published`` and the alias view leave those rows out.  Older generations keep what
 they were.
 """
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shardloom.operators.postings import merged_postings
 from shardloom.operators.segments import latest_generation
+from shardloom.operators.statistics import merged_statistics, segment_statistics
 from shardloom.session import prepare
 from shardloom.sinks.files import (
     claim_generation, commit_manifest, numbered, one_path, read_deletes, read_manifest,
@@ -62,3 +65,24 @@ def merge_shards(spark: SparkSession, spec: BuildSpec, postings_path: str, manif
         .repartition("shard", "field", "term").sortWithinPartitions("shard", "field", "term", "block") \
         .write.mode("overwrite").partitionBy("shard").parquet(path)
     return path
+
+
+def store_statistics(spark: SparkSession, spec: BuildSpec, postings_path: str) -> str:
+    """Store the statistics of every segment beside its generation's postings; gives the folder.
+
+    A pass over the posting blocks; no document is read.  Deleted documents still count, as
+    in the postings.
+    """
+    prepare(spark)
+    path = f"{spec.index_path}/statistics/{postings_path.rstrip('/').rsplit('/', 1)[1]}"
+    segment_statistics(spark.read.parquet(postings_path)).write.mode("overwrite").parquet(path)
+    return path
+
+
+def merged_field_stats(spark: SparkSession, paths: Sequence[str], keys: tuple[str, ...] = ("field",)) -> DataFrame:
+    """Statistics of all the indexes whose stored ones are in ``paths``, per ``keys``.
+
+    Reads a row per field and segment, neither documents nor postings.  A document or term
+    that two indexes hold counts in ``postings`` for each, in ``terms`` once.
+    """
+    return merged_statistics(spark.read.parquet(*paths), keys)

@@ -6,8 +6,11 @@ import uuid
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from shardloom.operators.postings import field_stats
 from shardloom.operators.segments import latest_generation
-from shardloom.plans import BuildResult, build_index, delete_documents, merge_shards, publish
+from shardloom.plans import (
+    BuildResult, build_index, delete_documents, merge_shards, merged_field_stats, publish, store_statistics,
+)
 from shardloom.session import shared_dir
 from shardloom.sinks import read_manifest, read_published, read_versions, refused_counts
 from shardloom.sources import mapping_fields, read_mapping
@@ -107,12 +110,12 @@ _MANY = 12  # segments of a shard, so that the tenth comes before the second in
 
 _MERGED_SQL = f"""{_RANKED_SQL.replace(f'% {SEGMENTS} AS', f'% {_MANY} AS')},
 numbered AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY concat('p_', segment), id) - 1 AS ord FROM firsts),
-terms AS (SELECT shard, ord, 'pri_key' AS field, id AS term FROM numbered
-    UNION ALL SELECT shard, ord, 'shard', CAST(l_linenumber AS VARCHAR) FROM numbered
-    UNION ALL SELECT shard, ord, 'Segment', CAST(l_partkey AS VARCHAR) FROM numbered
-    UNION ALL SELECT shard, ord, 'slot', CAST(l_suppkey AS VARCHAR) FROM numbered
-    UNION ALL SELECT shard, ord, 'doc_id', l_returnflag FROM numbered
-    UNION ALL SELECT shard, ord, 'a.b', l_linestatus FROM numbered)"""
+terms AS (SELECT shard, segment, ord, 'pri_key' AS field, id AS term FROM numbered
+    UNION ALL SELECT shard, segment, ord, 'shard', CAST(l_linenumber AS VARCHAR) FROM numbered
+    UNION ALL SELECT shard, segment, ord, 'Segment', CAST(l_partkey AS VARCHAR) FROM numbered
+    UNION ALL SELECT shard, segment, ord, 'slot', CAST(l_suppkey AS VARCHAR) FROM numbered
+    UNION ALL SELECT shard, segment, ord, 'doc_id', l_returnflag FROM numbered
+    UNION ALL SELECT shard, segment, ord, 'a.b', l_linestatus FROM numbered)"""
 
 
 @query("merged_postings", f"""WITH {_MERGED_SQL}
@@ -127,6 +130,35 @@ def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ords").cast("array<string>"), ",").alias("ords"))
 
 
+_STATISTICS_SQL = _MERGED_SQL + """,
+per_term AS (SELECT shard, segment, field, term, count(*) AS df FROM terms GROUP BY ALL)"""
+
+
+@query("segment_statistics", f"""WITH {_STATISTICS_SQL}
+    SELECT shard, segment, field, CAST(sum(df) AS BIGINT) AS postings, max(df) AS max_df, count(*) AS terms
+    FROM per_term GROUP BY ALL""")
+def statistics_of_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a build's segments hold, stored once."""
+    spec = _lines(spark, sf_dir, postings_block=100, partition_multiples=_MANY)
+    path = store_statistics(spark, spec, build_index(spark, spec).postings_path)
+    return spark.read.parquet(path).drop("sketch")
+
+
+@query("merged_field_stats", f"""WITH {_STATISTICS_SQL}
+    SELECT field, count(DISTINCT (shard, segment)) AS segments, CAST(sum(df) AS BIGINT) AS postings,
+           max(df) AS max_segment_df, true AS terms_within_2_percent FROM per_term GROUP BY field""")
+def merged_statistics_of_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index's fields from the statistics of its segments; distinct terms held against a
+    count over all postings."""
+    spec = _lines(spark, sf_dir, postings_block=100, partition_multiples=_MANY)
+    result = build_index(spark, spec)
+    merged = merged_field_stats(spark, [store_statistics(spark, spec, result.postings_path)])
+    exact = field_stats(spark.read.parquet(result.postings_path)).select("field", F.col("terms").alias("exact"))
+    close = F.abs(F.col("terms") - F.col("exact")) * 50 <= F.col("exact")
+    return merged.join(exact, "field").select(
+        "field", "segments", "postings", "max_segment_df", close.alias("terms_within_2_percent"))
+
+
 def _after_deletes(spark: SparkSession, sf_dir: str) -> str:
     """Manifest path of a build of which two sets of ids, not disjoint, were deleted."""
     result = build_index(spark, _lines(spark, sf_dir), with_postings=False)
