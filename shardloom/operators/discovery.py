@@ -1,7 +1,7 @@
 """Which fields an index has: plain columns from the schema, map keys from the data."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from shardloom.functions.names import map_field_name
 from shardloom.sources.columns import column_of, field_of
@@ -40,25 +40,31 @@ def plain_coverage(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(*rows)))
 
 
-def map_fields(df: DataFrame) -> DataFrame:
+def map_fields(df: DataFrame, by: Column | None = None) -> DataFrame:
     """Distinct fields that map keys turn into; reads only the map columns, once.
 
+    With ``by`` they are distinct for each of its values, which come first as ``part``.
+
     Raw keys are made distinct first (partial aggregation on each task), so names are
     built once per key and not once per row.
     """
     columns = map_columns(df.schema)
+    kept = [] if by is None else [by.alias("part")]
+    names = ["part"] if kept else []
     if not columns:
-        return plain_fields(df).where(F.lit(False))
+        none = plain_fields(df).where(F.lit(False))
+        return none.select(*[F.lit(None).cast("string").alias(n) for n in names], "*")
     # (column number, key array) pairs, unfolded twice: generated code all the way
     pairs = [F.struct(F.lit(i).alias("src"), F.map_keys(column_of(f)).cast("array<string>").alias("keys"))
              for i, f in enumerate(columns)]
-    keys = df.select(F.inline(F.array(*pairs))).select("src", F.explode("keys").alias("key")).distinct()
+    keys = df.select(*kept, F.inline(F.array(*pairs))) \
+        .select(*names, "src", F.explode("keys").alias("key")).distinct()
     named = F.lit(None).cast("struct<field:string,src_type:string,is_plain:boolean,src_col:string>")
     for i, f in enumerate(columns):
         row = _field_row(map_field_name(field_of(f), F.col("key")),
                          f.dataType.valueType.simpleString(), False, field_of(f))
         named = F.when(F.col("src") == i, row).otherwise(named)
-    return keys.select(named.alias("f")).select("f.*").where(F.col("field").isNotNull()).distinct()
+    return keys.select(*names, named.alias("f")).select(*names, "f.*").where(F.col("field").isNotNull()).distinct()
 
 
 def discover_fields(df: DataFrame) -> DataFrame:

@@ -32,6 +32,7 @@ from shardloom.operators.segments import segment_manifest
 from shardloom.operators.sharding import (
     bulk_bodies, colocate, dedupe_first, dedupe_rejects, with_segment, with_shard,
 )
+from shardloom.plans.facts import incremental_fields
 from shardloom.session import prepare
 from shardloom.sinks.files import (
     MANIFEST_SCHEMA, append_state, bulk_lines, claim_generation, commit_manifest, commit_refused, delete_path, write_mapping,
@@ -145,7 +146,9 @@ def build_index(spark: SparkSession, spec: BuildSpec, deny: DataFrame | None = N
     manifest_path = f"{root}/manifest"
     generation = claim_generation(spark, manifest_path)
     fields_path = f"{root}/fields/generation={generation}"
-    discover_fields(source.drop(MALFORMED)).write.mode("overwrite").parquet(fields_path)
+    found = incremental_fields(spark, spec, source.drop(MALFORMED), source_rows)[0] if spec.facts_by \
+        else discover_fields(source.drop(MALFORMED))
+    found.write.mode("overwrite").parquet(fields_path)
     fields = spark.read.parquet(fields_path)
     rules = build_rules(spec, fields, deny, overrides)
     mapping = infer_mapping(

@@ -65,6 +65,9 @@ class BuildSpec:
     compat: bool = True             # False: all source types get index types
     on_error: str = "fail"
     keep_rejects: bool = True
+    # partition column of the source: map fields are kept per partition, and a later version
+    # reads only partitions that are new or have changed
+    facts_by: str | None = None
     clean_first: bool = False       # drop the index folder, older generations too, before the build
 
     def __post_init__(self):

@@ -199,6 +199,20 @@ def index_build_clashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_published(spark, result.manifest_path).select("doc_id", "doc_json")
 
 
+@query("index_build_fields_by_partition", f"""WITH {fx.ORDERS_FIELDS_SQL}
+    SELECT * FROM facts UNION ALL SELECT 'dt', 'string', true, 'dt'""")
+def index_build_fields_by_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of a second version, of whose three partitions the first has read two."""
+    folder = shared_dir(spark, "partitioned")
+    fx.src_orders(spark, sf_dir).withColumn("dt", F.col("status")).write.partitionBy("dt").parquet(folder)
+    options = dict(table=folder, num_shards=fx.NUM_SHARDS, partition_multiples=SEGMENTS, id_field="pri_key",
+                   order_by=("odate",), work_dir=shared_dir(spark, "builds"), facts_by="dt")
+    build_index(spark, BuildSpec(index_name="o_20240116", where="dt <> 'P'", **options), with_postings=False)
+    second = BuildSpec(index_name="o_20240117", **options)
+    generation = build_index(spark, second, with_postings=False).generation
+    return spark.read.parquet(f"{second.index_path}/fields/generation={generation}")
+
+
 @query("index_build_bulk", f"""WITH {_RANKED_SQL},
     lines AS (SELECT *, strlen(concat('{{"create":{{"_id":"', id, '"}}}}', chr(10), doc_json)) AS size FROM firsts),
     sized AS (SELECT *, row_number() OVER w - 1 AS n, sum(size) OVER w - size AS before FROM lines
