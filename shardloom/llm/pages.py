@@ -9,7 +9,8 @@ the run, parts that are never main text (scripts, forms, navigation, notices, co
 readers ...) are left out, and the rest becomes blocks.
 
 Labelled pages are those that mark their main part themselves (``article`` or ``main``);
-the fit reads at most ``SAMPLE`` of them, those with the smallest hash of their url and id.
+the fit reads at most ``SAMPLE`` of them, those with the smallest hash of their url and id,
+and counts their words and tags inside tasks.
 Extraction reads every page whole, one at a time, without a shuffle.
 
 Defined cases: null or empty html gives an empty text; html without any words gives an
@@ -24,6 +25,7 @@ import math
 import re
 from bisect import bisect_left
 from collections import Counter
+from collections.abc import Iterator
 from html import unescape
 from itertools import accumulate
 
@@ -194,16 +196,29 @@ def _names_aside(name: str) -> bool:
     return "".join(parts) == re.sub(r"[-_0-9]+", "", name) and bool(parts) and all(part in ASIDE for part in parts)
 
 
+def counts(page: str) -> tuple[Counter, Counter]:
+    """Words (as ``word``) and tags of a page inside its main part, and outside it."""
+    inside, outside = Counter(), Counter()
+    for piece in Reader(page).pieces:
+        into = inside if piece[4] and not piece[3] else outside
+        if piece[0] == "text":
+            into["word"] += len(piece[2].split())
+        else:
+            into[piece[1]] += 1
+    return inside, outside
+
+
 def learn(pages: list[str]) -> dict[str, float]:
-    """Weights from pages that mark their main part: log odds of standing inside it."""
+    """Weights from pages that mark their main part."""
     inside, outside = Counter(), Counter()
     for page in pages:
-        for piece in Reader(page).pieces:
-            into = inside if piece[4] and not piece[3] else outside
-            if piece[0] == "text":
-                into["word"] += len(piece[2].split())
-            else:
-                into[piece[1]] += 1
+        for total, found in zip((inside, outside), counts(page)):
+            total.update(found)
+    return weights_of(inside, outside)
+
+
+def weights_of(inside: Counter, outside: Counter) -> dict[str, float]:
+    """Weights from the counts of such pages: log odds of standing inside the main part."""
     if not inside["word"]:
         return dict(START_WEIGHTS)
     total_in, total_out = sum(inside.values()), sum(outside.values())
@@ -264,12 +279,28 @@ def main_text(page: str, weights: dict[str, float]) -> str:
 
 
 def fit(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:
+    """Weights from at most ``sample`` pages; only hashes and counts of tags reach the driver.
+
+    The pages of one hash, such as copies of a row, count as one page, the smallest html.
+    """
     html = F.col("html").cast("string")
     rows = (pages.select(html.alias("html"), F.xxhash64(F.col("url").cast("string"), F.col("page_id").cast("long")).alias("place"))
             .filter(F.col("html").rlike("(?i)<(article|main)[\\s>]")))
-    chosen = rows.orderBy("place", "html").limit(sample)
-
-    return learn([r["html"] for r in chosen.select("html").collect()])
+    places = rows.select("place").distinct().orderBy("place").limit(sample)  # bounded, so it may be broadcast
+    chosen = rows.join(F.broadcast(places), "place").groupBy("place").agg(F.min("html").alias("html")).select("html")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        inside, outside = Counter(), Counter()
+        for batch in batches:
+            for page in batch["html"]:
+                for total, found in zip((inside, outside), counts(page)):
+                    total.update(found)
+        names = sorted(inside.keys() | outside.keys())
+        yield pd.DataFrame({"name": names, "inside": [inside[n] for n in names], "outside": [outside[n] for n in names]})
+
+    found = (chosen.mapInPandas(run, "name string, inside long, outside long")
+             .groupBy("name").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside")).collect())
+    return weights_of(Counter({r["name"]: r["inside"] for r in found}), Counter({r["name"]: r["outside"] for r in found}))
 
 
 def extract(pages: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
