@@ -7,7 +7,8 @@ the labels of whole documents.  The score of a document is that of the attention
 mean of all its encoded passages.
 
 The fit takes at most ``SAMPLE`` labelled documents, those with the smallest hash of their
-id, and at most ``SPREAD`` evenly spaced passages of each; these two bounds are parameters.
+id, one row of each id (the smallest text), and of these, in that order, all that fit in
+``BYTES`` of text; these two bounds are parameters.  It reads them whole, as scoring does.
 Scoring reads every passage of every text and needs no shuffle: the weights have a fixed
 size.  Label, language, source and id are no inputs.
 
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from shardloom.llm.common import fold, modest_batches, table, texts
 from shardloom.llm.tokens import forget, slices
 
-WORDS, SAMPLE, SPREAD = 64, 6000, 48
+WORDS, SAMPLE, BYTES = 64, 6000, 1 << 26
 HIDDEN, GATES, STEPS, BATCH, RATE, DECAY, SEED = 24, 12, 900, 128, 0.01, 1e-4, 7
 THRESHOLD = 0.7
 
@@ -141,22 +142,38 @@ def train(bags: list[np.ndarray], labels: np.ndarray, steps: int = STEPS) -> Mod
     return Model(shift, scale, w)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learn from labelled documents outside the held-out quarter."""
+def fitting(sizes: list[int], most: int) -> list[bool]:
+    """Which of the texts, in order, have room beside those taken before them."""
+    taken, left = [], most
+    for size in sizes:
+        taken.append(size <= left)
+        left -= size * taken[-1]
+    return taken
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = BYTES) -> Model:
+    """Learn from labelled documents outside the held-out quarter.
+
+    At most ``sample`` bags of together ``most`` bytes of text reach the driver, however
+    often an id is repeated.
+    """
     chosen = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("quality"))
               .filter("doc_id is not null and quality is not null").filter(fold("doc_id", 4) != 2)
               .groupBy("doc_id").agg(F.avg("quality").alias("quality"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))  # bounded, so it may be broadcast
-    found = texts(docs).join(F.broadcast(chosen), "doc_id")
+    found = texts(docs).join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(
+        F.min("text").alias("text"), F.max("quality").alias("quality"))
+    sizes = found.select("doc_id", F.octet_length("text").alias("size"), F.xxhash64("doc_id").alias("place")).collect()
+    sizes.sort(key=lambda r: (r["place"], r["doc_id"]))
+    ids = [(r["doc_id"],) for r, fits in zip(sizes, fitting([r["size"] for r in sizes], most)) if fits]
+    found = found.join(F.broadcast(docs.sparkSession.createDataFrame(ids, "doc_id long")), "doc_id")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         forget()
         for batch in batches:
             for name, text, label in zip(batch["doc_id"], batch["text"], batch["quality"]):
-                parts = passages(text)
-                if len(parts) > SPREAD:
-                    parts = [parts[i] for i in np.linspace(0, len(parts) - 1, SPREAD).astype(int)]
-                yield pd.DataFrame({"doc_id": [name], "label": [label], "bag": [features(parts).tobytes()]})
+                bag = np.concatenate([features(some) for some in _runs(passages(text))])
+                yield pd.DataFrame({"doc_id": [name], "label": [label], "bag": [bag.tobytes()]})
 
     rows = found.mapInPandas(run, "doc_id long, label double, bag binary").collect()
     rows = sorted(rows, key=lambda r: (r["doc_id"], bytes(r["bag"])))

@@ -50,6 +50,48 @@ def test_quality_odd_tables(spark, odd, odd_rows, none):
     assert {r.score for r in nothing} == {0.5}
 
 
+def test_quality_scores_by_brute_force(spark):
+    """Every document's score, a document and a passage at a time, from the model's weights."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{n}.parquet") for n in ("documents", "labels"))
+    model = quality.fit(docs, labels)
+    found = quality.scores(docs, model).select("row.text", "score").collect()
+    assert len(found) == docs.count() and model.constant is None
+    w = {k: np.asarray(v, float) for k, v in model.weights.items()}
+    for r in found:
+        words, hidden, worth = (r.text or "").encode().split(), [], []
+        for i in range(0, max(len(words), 1), quality.WORDS):
+            x = (quality.features([words[i:i + quality.WORDS]])[0] - model.shift) / model.scale
+            h = np.tanh(x @ w["w"] + w["b"])
+            gate = 1 / (1 + np.exp(-(h @ w["u"])))
+            hidden.append(h)
+            worth.append(math.exp(float((np.tanh(h @ w["v"]) * gate) @ w["a"])))
+        z = sum(a * h for a, h in zip(worth, hidden)) / sum(worth)
+        assert r.score == pytest.approx(1 / (1 + math.exp(-float(z @ w["c"] + w["d"]))), abs=1e-3)
+
+
+def test_quality_fit_is_bounded_in_rows_and_bytes(spark, monkeypatch):
+    """An id on very many rows is one bag; long texts are read whole or, without room, left out."""
+    docs = spark.range(20_000).selectExpr("case when id < 19990 then 1L else id end doc_id",
+                                          "concat('text ', id) text").unionByName(
+        spark.createDataFrame([(20_000, "word " * 10_000)], "doc_id long, text string"))
+    labels = spark.createDataFrame([(1, 1)] + [(i, i % 2) for i in range(19_990, 20_001)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda bags, y: seen.append([len(b) for b in bags]) or quality.Model(
+        np.zeros(quality.FEATURES), np.ones(quality.FEATURES), {}, 0.5))
+    learnt = [i for i in [1, *range(19_990, 20_001)] if not held(i, 4, 2)]
+    assert 20_000 in learnt
+    quality.fit(docs, labels)
+    quality.fit(docs, labels, most=1_000)
+    quality.fit(docs, labels, sample=3)
+    assert [len(s) for s in seen] == [len(learnt), len(learnt) - 1, 3]
+    assert max(seen[0]) == -(-10_000 // quality.WORDS) and max(seen[1]) == 1
+
+
+def test_texts_that_fit():
+    assert quality.fitting([5, 9, 4, 1, 1], 10) == [True, False, True, True, False]
+    assert quality.fitting([], 10) == [] and quality.fitting([0, 0], 0) == [True, True]
+
+
 def test_attention_gradients():
     draw = np.random.default_rng(0)
     w = {"w": draw.standard_normal((5, 4)), "b": draw.standard_normal(4), "v": draw.standard_normal((4, 3)),
@@ -137,6 +179,15 @@ def test_page_text(spark, around):
     assert pages.main_text(PAGE % (around % BODY), weights) == WANT
 
 
+def test_page_weights_are_counted_in_tasks(spark):
+    rows = spark.read.parquet(f"{SF}/pages.parquet")
+    copies = rows.unionByName(rows.filter("page_id % 3 = 0")).repartition(5)
+    assert pages.fit(copies) == pages.learn([r.html for r in rows.collect()])
+    few = pages.fit(copies, sample=10)
+    assert few["word"] == 1.0 and len(few) > 1 and few == pages.fit(rows.repartition(3), sample=10)
+    assert pages.fit(rows.filter("false")) == pages.START_WEIGHTS
+
+
 @pytest.mark.parametrize("wrapper", [
     "class='page has-sidebar'", "class='no-sidebar'", 'class="with-nav"', "id=search-result", "title='the hidden city'",
     "class='w-4 hidden md:block'", "data-x='a hidden b'", "class=sidebar"])
