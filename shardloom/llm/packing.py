@@ -4,9 +4,12 @@ Documents are cut only where they exceed the window: whole windows first, then o
 The histogram of the rests has at most ``WINDOW - 1`` lengths whatever the number of
 documents, so it alone is planned on the driver: all pairs and triples of present lengths
 that fill a window exactly (and near-fills for lengths without an exact one) are columns
-of a non-negative least-squares problem whose right side is the histogram; its solution is
-rounded down, and what is left of the histogram is packed greedily, largest first, a
-pattern as often as it goes.  The plan has a bounded number of rows.  A rest finds its
+of a non-negative least-squares problem whose right side is the histogram.  Its solution is
+rounded by running sums: each column gets the whole numbers that the sum of all columns up
+to it passes, so that many small shares of alike columns add up to a repeat here and there
+and none is lost.  What is left of the histogram is packed greedily, largest first, a
+pattern as often as it goes.  The plan has at most a row per length of a column, a number
+that the window bounds.  A rest finds its
 place from its rank among the rests of its length; ranks are counted in salted parts, so
 that a length which very many documents share is spread over tasks.
 
@@ -29,7 +32,6 @@ from shardloom.llm.tokens import MOST, encoder, slices, tokenizer_path
 
 WINDOW, END = 2048, 1
 PART = 512  # ranks are counted in parts of about so many pieces of one length
-COLUMNS = 20_000  # rounded columns kept in a plan; the greedy pass packs what they leave
 SHAPE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, piece long"
 
 
@@ -110,6 +112,15 @@ def solve(columns: np.ndarray, counts: np.ndarray, rounds: int = 400) -> np.ndar
     return x
 
 
+def rounded(columns: np.ndarray, repeats: np.ndarray) -> np.ndarray:
+    """Whole repeats with the sum of ``repeats``, in order of the columns' lengths, so that
+    what one column loses goes to one that is like it."""
+    order = np.lexsort(columns.T[::-1])
+    whole = np.zeros(len(columns), np.int64)
+    whole[order] = np.diff(np.floor(np.cumsum(repeats[order]) + 1e-6), prepend=0)
+    return whole
+
+
 def plan(histogram: dict[int, int], window: int = WINDOW) -> list[tuple[int, int, int, int, int]]:
     """Rows ``length, first, count, sequence, offset``: the pieces of that length with
     ranks from ``first`` on lie at ``offset`` of the sequences from ``sequence`` on."""
@@ -136,10 +147,10 @@ def plan(histogram: dict[int, int], window: int = WINDOW) -> list[tuple[int, int
     def most(pattern: list[int]) -> int:
         return min(int(left[length]) // pattern.count(length) for length in set(pattern))
 
-    whole = np.floor(repeats + 1e-6)
-    for i in np.argsort(-whole, kind="stable")[:COLUMNS]:
+    whole = rounded(columns, repeats)
+    for i in np.flatnonzero(whole):
         pattern = [int(c) for c in columns[i] if c]
-        if whole[i] >= 1 and (times := min(int(whole[i]), most(pattern))):
+        if times := min(int(whole[i]), most(pattern)):
             put(pattern, times)
     while left.any():
         pattern, room = [], window
@@ -176,7 +187,7 @@ def pack(docs: DataFrame, window: int = WINDOW, path: str | None = None, most: i
     ranked = (parted.withColumn("rank", F.row_number().over(inside) - 1).join(bases, ["length", "part"])
               .select(*[c.split()[0] for c in SHAPE.split(", ")], (F.col("rank") + F.col("base")).alias("rank")))
     ordered = np.array(sorted(placed), np.int64).reshape(-1, 5)
-    shared = spark.sparkContext.broadcast(ordered)  # bounded by the window and COLUMNS
+    shared = spark.sparkContext.broadcast(ordered)  # bounded by the window
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = shared.value

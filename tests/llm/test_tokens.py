@@ -99,6 +99,25 @@ def test_plan_holds_every_piece_once(seed, n):
     assert n < 1000 or used / (2048 * sequences) > 0.99
 
 
+def test_rounding_keeps_the_sum_and_uses_the_histogram():
+    """Small shares of many columns become whole repeats: a third of the pieces lie in columns."""
+    draw = np.random.default_rng(5)
+    lengths = np.minimum(1 + draw.geometric(1 / 400, 50_000), 2047)
+    counts = np.bincount(lengths, minlength=2049)
+    columns = packing.fills(np.flatnonzero(counts), 2048)
+    repeats = packing.solve(columns, counts.astype(float))
+    whole = packing.rounded(columns, repeats)
+    assert abs(whole.sum() - repeats.sum()) <= 1 and (whole >= 0).all() and np.floor(repeats).sum() < whole.sum() / 2
+    left = counts.copy()
+    for column, times in zip(columns[whole > 0], whole[whole > 0]):
+        pattern = [c for c in column if c]
+        times = min(times, min(left[c] // pattern.count(c) for c in pattern))
+        for c in pattern:
+            left[c] -= times
+    assert (left >= 0).all() and left.sum() < 0.7 * len(lengths)
+    assert packing.rounded(np.zeros((0, 3), int), np.zeros(0)).shape == (0,)
+
+
 def test_solve_reaches_an_exact_fit():
     columns = np.array([[1448, 600, 0], [1024, 1024, 0], [700, 700, 648]])
     counts = np.zeros(2049)
