@@ -9,6 +9,8 @@ import numpy as np
 JSON = "byte_bpe_50k.json"
 MOST = 800_000  # pieces that a worker remembers: some 200 MB
 MARKS = ".,;:!?|*$&%#"
+SPACE = "\u0120"  # fixed value: how the vocabulary writes a space
+RUN = 256  # words encoded by one call
 SPECIAL = "<|endoftext|>"  # fixed value: the vocabulary's only special token
 
 
@@ -29,6 +31,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not special
         self.special, self.most = special, most
+        self.begins = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
+        for token, number in self.tokenizer.get_vocab(with_added_tokens=True).items():
+            self.begins[number] = token.startswith(SPACE)
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes | None] = {}
         self.tails: dict[str, bytes] = {}
@@ -37,6 +42,24 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words as they are after a space, many in one call: none holds a space, so
+        a token that begins with one begins the next word."""
+        out = []
+        for i in range(0, len(words), RUN):
+            run = words[i:i + RUN]
+            ids = np.array(self._ids(" " + " ".join(run)), "<u4")
+            starts = 4 * np.flatnonzero(self.begins[ids])
+            if len(starts) != len(run):
+                out += self._whole([" " + word for word in run])
+                continue
+            raw, bounds = ids.tobytes(), [*starts.tolist(), 4 * len(ids)]
+            out += [raw[a:b] for a, b in zip(bounds, bounds[1:])]
+        return out
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
     def _learn(self, pieces: set[str], known: dict[str, bytes | None], before: str) -> None:
         """Remember pieces that follow ``before``.  Letters end a match where a mark
         follows, so a word and the marks after it are encoded apart."""
@@ -47,7 +70,7 @@ class Encoder:
         parted = [stem != p and stem.isalpha() for stem, p in zip(stems, new)]
         whole = list({stem if part else p for stem, p, part in zip(stems, new, parted)}
                        - {stem for stem in stems if known.get(stem) is not None})
-        known.update(zip(whole, self._whole([before + p for p in whole])))
+        known.update(zip(whole, self._words(whole) if before else self._whole(whole)))
         tails = list({p[len(stem):] for stem, p, part in zip(stems, new, parted) if part} - self.tails.keys())
         self.tails.update(zip(tails, self._whole(tails)))
         for stem, piece, part in zip(stems, new, parted):

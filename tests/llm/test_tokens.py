@@ -99,6 +99,19 @@ def test_plan_holds_every_piece_once(seed, n):
     assert n < 1000 or used / (2048 * sequences) > 0.99
 
 
+@pytest.mark.parametrize("special", [True, False])
+def test_words_encoded_together_equal_texts_encoded_alone(special):
+    """Words with line ends, marks, odd white space and the special token between others."""
+    draw = np.random.default_rng(11)
+    parts = ["a", "Bc", "été", "日本", "🙂", "\n", "\r\n", "\t", "'s", "...", "12", "\u00a0", "\u2003", "\u0120", "<|endoftext|>",
+             "<|endof", "text|>", "-", "_", "\x00", "\u0301"]
+    texts = [" ".join("".join(draw.choice(parts, draw.integers(0, 5))) for _ in range(draw.integers(1, 40)))
+             for _ in range(600)]
+    one = Encoder(tokenizer_path(), special)
+    want = [np.array(e.ids, "<u4").tobytes() for e in one.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [raw for i in range(0, 600, 50) for raw in one.encode(texts[i:i + 50])] == want
+
+
 def test_rounding_keeps_the_sum_and_uses_the_histogram():
     """Small shares of many columns become whole repeats: a third of the pieces lie in columns."""
     draw = np.random.default_rng(5)
