@@ -228,6 +228,8 @@ def near_copy_roots(docs: DataFrame, block: int = BLOCK, chunk: int = CHUNK) ->
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             batch = batch[wanted.has(batch["hash"].to_numpy(np.int64).view(np.uint64))]
+            if not len(batch):  # columns of empty lists would be numbers
+                continue
             sets = [shingles(text) for text in batch["text"]]
             yield pd.DataFrame({"hash": batch["hash"], "node": [hashlib.md5(s.tobytes()).hexdigest() for s in sets],
                                 "shingles": [s.tobytes() for s in sets]})

@@ -71,6 +71,12 @@ def test_shared_and_missing_ids(spark, odd, none):
     assert near_copies.drop_near(none).count() == 0 < near_copies.drop_near(odd).count()
 
 
+def test_batches_without_any_candidate(spark):
+    rows = [(i, prose(900 + i, 60)) for i in range(12)] + [(12, prose(900, 60).upper())]
+    docs = frame(spark, rows).repartitionByRange(6, "doc_id")
+    assert sorted(r.doc_id for r in near_copies.drop_near(docs).collect()) == list(range(12))
+
+
 def test_recall_on_the_given_documents(spark):
     """All links between different texts, found by an index of shingles."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
