@@ -45,8 +45,9 @@ def with_segment(sharded: DataFrame, segments: int | Sequence[int] | DataFrame)
         per_shard = F.element_at(F.array(*map(F.lit, segments)), F.col("shard") + 1)
         return sharded.withColumn("segment", segment_of(F.col("doc_id"), per_shard))
     plan = segments.select("shard", "segments")
-    # every shard is in the plan; a left join just spares a null test that would hash twice
-    return sharded.join(plan, "shard", "left").withColumn(
+    # every shard is in the plan; a left join just spares a null test that would hash twice.
+    # A row per shard is broadcast at any size: a shuffle by shard would be a task per shard.
+    return sharded.join(F.broadcast(plan), "shard", "left").withColumn(
         "segment", segment_of(F.col("doc_id"), F.col("segments"))).drop("segments")
 
 

@@ -48,6 +48,17 @@ def test_rejects_with_null_order_values(spark):
     assert sorted((r["a"] or 0, r["refused"]) for r in dedupe_rejects(rows, ["a"]).collect()) == [(0, 1), (1, 1)]
 
 
+def test_a_segment_plan_is_broadcast_at_any_size(spark):
+    docs = with_shard(spark.range(100).selectExpr("cast(id as string) doc_id"), 3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = with_segment(docs, segment_plan(docs, 10))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
 def test_segments_stay_near_the_target_in_a_hot_shard(spark):
     docs = spark.range(6000).selectExpr("cast(id as string) doc_id", "case when id % 3 = 0 then id else -1 end r")
     sharded = with_shard(docs, 5, F.col("r"))
