@@ -84,7 +84,7 @@ def nonempty_shards(placed: DataFrame, num_shards: int) -> DataFrame:
         (F.coalesce("docs", F.lit(0)) > 0).alias("bundled"))
 
 
-def _scope_keys(scope: str) -> list[str]:
+def scope_keys(scope: str) -> list[str]:
     if scope == "global":
         return ["doc_id"]
     if scope == "segment":
@@ -102,7 +102,7 @@ def dedupe_first(docs: DataFrame, order_by: Sequence[str | Column],
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     if not order:
         raise ValueError("the first row of an id needs order columns")
-    window = Window.partitionBy(*_scope_keys(scope)).orderBy(*order)
+    window = Window.partitionBy(*scope_keys(scope)).orderBy(*order)
     return docs.where(F.col("doc_id").isNotNull()) \
         .withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
@@ -117,7 +117,7 @@ def dedupe_rejects(docs: DataFrame, order_by: Sequence[str], scope: str = "globa
     last, by one struct of all columns, so that the split rows need not lie together by id.
     ``row`` is a text of the whole row to keep beside each.
     """
-    keys = _scope_keys(scope)
+    keys = scope_keys(scope)
     place = F.struct(*order_by)
     named = docs.where(F.col("doc_id").isNotNull())
     repeated = stored(
@@ -132,6 +132,18 @@ def dedupe_rejects(docs: DataFrame, order_by: Sequence[str], scope: str = "globa
         .where("refused > 0")
 
 
+def rows_but_first(rows: DataFrame, firsts: DataFrame, alike: Sequence[str]) -> DataFrame:
+    """(*alike, refused): ``rows`` without one copy of each row of ``firsts``, equal rows
+    counted together.
+
+    Firsts count against the rows, so there is no join, and rows move once, by all of
+    ``alike``: the rows of a hot id go to as many tasks as they differ.
+    """
+    both = rows.select(*alike, F.lit(1).cast("bigint").alias("_n")).unionAll(
+        firsts.select(*alike, F.lit(-1).cast("bigint").alias("_n")))
+    return both.groupBy(*alike).agg(F.sum("_n").alias("refused")).where("refused > 0")
+
+
 def bulk_batches(placed: DataFrame, max_actions: int, max_bytes: int,
                  body: str = "doc_json") -> DataFrame:
     """Micro-batch number of every document inside its segment, in id order.

@@ -30,15 +30,15 @@ from shardloom.operators.mapping import (
 from shardloom.operators.postings import postings
 from shardloom.operators.segments import segment_manifest
 from shardloom.operators.sharding import (
-    bulk_bodies, colocate, dedupe_first, dedupe_rejects, with_segment, with_shard,
+    bulk_bodies, colocate, dedupe_first, rows_but_first, scope_keys, with_segment, with_shard,
 )
 from shardloom.plans.facts import incremental_fields
-from shardloom.session import prepare
+from shardloom.session import prepare, stored as stored_rows
 from shardloom.sinks.files import (
     MANIFEST_SCHEMA, append_state, bulk_lines, claim_generation, commit_manifest, commit_refused, delete_path, write_mapping,
     write_sharded,
 )
-from shardloom.sources.columns import column_named, column_of, field_of, row_json, sheltered
+from shardloom.sources.columns import column_named, column_of, field_of, is_exact, row_hash, row_json, sheltered
 from shardloom.sources.side_tables import deny_list, load_rules, type_overrides
 from shardloom.sources.tables import json_fields, scan
 from shardloom.spec import BuildSpec, Rules
@@ -95,20 +95,21 @@ def shard_sizes(ids: DataFrame, spec: BuildSpec) -> Sizes:
     """Size the segments from (shard, doc_id), a pass over the id columns alone.
 
     At most one row per shard comes back.  Distinct ids are estimated: repeated rows of a
-    hot id must not inflate a shard, and the estimate only sizes segments.
+    hot id must not inflate a shard, and the estimate only sizes segments.  Where their
+    number is given the rows are just counted.
     """
+    if spec.partition_multiples:
+        found = ids.agg(F.count("doc_id").alias("named"), F.count(F.lit(1)).alias("n")).first()
+        return Sizes((spec.partition_multiples,) * spec.num_shards, found["named"], found["n"] - found["named"])
     rows = ids.groupBy("shard").agg(
         F.approx_count_distinct("doc_id").alias("docs"), F.count("doc_id").alias("named"),
         F.count_if(F.col("doc_id").isNull()).alias("nameless")).collect()
     docs = {r["shard"]: r["docs"] for r in rows}
     named, nameless = sum(r["named"] for r in rows), sum(r["nameless"] for r in rows)
-    if spec.partition_multiples:
-        counts = [spec.partition_multiples] * spec.num_shards
-    else:
-        # rows without an id are spread over all shards by their content
-        extra = -(-nameless // spec.num_shards)
-        counts = [max(1, -(-(docs.get(s, 0) + extra) // spec.segment_docs))
-                  for s in range(spec.num_shards)]
+    # rows without an id are spread over all shards by their content
+    extra = -(-nameless // spec.num_shards)
+    counts = [max(1, -(-(docs.get(s, 0) + extra) // spec.segment_docs))
+              for s in range(spec.num_shards)]
     return Sizes(tuple(counts), named, nameless)
 
 
@@ -116,12 +117,38 @@ def _sharded(rows: DataFrame, spec: BuildSpec) -> DataFrame:
     return with_shard(rows, spec.num_shards, F.col(spec.routing) if spec.routing else None)
 
 
-def placed_rows(rows: DataFrame, spec: BuildSpec, counts: Sequence[int]) -> DataFrame:
-    """Rows with an id, first of each id, together per segment."""
-    placed = with_segment(_sharded(rows.where(F.col("doc_id").isNotNull()), spec), counts)
-    if spec.dedupe and spec.id_field:
-        placed = dedupe_first(placed, (*spec.order_by, "_tie"), spec.dedupe).drop("_tie")
-    return colocate(placed, counts, spec.num_shards)
+def _in_scope(rows: DataFrame, spec: BuildSpec, counts: Sequence[int]) -> DataFrame:
+    """Rows with an id, with their segment where an id may come once in each."""
+    named = rows.where(F.col("doc_id").isNotNull())
+    return with_segment(_sharded(named, spec), counts) if spec.dedupe == "segment" else named
+
+
+def first_rows(rows: DataFrame, schema: T.StructType, spec: BuildSpec, counts: Sequence[int]) -> DataFrame:
+    """Rows with an id, first of each id.
+
+    Rows that tie in ``order_by`` are told apart by all their values, so a retry keeps the same.
+    """
+    named = _in_scope(rows, spec, counts)
+    if not (spec.dedupe and spec.id_field):
+        return named
+    rest = T.StructType([f for f in schema.fields if f.name not in spec.order_by or not is_exact(f)])
+    tied = named.withColumn("_tie", row_hash(rest))
+    return dedupe_first(tied, (*spec.order_by, "_tie"), spec.dedupe).drop("_tie")
+
+
+def repeated_rows(rows: DataFrame, firsts: DataFrame, schema: T.StructType, spec: BuildSpec,
+                  counts: Sequence[int]) -> DataFrame:
+    """Rejects of the rows that are not the first of their id."""
+    keys = scope_keys(spec.dedupe)
+    whole = row_json(schema).alias("row")
+    if all(map(is_exact, schema.fields)):  # the text is made of what is left alone
+        found = rows_but_first(_in_scope(rows, spec, counts), firsts, [*keys, *schema.names])
+        found = found.select("doc_id", "refused", whole)
+    else:
+        found = rows_but_first(_in_scope(rows, spec, counts).select(*keys, whole), firsts.select(*keys, whole),
+                               [*keys, "row"])
+    return found.select("doc_id", F.lit("repeated id").alias("reason"),
+                        F.lit(None).cast("array<string>").alias("fields"), "refused", "row")
 
 
 def build_index(spark: SparkSession, spec: BuildSpec, deny: DataFrame | None = None,
@@ -181,9 +208,10 @@ def build_index(spark: SparkSession, spec: BuildSpec, deny: DataFrame | None = N
     sizes = shard_sizes(_sharded(rows, spec).select("shard", "doc_id"), spec)
 
     docs_path = f"{root}/docs/generation={generation}"
-    # rows that tie in ``order_by`` are told apart by all their values, so a retry keeps the same
-    tied = rows.withColumn("_tie", F.xxhash64(row_json(schema))) if spec.dedupe and spec.id_field else rows
-    placed = placed_rows(tied, spec, sizes.segments)
+    firsts = first_rows(rows, schema, spec, sizes.segments)
+    if spec.dedupe and spec.id_field and spec.keep_rejects and all(map(is_exact, schema.fields)):
+        firsts = stored_rows(firsts, "firsts")  # read twice: for the documents and for the rejects
+    placed = colocate(with_segment(_sharded(firsts, spec), sizes.segments), sizes.segments, spec.num_shards)
     if sizes.nameless:
         docs = _with_generated(rows, placed, schema, rules, spec, sizes.segments)
     else:
@@ -198,10 +226,7 @@ def build_index(spark: SparkSession, spec: BuildSpec, deny: DataFrame | None = N
     stored = bundles.agg(F.sum("docs").alias("n")).first()["n"] or 0
     refused = sizes.named + sizes.nameless - stored
     if spec.dedupe and spec.id_field and spec.keep_rejects and refused:
-        sharded = with_segment(_sharded(tied.where(F.col("doc_id").isNotNull()), spec), sizes.segments)
-        repeated = dedupe_rejects(sharded, (*spec.order_by, "_tie"), spec.dedupe, row_json(schema))
-        rejected.append(repeated.select("doc_id", F.lit("repeated id").alias("reason"),
-                                        F.lit(None).cast("array<string>").alias("fields"), "refused", "row"))
+        rejected.append(repeated_rows(rows, firsts, schema, spec, sizes.segments))
     rejects_path = None
     counted = {"repeated id": refused} if spec.dedupe and refused else {}
     if rejected:

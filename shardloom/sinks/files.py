@@ -17,6 +17,7 @@ LEDGER_SCHEMA = ("idx string, state string, num_shards int, type_name string, "
 MANIFEST_SCHEMA = ("shard int, segment int, name string, position bigint, docs bigint, "
                    "deleted bigint, shard_docs bigint, shard_deleted bigint, generation bigint, "
                    "path string, deletes string, refused map<string,bigint>")
+ROW_GROUP = 16 << 20  # bytes of a row group of documents before it is compressed
 DELETES_SCHEMA = "shard int, segment int, block bigint, ords array<bigint>"
 
 
@@ -42,11 +43,13 @@ def delete_path(spark: SparkSession, path: str) -> bool:
 def write_sharded(docs: DataFrame, path: str, columns: tuple[str, ...] = ("doc_id", "doc_json")) -> None:
     """One Parquet file per (shard, segment), documents in id order; replaces ``path``.
 
-    The sort also is the one a partitioned write would need anyway.
+    The sort also is the one a partitioned write would need anyway.  Row groups are small, so
+    that many tasks can read one segment; a row's number in the file does not depend on them.
     """
     docs.select(*columns, "shard", "segment") \
         .sortWithinPartitions("shard", "segment", "doc_id") \
-        .write.mode("overwrite").partitionBy("shard", "segment").parquet(path)
+        .write.mode("overwrite").option("parquet.block.size", ROW_GROUP) \
+        .partitionBy("shard", "segment").parquet(path)
 
 
 def bulk_lines(doc_id: Column, doc_json: Column) -> Column:

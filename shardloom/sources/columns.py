@@ -56,3 +56,21 @@ def column_named(schema: T.StructType, field: str) -> str:
 def row_json(schema: T.StructType) -> Column:
     """A whole source row as JSON text under its own field names."""
     return F.to_json(F.struct(*[column_of(f).alias(field_of(f)) for f in schema.fields]))
+
+
+def is_exact(f: T.StructField) -> bool:
+    """Whether values that compare as equal are the same value, so that rows can be grouped by
+    them (a zero has two signs, a text of a collation several spellings, a map no order)."""
+    name = f.dataType.simpleString()
+    return name in ("string", "boolean", "tinyint", "smallint", "int", "bigint", "date", "timestamp") \
+        or isinstance(f.dataType, T.DecimalType)
+
+
+def row_hash(schema: T.StructType) -> Column:
+    """A hash of a whole source row; JSON texts are made of those columns alone that need them."""
+    exact = [f for f in schema.fields if is_exact(f)]
+    others = [f for f in schema.fields if not is_exact(f)]
+    parts = [part for f in exact for part in (column_of(f).isNull(), column_of(f))]
+    if others:
+        parts.append(row_json(T.StructType(others)))
+    return F.xxhash64(*parts) if parts else F.lit(0).cast("bigint")

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from shardloom.operators.postings import doc_ordinals, postings
 from shardloom.operators.sharding import (
-    bulk_batches, colocate, dedupe_first, dedupe_rejects, partition_counts, segment_plan,
+    bulk_batches, colocate, dedupe_first, dedupe_rejects, partition_counts, rows_but_first, segment_plan,
     with_segment, with_shard,
 )
+from shardloom.sources.columns import row_hash
 
 
 @pytest.fixture(scope="module")
@@ -48,6 +49,18 @@ def test_rejects_with_null_order_values(spark):
     assert sorted((r["a"] or 0, r["refused"]) for r in dedupe_rejects(rows, ["a"]).collect()) == [(0, 1), (1, 1)]
 
 
+def test_rows_but_first_meet_in_no_join(skewed):
+    first, refused = brute_force(skewed.collect())
+    found = rows_but_first(skewed, dedupe_first(skewed, ["a", "b"]), ["doc_id", "a", "b"])
+    assert {(r["doc_id"], r["a"], r["b"]): r["refused"] for r in found.collect()} == refused
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_row_hash_tells_nulls_apart(spark):
+    rows = spark.sql("select * from values (null, 'x', 0D), ('x', null, 0D), ('x', null, -0D), ('x', null, null) t(a, b, c)")
+    assert rows.select(row_hash(rows.schema).alias("h")).distinct().count() == 4
+
+
 def test_a_segment_plan_is_broadcast_at_any_size(spark):
     docs = with_shard(spark.range(100).selectExpr("cast(id as string) doc_id"), 3)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
