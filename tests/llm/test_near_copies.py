@@ -72,7 +72,7 @@ def test_shared_and_missing_ids(spark, odd, none):
 
 
 def test_batches_without_any_candidate(spark):
-    rows = [(i, prose(900 + i, 60)) for i in range(12)] + [(12, prose(900, 60).upper())]
+    rows = [(i, prose(900 + i, 60)) for i in range(12)] + [(12, prose(900, 60) + " more")]
     docs = frame(spark, rows).repartitionByRange(6, "doc_id")
     assert sorted(r.doc_id for r in near_copies.drop_near(docs).collect()) == list(range(12))
 
