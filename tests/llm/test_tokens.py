@@ -183,3 +183,27 @@ def test_spans_and_extensions():
         for j in range(0, 60, 11):
             want = next((k for k, (x, y) in enumerate(zip(texts[0][i:], texts[2][j:])) if x != y), None)
             assert want is None or fingerprints.extension(a, i, c, j) == want
+
+
+def test_parts_of_words_are_asked_once():
+    """Words before marks and line feeds come to the library once, not once per combination."""
+    words = prose(5, 30).split()
+    texts = ["x " + " ".join(f"{a}{mark}\n{b.title()}{end}" for b in words for mark, end in (("", "!"), (".", ""), ("&&&", "?!")))
+             for a in words]
+    texts += ["x a\n\nb c!!\nd e\n", "x a\0b.", "x a.\n", "x it's! don't.", "x a\t\nb", "x a\x1c\nb c\xa0\nd", "x \ta", "x a\nb\nc\nd",
+              "x x1! 1. ..", "x é́! a\u2028\nb", "", " ", "x", "x  y", "ǅ! ʰ! a\x85\nb", "x 漢字! ひ. ٣! Ω! ы..\nы"]
+    encoder = Encoder(tokenizer_path(), False)
+    asked, library = 0, encoder.tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, some, **options):
+            nonlocal asked
+            asked += sum(map(len, some))
+            return library.encode_batch_fast(some, **options)
+
+    encoder.tokenizer = Counted()
+    found = encoder.encode(texts[:30])
+    assert asked < 2_000 < sum(map(len, texts[:30])) / 20
+    found += encoder.encode(texts[30:])
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [
+        library.encode(t, add_special_tokens=False).ids for t in texts]
