@@ -97,27 +97,29 @@ def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[p
 def components(edges: DataFrame) -> DataFrame:
     """``node, root``: the smallest node that the edges ``a, b`` reach from each node.
 
-    Labels spread along edges and from a node's label to its label's label, so the number
-    of rounds grows with the logarithm of the longest chain.  Every round is stored: joins
-    then read plain tables, and a node with very many edges can be split.
+    Each round merges every node with the first of itself and its neighbours, by id at first
+    and then by a hash of the round, and keeps the distinct edges between what is left: a
+    quarter of the nodes at least goes on average, so the rounds grow with the logarithm of
+    the nodes and together join few more rows than there are edges.  Every round is stored:
+    joins then read plain tables, and a node with very many edges can be split.
     """
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = stored(both.filter("a <> b").distinct(), "edges")
-    labels = stored(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root"))
-                    .select(F.col("a").alias("node"), "root"), "labels")
-    while True:
-        far = labels.select(F.col("node").alias("b"), F.col("root").alias("far"))
-        near = labels.select(F.col("node").alias("a"), F.col("root").alias("near"))
-        seen = both.join(far, "b").join(near, "a")
-        offers = (seen.select(F.explode(F.array("a", "near")).alias("node"), F.col("far").alias("offer"))
-                  .groupBy("node").agg(F.min("offer").alias("offer")))
-        offers = stored(offers, "offers")
-        lower = stored(labels.join(offers, "node", "left")
-                       .select("node", F.least("root", F.coalesce("offer", "root")).alias("root"),
-                               F.col("root").alias("old")), "lower")
-        up = lower.select(F.col("node").alias("root"), F.col("root").alias("top"))
-        after = stored(lower.join(up, "root", "left")
-                       .select("node", F.coalesce("top", "root").alias("root"), "old"), "labels")
-        if after.filter("root <> old").isEmpty():
-            return after.select("node", "root")
-        labels = after.select("node", "root")
+    links = edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    links, steps = stored(links.distinct(), "edges"), []
+    while not links.isEmpty():
+        def place(name, turn=len(steps)):
+            return F.struct((F.xxhash64(name, F.lit(turn)) if turn else F.lit(0)).alias("hash"), F.col(name).alias("node"))
+        both = links.union(links.select("b", "a"))
+        step = both.groupBy("a").agg(F.min(place("b")).alias("first")).select(
+            F.col("a").alias("node"), F.least("first", place("a"))["node"].alias("root"))
+        steps.append(step := stored(step, "labels"))
+        low, high = (step.select(F.col("node").alias(x), F.col("root").alias(y)) for x, y in (("a", "low"), ("b", "high")))
+        moved = links.join(low, "a").join(high, "b").filter("low <> high")
+        links = stored(moved.select(F.least("low", "high").alias("a"), F.greatest("low", "high").alias("b")).distinct(), "edges")
+    if not steps:
+        return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    labels = steps.pop()
+    while steps:
+        up = labels.select(F.col("node").alias("root"), F.col("root").alias("top"))
+        labels = stored(steps.pop().join(up, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "labels")
+    least = stored(labels.groupBy("root").agg(F.min("node").alias("least")), "least")
+    return labels.join(least, "root").select("node", F.col("least").alias("root"))

@@ -7,11 +7,13 @@ finds such pairs, so blocks are keys of ``ROWS`` minima of the set under ``BANDS
 link shares one with a probability of 1 - (1 - 0.8 ** ROWS) ** BANDS, which is 0.99999.  A
 block is compared as vertical bit planes: seven planes at a time go through carry-save adders
 into seven counters for 64 fingerprints a machine word, and words are abandoned once all 64
-distances exceed ``RADIUS``.  Only a spanning tree of a block's links is given out.  What
+distances exceed ``RADIUS``.  Only a spanning tree of a block's links is given out, from its
+smallest ids, so that the blocks of a group give the same links.  What
 these links join is then compared by the exact Jaccard of the sets: a breadth-first walk
 tests each node reached against the nodes not reached yet, so a tight group costs one pass.
 Blocks and groups over ``BLOCK`` rows or ``CHUNK`` shingles are cut into chunks, each pair of
-chunks being a block of its own, so no task holds an unbounded group.
+chunks being a block of its own, so no task holds an unbounded group; a block of two chunks
+gives only links between what either chunk links by itself.
 
 Defined cases: null, empty and blank texts have one and the same set and are near copies of
 each other; a very long text is one set of 8 bytes a shingle and is never cut; texts that
@@ -166,13 +168,31 @@ def same_groups(sets: list[np.ndarray], prints: np.ndarray) -> tuple[list[int],
     return left, right
 
 
+def across(find, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The trees that ``find`` gives of the places of a block; in a block of two chunks (``own``)
+    only links between the trees of either chunk, which the chunk's own block gives."""
+    def heads(at):
+        of = np.arange(len(at))
+        left, right = found = tuple(np.asarray(x, np.int64) for x in find(at))
+        for a, b in zip(left.tolist(), right.tolist()):
+            of[b] = of[a]
+        return at[of], found
+
+    whole, found = heads(np.arange(len(own)))
+    if (own == own[0]).all():
+        return found
+    alone = np.unique(np.concatenate([heads(np.flatnonzero(own == chunk))[0] for chunk in np.unique(own)]))
+    alone = alone[whole[alone] != alone]
+    return whole[alone], alone
+
+
 def _chunked(rows: DataFrame, by: list[str], chunks) -> DataFrame:
     """``rows`` once for each pair of chunks that the own chunk is part of."""
     other = F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1))
     return (rows.withColumn("own", F.pmod(F.xxhash64("id"), chunks)).withColumn("other", other)
             .withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
             .repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by, "low", "high")
-            .sortWithinPartitions(*by, "low", "high"))
+            .sortWithinPartitions(*by, "low", "high", "id"))
 
 
 def candidates(nodes: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -185,7 +205,7 @@ def candidates(nodes: DataFrame, block: int = BLOCK) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in whole_groups(batches, by):
-            prints, ids = as_rows(rows["print"]), rows["id"].to_numpy(np.int64)
+            prints, ids, own = as_rows(rows["print"]), rows["id"].to_numpy(np.int64), rows["own"].to_numpy()
             starts = group_starts(rows, by)
             sizes = np.diff(np.append(starts, len(rows)))
             owner = np.repeat(np.arange(len(starts)), sizes)
@@ -196,10 +216,11 @@ def candidates(nodes: DataFrame, block: int = BLOCK) -> DataFrame:
                     a = a[near_pairs(prints[a], prints[a + step])]
                     yield pd.DataFrame({"a": ids[a], "b": ids[a + step]})
             for start, size in zip(starts[sizes > LITTLE], sizes[sizes > LITTLE]):
-                a, b = tree(near(prints[start:start + size]), size)
+                block = prints[start:start + size]
+                a, b = across(lambda at: tree(near(block[at]), len(at)), own[start:start + size])
                 yield pd.DataFrame({"a": ids[start + a], "b": ids[start + b]})
 
-    shape = _chunked(met, ["key"], F.ceil(F.col("size") / block)).select("id", "print", *by)
+    shape = _chunked(met, ["key"], F.ceil(F.col("size") / block)).select("id", "print", "own", *by)
     return shape.mapInPandas(run, "a long, b long")
 
 
@@ -246,10 +267,11 @@ def near_copy_roots(docs: DataFrame, block: int = BLOCK, chunk: int = CHUNK) ->
             for start, stop in zip(starts, np.append(starts[1:], len(rows))):
                 some = rows.iloc[start:stop]
                 ids = some["id"].to_numpy(np.int64)
-                a, b = same_groups([np.frombuffer(s, np.uint64) for s in some["shingles"]], as_rows(some["print"]))
+                sets, prints = [np.frombuffer(s, np.uint64) for s in some["shingles"]], as_rows(some["print"])
+                a, b = across(lambda at: same_groups([sets[i] for i in at], prints[at]), some["own"].to_numpy())
                 yield pd.DataFrame({"a": ids[a], "b": ids[b]}, dtype=np.int64)
 
-    pairs = _chunked(full, ["group"], F.ceil(F.col("weight") / chunk)).select("id", "print", "shingles", *by)
+    pairs = _chunked(full, ["group"], F.ceil(F.col("weight") / chunk)).select("id", "print", "shingles", "own", *by)
     roots = components(pairs.mapInPandas(compare, "a long, b long")).withColumnRenamed("node", "id")
     named = nodes.select("id", "node").join(roots, "id", "left").select("node", F.coalesce("root", "id").alias("root"))
     return marked.select("doc_id", "digest", "node").join(named, "node").select("doc_id", "digest", "root")

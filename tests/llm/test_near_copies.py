@@ -96,3 +96,41 @@ def test_recall_on_the_given_documents(spark):
                 right += root[a] == root[b]
     print(f"{right} of {links} links")
     assert links and right >= 0.99 * links
+
+
+def test_components_keep_each_link_about_once(spark, monkeypatch):
+    """Rounds do not multiply the rows that are joined: the links shrink with what is merged."""
+    from shardloom.llm import common
+
+    sizes = []
+
+    def counted(df, purpose, real=common.stored):
+        out = real(df, purpose)
+        if purpose == "edges":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(common, "stored", counted)
+    links = [(a, b) for a in range(20) for b in range(20, 220)] + [(i, i + 1) for i in range(500, 520)]
+    found = common.components(spark.createDataFrame(links + [(b, a) for a, b in links], "a long, b long")).collect()
+    assert {r.node: r.root for r in found} == {**dict.fromkeys(range(220), 0), **dict.fromkeys(range(500, 521), 500)}
+    assert sum(sizes) < 1.2 * len(links), sizes
+
+
+def test_blocks_of_two_chunks_give_links_between_them_only():
+    draw = np.random.default_rng(4)
+    base = draw.integers(0, 256, (9, 32), np.uint8)
+    prints = base[draw.integers(0, 9, 300)] ^ (1 << draw.integers(0, 8, (300, 32))).astype(np.uint8)
+    own = draw.integers(0, 2, 300)
+    prints[own == 0] = np.where((draw.random(300) < 0.5)[own == 0, None], prints[own == 0], base[0])
+
+    def find(at):
+        return near_copies.tree(near_copies.near(prints[at]), len(at))
+
+    whole = plain_components(list(range(300)), lambda a, b: int(np.unpackbits(prints[a] ^ prints[b]).sum()) <= 72)
+    links = [x for chunk in (0, 1) for at in [np.flatnonzero(own == chunk)] for x in zip(*(at[y].tolist() for y in find(at)))]
+    between = list(zip(*(y.tolist() for y in near_copies.across(find, own))))
+    given = set(links + between)
+    assert len(between) < 20
+    found = plain_components(list(range(300)), lambda a, b: (a, b) in given or (b, a) in given)
+    assert len(set(zip(found.values(), whole.values()))) == len(set(found.values())) == len(set(whole.values())) < 300
