@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shardloom.llm.common import stored, table, texts
-from shardloom.llm.tokens import MOST, encoder, slices, tokenizer_path
+from shardloom.llm.tokens import MOST, SMALL, encoder, release, slices, tokenizer_path
 
 WINDOW, END = 2048, 1
 PART = 512  # ranks are counted in parts of about so many pieces of one length
@@ -43,7 +43,7 @@ def pieces(docs: DataFrame, window: int = WINDOW, path: str | None = None, most:
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
             found, names = batch["text"].tolist(), batch["doc_id"].tolist()
-            for a, b in slices(found):
+            for a, b in slices(found, SMALL):
                 rows = []
                 for name, raw in zip(names[a:b], encoder(path, True, most).encode(found[a:b])):
                     raw += end
@@ -52,6 +52,7 @@ def pieces(docs: DataFrame, window: int = WINDOW, path: str | None = None, most:
                              for at in range(0, total, window)]
                 yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"]).astype(
                     {"doc_id": "Int64"})
+                release()
 
     shape = SHAPE.removesuffix(", piece long")
     return texts(docs).mapInPandas(run, shape).withColumn("piece", F.monotonically_increasing_id())

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardloom.llm.common import fold, modest_batches, table, texts
-from shardloom.llm.tokens import forget, slices
+from shardloom.llm.tokens import SMALL, forget, release, slices
 
 WORDS, SAMPLE, BYTES = 64, 6000, 1 << 26
 HIDDEN, GATES, STEPS, BATCH, RATE, DECAY, SEED = 24, 12, 900, 128, 0.01, 1e-4, 7
@@ -174,6 +174,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = BY
             for name, text, label in zip(batch["doc_id"], batch["text"], batch["quality"]):
                 bag = np.concatenate([features(some) for some in _runs(passages(text))])
                 yield pd.DataFrame({"doc_id": [name], "label": [label], "bag": [bag.tobytes()]})
+        release()
 
     rows = found.mapInPandas(run, "doc_id long, label double, bag binary").collect()
     rows = sorted(rows, key=lambda r: (r["doc_id"], bytes(r["bag"])))
@@ -190,17 +191,18 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
     def score(column: pd.Series) -> pd.Series:
         forget()
         found, out = [t or "" for t in column], []
-        for a, b in slices(found):
+        for a, b in slices(found, SMALL):
             bags = [passages(t) for t in found[a:b]]
             starts = np.concatenate(([0], np.cumsum([len(p) for p in bags])[:-1])).astype(int)
             x = np.concatenate([features(some) for some in _runs([p for bag in bags for p in bag])])
             out.append(shared.value.score(x, starts))
+            release()
         return pd.Series(np.concatenate(out) if out else np.zeros(0))
 
     return docs.select(F.struct("*").alias("row"), score(F.col("text").cast("string")).alias("score"))
 
 
-def _runs(parts: list, most: int = 4096):
+def _runs(parts: list, most: int = 1024):
     for i in range(0, len(parts), most):
         yield parts[i:i + most]
 

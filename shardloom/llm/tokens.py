@@ -17,6 +17,7 @@ FEED = rf"([^{WHITE}])\n([^{WHITE}])"
 CUT = "\0"
 SPACE = "\u0120"  # fixed value: how the vocabulary writes a space
 RUN = 256  # words encoded by one call
+SMALL = 1 << 20  # characters at once in the pipeline, whose workers share an executor with idle ones
 SPECIAL = "<|endoftext|>"  # fixed value: the vocabulary's only special token
 
 
@@ -123,9 +124,16 @@ def encoder(path: str, special: bool, most: int = MOST) -> Encoder:
     return Encoder(path, special, most)
 
 
+def release() -> None:
+    """Give back what Arrow holds for later arrays: an executor has more workers than tasks, and
+    an idle one keeps it."""
+    pa.default_memory_pool().release_unused()
+
+
 def forget() -> None:
     """Drop the encoders of this worker process, which now serves another operator."""
     encoder.cache_clear()
+    release()
 
 
 def tokenizer_path(name: str = JSON) -> str:
